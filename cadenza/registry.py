@@ -48,3 +48,548 @@ def q_similar_items_topk(spark, sf):
     songs = derived.songs(spark, sf)
     sim = derived.similar(spark, sf)
     return round6(sim_ops.similar_items_topk(plays, songs, sim))
+
+
+# ---------------------------------------------------------------------------
+# Imports for the wider query set (kept below the flagship for readability).
+from pyspark.ml.feature import IndexToString, StringIndexer  # noqa: E402
+
+from cadenza.functions.features import (CONTENT_FEATURE_NAMES,  # noqa: E402
+                                        GENRE_FEATURES_30, content_vector_columns,
+                                        score_class)
+from cadenza.functions.ids import stable_hash28  # noqa: E402
+from cadenza.operators import arrays, ids, metrics, ratings, sets  # noqa: E402
+from cadenza.operators.history import listening_history, split_known_users  # noqa: E402
+from cadenza.operators.topk import dedupe_keep_best  # noqa: E402
+from cadenza.plans import cf, content, genre, hybrid  # noqa: E402
+from cadenza.session import scratch_path  # noqa: E402
+from cadenza.sources import files, readers  # noqa: E402
+from cadenza.sources.tables import read  # noqa: E402
+from cadenza.streaming.ingest import start_triplet_stream  # noqa: E402
+
+
+@register("listening_history")
+def q_listening_history(spark, sf):
+    """H1: top-30 played songs per user, one row per (title, artist)."""
+    return round6(listening_history(derived.plays(spark, sf), derived.songs(spark, sf), 30))
+
+
+@register("norm_by_user_max")
+def q_norm_by_user_max(spark, sf):
+    """H8 (A4, J9): play counts scaled to 0-10 by each user's maximum."""
+    return round6(ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity")))
+
+
+@register("norm_min_max")
+def q_norm_min_max(spark, sf):
+    """Per-user min-max normalisation of summed quantities."""
+    return round6(ratings.normalize_min_max(derived.plays(spark, sf, "quantity")))
+
+
+@register("dataset_profile")
+def q_dataset_profile(spark, sf):
+    """A1-A3: rows, distinct users, distinct songs."""
+    return ratings.dataset_profile(derived.plays(spark, sf))
+
+
+@register("id_hash")
+def q_id_hash(spark, sf):
+    """P10 + P11: song -> 28-bit hash dimension."""
+    return ids.hash_dimension(derived.songs(spark, sf))
+
+
+def _play_keys(spark, sf):
+    p = derived.plays(spark, sf)
+    return p.select(F.concat_ws(":", "user_id", "song_id").alias("song_id"))
+
+
+@register("id_collisions")
+def q_id_collisions(spark, sf):
+    """Collision report of the 28-bit hash over all (user:song) play keys."""
+    return ids.collisions(ids.hash_dimension(_play_keys(spark, sf)))
+
+
+@register("id_unhash_join")
+def q_id_unhash_join(spark, sf):
+    """Plays keyed by hashed song id, mapped back through the dimension
+    (a collision fans out to every id sharing the hash)."""
+    p = derived.plays(spark, sf)
+    scored = p.select("user_id", stable_hash28("song_id").alias("product"),
+                      F.col("play_count").cast("double").alias("rating"))
+    dim = ids.hash_dimension(derived.songs(spark, sf))
+    return ids.unhash(scored, dim, "product")
+
+
+@register("triplet_struct")
+def q_triplet_struct(spark, sf):
+    """Nested {user:{id,hash}, song:{id,hash}, rating} and its flat form."""
+    return ids.flatten_triplets(ids.triplet_struct(derived.plays(spark, sf)))
+
+
+@register("triplet_reader")
+def q_triplet_reader(spark, sf):
+    """S2 (tab, int count): plays written as TSV, read back typed."""
+    path = files.write_triplets_text(derived.plays(spark, sf), scratch_path(spark, "triplets"))
+    rows, _ = readers.read_triplets(spark, path, "tab_int")
+    return rows
+
+
+@register("triplet_reader_ws")
+def q_triplet_reader_ws(spark, sf):
+    """S2 (whitespace split, float count)."""
+    path = files.write_triplets_text(derived.plays(spark, sf), scratch_path(spark, "triplets"))
+    rows, _ = readers.read_triplets(spark, path, "whitespace_float")
+    return rows
+
+
+@register("triplet_stream_ingest")
+def q_triplet_stream_ingest(spark, sf):
+    """S2 -> S9 as a Structured Streaming job (availableNow) into Parquet."""
+    landing = files.write_triplets_text(derived.plays(spark, sf), scratch_path(spark, "landing"))
+    base = scratch_path(spark, "stream")
+    q = start_triplet_stream(spark, landing, f"{base}/out", f"{base}/rejects", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@register("songs_csv_join")
+def q_songs_csv_join(spark, sf):
+    """S3 + S4 + S5 + P14 + J1 + P4: songs and attributes CSVs joined."""
+    s_path = files.write_songs_csv(spark, sf, scratch_path(spark, "songs_csv"))
+    a_path = files.write_attributes_csv(spark, sf, scratch_path(spark, "attrs_csv"))
+    s, _ = readers.read_songs_csv(spark, s_path)
+    a, _ = readers.read_attributes_csv(spark, a_path)
+    return round6(s.join(a, "track_id"))
+
+
+@register("similar_csv_reader")
+def q_similar_csv_reader(spark, sf):
+    """S6 + P13 + P15: packed similarity CSV to long form."""
+    path = files.write_similar_csv(spark, sf, scratch_path(spark, "similar_csv"))
+    return round6(readers.read_similar_long(spark, path))
+
+
+@register("genre_reader")
+def q_genre_reader(spark, sf):
+    """S7 + P16: the # / % genre text file, typed, with class ids."""
+    path = files.write_genre_file(spark, sf, scratch_path(spark, "genre_txt"))
+    rows, _ = readers.read_genre_file(spark, path)
+    return round6(rows)
+
+
+@register("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    """S8 + S9: songs_data written to Parquet (fail if exists) and scanned."""
+    path = files.write_parquet(derived.songs_data(spark, sf), scratch_path(spark, "songs_data"))
+    return round6(spark.read.parquet(path))
+
+
+@register("feature_extract")
+def q_feature_extract(spark, sf):
+    """First record of every record file, 12 fields, CSV with header."""
+    root = files.write_song_files(spark, sf, scratch_path(spark, "song_files"))
+    out = files.extract_first_records(spark, root, scratch_path(spark, "extract_csv"))
+    schema = ("song_id string, track_id string, artist_name string, title string, "
+              "danceability double, song_hotttnesss double, duration double, tempo double, "
+              "energy double, key int, loudness double, time_signature int")
+    return round6(spark.read.schema(schema).option("header", "true").csv(out))
+
+
+@register("year_split")
+def q_year_split(spark, sf):
+    """Catalogue split into known (year <= 2009) and new (> 2009)."""
+    s = derived.songs(spark, sf).select("track_id", "title", "artist_name", "year")
+    known = s.where(F.col("year") <= content.KNOWN_UNTIL).withColumn("segment", F.lit("known"))
+    new = s.where(F.col("year") > content.KNOWN_UNTIL).withColumn("segment", F.lit("new"))
+    return known.unionByName(new)
+
+
+@register("known_unknown_users")
+def q_known_unknown_users(spark, sf):
+    """Request table (all customers) split into users with / without plays."""
+    req = read(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    known, unknown = split_known_users(req, derived.plays(spark, sf))
+    return known.withColumn("status", F.lit("known")).unionByName(
+        unknown.withColumn("status", F.lit("unknown")))
+
+
+@register("positive_scores")
+def q_positive_scores(spark, sf):
+    """Min-max normalised plays with a positive score."""
+    n = ratings.normalize_min_max(derived.plays(spark, sf, "quantity"))
+    return round6(n.where(F.col("norm_value") > 0))
+
+
+@register("hash_split")
+def q_hash_split(spark, sf):
+    """Deterministic 80/20 split of plays."""
+    p = derived.plays(spark, sf)
+    flag = ratings.split_flag(["user_id", "song_id"], 0.8, 1)
+    return p.withColumn("part", F.when(flag, F.lit("train")).otherwise(F.lit("test")))
+
+
+def _user_counts_and_train(spark, sf):
+    p = derived.plays(spark, sf)
+    train, _ = ratings.hash_split(p, ["user_id", "song_id"], 0.8, 1)
+    return p.select("user_id", "play_count"), train.select("user_id", "play_count")
+
+
+@register("bag_difference")
+def q_bag_difference(spark, sf):
+    """(user, count) rows not in the training part; duplicates kept."""
+    left, right = _user_counts_and_train(spark, sf)
+    return sets.bag_difference(left, right)
+
+
+@register("set_difference")
+def q_set_difference(spark, sf):
+    """The same difference with EXCEPT DISTINCT semantics."""
+    left, right = _user_counts_and_train(spark, sf)
+    return sets.set_difference(left, right)
+
+
+@register("dedupe_title_artist")
+def q_dedupe_title_artist(spark, sf):
+    """One song per (title, artist): longest duration, then smallest id."""
+    s = derived.songs(spark, sf).select("track_id", "title", "artist_name", "duration", "year")
+    return round6(dedupe_keep_best(s, ["title", "artist_name"],
+                                   [("duration", "desc"), ("track_id", "asc")]))
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark, sf):
+    """U4: full-row distinct."""
+    return sets.distinct_rows(derived.songs(spark, sf).select("artist_name", "release", "year"))
+
+
+@register("union_sources")
+def q_union_sources(spark, sf):
+    """History and similar-item lists in one bag, tagged by source."""
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    hist = listening_history(plays, songs, 30).select(
+        "user_id", "rank", "track_id", "title", "artist_name", "duration", "year",
+        F.col("play_count").cast("double").alias("predicted_score"))
+    simr = sim_ops.similar_items_topk(plays, songs, derived.similar(spark, sf))
+    return round6(sets.union_sources([("history", hist), ("similar", simr)]))
+
+
+@register("content_features")
+def q_content_features(spark, sf):
+    """Six content features per track."""
+    return round6(derived.attributes(spark, sf).select("track_id", *content_vector_columns()))
+
+
+@register("score_class")
+def q_score_class(spark, sf):
+    """Normalised score -> class 0..10 by truncation."""
+    n = ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity"))
+    return round6(n.select("user_id", "song_id", "norm_value",
+                           score_class("norm_value").alias("score_class")))
+
+
+@register("genre_features")
+def q_genre_features(spark, sf):
+    """P18 + P19: class id and 30-dim feature array per genre row."""
+    g = genre.labelled(derived.genre(spark, sf))
+    return round6(g.select("track_id", "genre", "label", F.col("f").alias("features")))
+
+
+@register("genre_features_nonneg")
+def q_genre_features_nonneg(spark, sf):
+    """P17 + P20: six clamped features."""
+    g = genre.nonneg_features(derived.genre(spark, sf))
+    return round6(g.select("track_id", "genre", "label", "f6"))
+
+
+@register("genre_label_map")
+def q_genre_label_map(spark, sf):
+    """Genre name -> class id."""
+    from cadenza.functions.features import genre_name_to_id
+    g = derived.genre(spark, sf)
+    return g.select("track_id", "genre", genre_name_to_id("genre").alias("label"))
+
+
+@register("genre_distribution")
+def q_genre_distribution(spark, sf):
+    """A11 + S14: rows per genre and share of all rows, in SQL over a temp view."""
+    return round6(metrics.class_distribution_sql(spark, derived.genre(spark, sf), "genre"))
+
+
+@register("label_index")
+def q_label_index(spark, sf):
+    """StringIndexer (descending frequency, ties alphabetical)."""
+    g = derived.genre(spark, sf).select("track_id", "genre")
+    model = StringIndexer(inputCol="genre", outputCol="label_index").fit(g)
+    return model.transform(g)
+
+
+@register("label_unindex")
+def q_label_unindex(spark, sf):
+    """IndexToString back from the index."""
+    g = derived.genre(spark, sf).select("track_id", "genre")
+    model = StringIndexer(inputCol="genre", outputCol="label_index").fit(g)
+    back = IndexToString(inputCol="label_index", outputCol="genre_back", labels=model.labels)
+    return back.transform(model.transform(g)).select("track_id", "genre", "genre_back")
+
+
+@register("rating_errors")
+def q_rating_errors(spark, sf):
+    """A5-A7 + J8: MSE / RMSE / MAE of a user-mean predictor on held-out plays."""
+    p = derived.plays(spark, sf, "quantity")
+    train, test = ratings.hash_split(p, ["user_id", "song_id"], 0.8, 5)
+    means = train.groupBy("user_id").agg(F.avg("play_count").alias("predicted"))
+    pred = test.select("user_id", "song_id").join(means, "user_id")
+    actual = test.select("user_id", "song_id", F.col("play_count").alias("actual"))
+    j = metrics.join_actual_predicted(actual, pred)
+    return round6(metrics.error_metrics(j))
+
+
+@register("genre_naive_bayes")
+def q_genre_naive_bayes(spark, sf):
+    """Multinomial naive Bayes (six clamped features), test predictions."""
+    pred = genre.run_naive_bayes(derived.genre(spark, sf))
+    return pred.select("track_id", "label", "prediction")
+
+
+@register("class_accuracy")
+def q_class_accuracy(spark, sf):
+    """A8 + A12: accuracy and error of the naive Bayes predictions."""
+    pred = genre.run_naive_bayes(derived.genre(spark, sf))
+    return round6(metrics.accuracy(pred))
+
+
+def _flat_and_offsets(spark, sf):
+    e = read(spark, sf, "embeddings")
+    flat = e.select(F.col("vec_id").alias("file"),
+                    F.posexplode(F.transform("embedding", lambda x: x.cast("double")))
+                    .alias("pos", "value"))
+    step = F.lit(4) + F.col("label")
+    offs = e.select(F.col("vec_id").alias("file"), step.alias("step"),
+                    F.explode(F.sequence(F.lit(0), F.floor((F.size("embedding") - 1) / step)
+                                         .cast("int"))).alias("rec"))
+    offs = offs.select("file", "rec", (F.col("rec") * F.col("step")).alias("start"))
+    return flat, offs
+
+
+@register("ragged_slice")
+def q_ragged_slice(spark, sf):
+    """Ragged records sliced from flat arrays by an offset table."""
+    flat, offs = _flat_and_offsets(spark, sf)
+    out = arrays.ragged_slice(flat, offs, "file")
+    return round6(out.withColumn("rec", F.col("rec").cast("bigint")))
+
+
+@register("timbre_mean")
+def q_timbre_mean(spark, sf):
+    """Mean of the 12 average-timbre values."""
+    g = derived.genre(spark, sf)
+    return round6(g.select("track_id", arrays.array_mean("f", 7, 12).alias("timbre_mean")))
+
+
+@register("timbre_stats")
+def q_timbre_stats(spark, sf):
+    """Per-dimension mean, variance and neighbour covariance over segments
+    (first 60 embedding values as 5 segments x 12 dims)."""
+    e = read(spark, sf, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("emb"))
+    return round6(arrays.segment_stats(e, "vec_id", "emb", 12, 60))
+
+
+def _songs_with_genre_features(spark, sf):
+    s = derived.songs(spark, sf).select("track_id")
+    g = derived.genre_wide(spark, sf).select("track_id", "loudness", "tempo")
+    return s.join(g, "track_id", "left")
+
+
+@register("impute_midrange")
+def q_impute_midrange(spark, sf):
+    """Missing loudness / tempo filled with the column mid-range."""
+    return round6(arrays.impute_midrange(_songs_with_genre_features(spark, sf),
+                                         ["loudness", "tempo"]))
+
+
+@register("drop_missing")
+def q_drop_missing(spark, sf):
+    """Songs lacking loudness / tempo dropped."""
+    return round6(arrays.drop_missing(_songs_with_genre_features(spark, sf),
+                                      ["loudness", "tempo"]))
+
+
+@register("user_profile")
+def q_user_profile(spark, sf):
+    """Play-weighted mean of the six content features per user."""
+    feats = derived.attributes(spark, sf).select("track_id", *content_vector_columns())
+    return round6(arrays.user_profile(derived.plays(spark, sf), feats, CONTENT_FEATURE_NAMES))
+
+
+def _holdout_recs(spark, sf, k):
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    train, test = ratings.hash_split(plays, ["user_id", "song_id"], 0.8, 3)
+    recs = sim_ops.similar_items_topk(train, songs, derived.similar(spark, sf), 50, k)
+    recs = recs.join(songs.select("track_id", "song_id"), "track_id")
+    return recs, test
+
+
+@register("rank_metrics_at_k")
+def q_rank_metrics_at_k(spark, sf):
+    """Precision / recall / NDCG at 20 of similar-item lists vs held-out plays."""
+    recs, test = _holdout_recs(spark, sf, 20)
+    return round6(metrics.ranking_metrics(recs, test, [20]))
+
+
+@register("recall_curve")
+def q_recall_curve(spark, sf):
+    """The same metrics over list lengths 1, 5, 10, 20, 50."""
+    recs, test = _holdout_recs(spark, sf, 50)
+    return round6(metrics.ranking_metrics(recs, test, [1, 5, 10, 20, 50]))
+
+
+# --- model-based queries (invariant checks; no SQL oracle) -------------------
+
+@register("genre_logit")
+def q_genre_logit(spark, sf):
+    """G1: logistic regression test predictions."""
+    return genre.run_logit(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+
+
+@register("genre_tree")
+def q_genre_tree(spark, sf):
+    """Decision tree test predictions."""
+    return genre.run_decision_tree(derived.genre(spark, sf)).select(
+        "track_id", "label", "prediction")
+
+
+@register("genre_forest")
+def q_genre_forest(spark, sf):
+    """G3 + G7: random-forest pipeline test predictions with labels back."""
+    return genre.run_random_forest(derived.genre(spark, sf)).select(
+        "track_id", "genre", "label", "prediction", "predictedLabel")
+
+
+@register("genre_compare")
+def q_genre_compare(spark, sf):
+    """Accuracy per model."""
+    return round6(genre.compare_models(derived.genre(spark, sf),
+                                       ["logit", "naive_bayes", "decision_tree",
+                                        "random_forest"]))
+
+
+@register("genre_svm")
+def q_genre_svm(spark, sf):
+    """One-vs-rest linear SVM test predictions."""
+    return genre.run_svm(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+
+
+@register("genre_boosted")
+def q_genre_boosted(spark, sf):
+    """X11: one-vs-rest boosted trees test predictions."""
+    return genre.run_boosted(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+
+
+@register("genre_ablation")
+def q_genre_ablation(spark, sf):
+    """Random forest accuracy without (F0) and with (F1) timbre."""
+    return round6(genre.ablation(derived.genre(spark, sf)))
+
+
+def _als_model(spark, sf, implicit=True, value="play_count", measure="count"):
+    plays = derived.plays(spark, sf, measure)
+    r, users, items = cf.als_ratings(plays, value)
+    model = cf.make_als(8, 1.0, 10, 1.0, implicit).fit(r)
+    return model, r, users, items
+
+
+@register("als_implicit_topk")
+def q_als_implicit_topk(spark, sf):
+    """M1 + T6 + H2: implicit ALS, top-1000 per user, rescaled, top-20 lists."""
+    model, _, users, items = _als_model(spark, sf)
+    return round6(cf.collaborative_recommendations(model, users, items,
+                                                   derived.songs(spark, sf), 1000, 20))
+
+
+@register("als_explicit_scores")
+def q_als_explicit_scores(spark, sf):
+    """M2 + M4: explicit ALS on 0-10 normalised counts, scores for held-out pairs."""
+    norm = ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity")) \
+        .select("user_id", "song_id", F.col("norm_value").alias("play_count"))
+    r, users, items = cf.als_ratings(norm)
+    train, test = ratings.hash_split(r, ["user_id", "song_id"], 0.9, 12345)
+    model = cf.make_als(8, 1.0, 10, 1.0, implicit=False).fit(train)
+    pred = cf.score_pairs(model, test)
+    return round6(pred.select("user_id", "song_id", F.col("rating").cast("double")
+                              .alias("actual"), F.col("prediction").cast("double")
+                              .alias("predicted")))
+
+
+@register("als_grid")
+def q_als_grid(spark, sf):
+    """M3 + H7: implicit-ALS grid, hold-out error per setting."""
+    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    res, _, _ = cf.grid_search(spark, r, ranks=[8, 12], regs=[1.0, 9.0], alphas=[1.0, 10.0],
+                               iters=[10])
+    return round6(res)
+
+
+@register("als_save_load")
+def q_als_save_load(spark, sf):
+    """Model saved and loaded; both score the same pairs."""
+    model, r, _, _ = _als_model(spark, sf)
+    loaded = cf.save_and_reload(model, scratch_path(spark, "als_model"))
+    pairs = r.select("user_ix", "item_ix")
+    a = model.transform(pairs).withColumnRenamed("prediction", "score_saved")
+    b = loaded.transform(pairs).withColumnRenamed("prediction", "score_loaded")
+    return a.join(b, ["user_ix", "item_ix"])
+
+
+@register("als_lambda_curve")
+def q_als_lambda_curve(spark, sf):
+    """Explicit ALS (rank 8, 10 iterations) MSE over lambda = 1, 3, ..., 19."""
+    norm = ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity")) \
+        .select("user_id", "song_id", F.col("norm_value").alias("play_count"))
+    r, _, _ = cf.als_ratings(norm)
+    res, _, _ = cf.grid_search(spark, r, ranks=[8], regs=[float(x) for x in range(1, 20, 2)],
+                               alphas=[1.0], iters=[10], implicit=False, fraction=0.9,
+                               seed=12345)
+    return round6(res.select("reg_param", "n", "mse", "rmse", "mae"))
+
+
+def _content_inputs(spark, sf, n):
+    plays = derived.plays(spark, sf)
+    model, _, users, items = _als_model(spark, sf)
+    user = content.pick_user(plays)
+    return model, users, items, user
+
+
+@register("content_new_releases")
+def q_content_new_releases(spark, sf):
+    """H4 (M5, M6): new releases for the request user by a content model
+    trained on the user's ALS list."""
+    model, users, items, user = _content_inputs(spark, sf, 1000)
+    rec = cf.recommend_all(model, users.where(F.col("user_id") == user), items, 1000)
+    return round6(content.new_releases_for_user(rec, user, derived.songs_data(spark, sf),
+                                                derived.songs(spark, sf)))
+
+
+@register("content_eval_sweep")
+def q_content_eval_sweep(spark, sf):
+    """H6: content-model accuracy over ALS list lengths."""
+    model, users, items, user = _content_inputs(spark, sf, 1000)
+    u = users.where(F.col("user_id") == user)
+    lengths = [10, 50, 100, 200, 500, 1000]
+    recs = {n: cf.recommend_all(model, u, items, n) for n in lengths}
+    return round6(content.evaluation_sweep(spark, recs, user, derived.songs_data(spark, sf)))
+
+
+@register("hybrid_topk")
+def q_hybrid_topk(spark, sf):
+    """H5: collaborative + similar-item + content lists merged, top 40."""
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    model, users, items, user = _content_inputs(spark, sf, 1000)
+    u = users.where(F.col("user_id") == user)
+    rec = cf.recommend_all(model, u, items, 1000)
+    als_list = cf.collaborative_recommendations(model, u, items, songs, 1000, 20)
+    sim_list = sim_ops.similar_items_topk(plays.where(F.col("user_id") == user), songs,
+                                          derived.similar(spark, sf))
+    cb_list = content.new_releases_for_user(rec, user, derived.songs_data(spark, sf), songs)
+    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list),
+                                       ("content", cb_list)], 40))

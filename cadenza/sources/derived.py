@@ -19,16 +19,16 @@ Spark plan over the driver tables, so its work grows with them:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.features import GENRE_CLASSES, GENRE_FEATURES_30
+from cadenza.operators.ids import global_positions
 from cadenza.sources.tables import read
 
 # Fixed derivation parameters.
 ATTRIBUTE_VECTORS = 500      # attributes come from embeddings vec_id = partkey % 500
 YEAR_BASE = 1970             # year = 1970 + p_size
-_POS_BITS = 33               # monotonically_increasing_id: partition index << 33
 
 
 def plays(spark: SparkSession, sf_dir: str, measure: str = "count") -> DataFrame:
@@ -94,44 +94,23 @@ def songs_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return songs(spark, sf_dir).join(attributes(spark, sf_dir), "track_id")
 
 
-def _line_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines in one global order with a unique position ``pos``.
+def adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(a, b) part pairs of consecutive lines of one order, a != b.
 
-    A range-partitioned sort spreads even a single hot order over many tasks;
-    ``monotonically_increasing_id`` numbers rows consecutively inside each
-    partition.  The result is checkpointed (reliable checkpoint in the
-    shared ``spark.checkpoint.dir``) so every later reference sees the same
-    positions.
+    Lines get a dense global position in (order, line number, part,
+    supplier) order; a range-partitioned sort spreads even one hot order
+    over many tasks.  The pair join is on the unique position, so every
+    line meets exactly one successor.
     """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     li = read(spark, sf_dir, "lineitem").select(*keys)
-    seq = (li.repartitionByRange(*keys).sortWithinPartitions(*keys)
-           .withColumn("pos", F.monotonically_increasing_id()))
-    return seq.select("l_orderkey", "l_partkey", "pos").checkpoint(eager=True)
-
-
-def adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(a, b) part pairs of consecutive lines of one order, a != b."""
-    seq = _line_sequence(spark, sf_dir)
+    seq = global_positions(li, keys).select("l_orderkey", "l_partkey", "pos")
     a = seq.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("a"),
                    (F.col("pos") + 1).alias("nxt"))
     b = seq.select(F.col("l_orderkey").alias("o2"), F.col("l_partkey").alias("b"),
                    F.col("pos").alias("p2"))
-    inner = (a.join(b, (a.nxt == b.p2) & (a.o == b.o2))
-             .select("a", "b"))
-    # Pairs that straddle a partition boundary: last row of one partition and
-    # first row of the next non-empty one.  One row per partition, so this
-    # side is bounded by the partition count, not by the data.
-    edge = (seq.groupBy(F.shiftright("pos", _POS_BITS).alias("pid"))
-            .agg(F.min_by(F.struct("l_orderkey", "l_partkey"), "pos").alias("first"),
-                 F.max_by(F.struct("l_orderkey", "l_partkey"), "pos").alias("last")))
-    w = Window.orderBy("pid")
-    boundary = (edge.withColumn("next_first", F.lead("first").over(w))
-                .where(F.col("next_first").isNotNull()
-                       & (F.col("last.l_orderkey") == F.col("next_first.l_orderkey")))
-                .select(F.col("last.l_partkey").alias("a"),
-                        F.col("next_first.l_partkey").alias("b")))
-    return inner.unionByName(boundary).where(F.col("a") != F.col("b"))
+    return (a.join(b, (a.nxt == b.p2) & (a.o == b.o2))
+            .where(F.col("a") != F.col("b")).select("a", "b"))
 
 
 def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
