@@ -490,3 +490,17 @@ GROUP BY f.k"""
 
 SQL["rank_metrics_at_k"] = _rank_metrics(20, [20])
 SQL["recall_curve"] = _rank_metrics(50, [1, 5, 10, 20, 50])
+
+SQL["single_user_history"] = with_(PLAYS, SONGS) + """
+, req AS (SELECT user_id FROM (SELECT user_id, sum(play_count) AS n FROM plays GROUP BY user_id)
+          ORDER BY n DESC, user_id LIMIT 1),
+""" + HIST.replace("FROM plays p JOIN songs s", "FROM (SELECT * FROM plays WHERE user_id IN "
+                   "(SELECT user_id FROM req)) p JOIN songs s") + """
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, track_id)
+       AS BIGINT) AS rank, song_id, track_id, title, play_count, artist_name,
+       round(duration, 6) AS duration, year
+FROM hist
+QUALIFY rank <= 30"""
+
+SQL["top_plays_show"] = with_(PLAYS) + """
+SELECT user_id, song_id, play_count FROM plays ORDER BY play_count DESC, user_id, song_id LIMIT 30"""

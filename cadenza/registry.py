@@ -593,3 +593,21 @@ def q_hybrid_topk(spark, sf):
     cb_list = content.new_releases_for_user(rec, user, derived.songs_data(spark, sf), songs)
     return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list),
                                        ("content", cb_list)], 40))
+
+
+@register("single_user_history")
+def q_single_user_history(spark, sf):
+    """P5 + H1 as the source runs it: one request user (most plays, then
+    smallest id), equality filter pushed below the join, top 30."""
+    plays = derived.plays(spark, sf)
+    user = content.pick_user(plays)
+    mine = plays.where(F.col("user_id") == F.lit(user))
+    return round6(listening_history(mine, derived.songs(spark, sf), 30))
+
+
+@register("top_plays_show")
+def q_top_plays_show(spark, sf):
+    """The rows ``show(30)`` prints for plays by count (global top-n)."""
+    p = derived.plays(spark, sf)
+    return files.show_rows(p, [F.col("play_count").desc(), F.col("user_id"), F.col("song_id")],
+                           30)
