@@ -36,7 +36,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    if master and master.startswith("local") and "spark.driver.memory" not in extra:
+        # local mode runs every task in the driver JVM; the JVM default (1g
+        # for all cores) makes spilling aggregates thrash.  Clusters size
+        # their executors themselves.
+        extra["spark.driver.memory"] = "8g"
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
