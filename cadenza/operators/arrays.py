@@ -91,3 +91,30 @@ def impute_midrange(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"),
                                            F.lit(mid).cast("double")))
     return out
+
+
+def user_cosine(plays: DataFrame, requests: DataFrame, user: str = "user_id",
+                item: str = "song_id", value: str = "play_count") -> DataFrame:
+    """Cosine similarity of each request user to every other user over
+    co-rated items: sum(a*b) / sqrt(sum(a^2) * sum(b^2)), sums over the items
+    both played.
+
+    Work is the number of (request user, item, other rater) triples — linear
+    in the plays for a fixed request table; an all-users x all-users table
+    (quadratic in each item's raters) is deliberately not offered.  A popular
+    item is a skewed join key on the plays side only (AQE skew join).
+    """
+    mine = plays.join(requests.select(user).distinct(), user, "left_semi").select(
+        F.col(user).alias("user_id"), F.col(item).alias("_item"),
+        F.col(value).cast("double").alias("a"))
+    others = plays.select(F.col(user).alias("other_user_id"), F.col(item).alias("_item"),
+                          F.col(value).cast("double").alias("b"))
+    j = mine.join(others, "_item").where(F.col("user_id") != F.col("other_user_id"))
+    agg = j.groupBy("user_id", "other_user_id").agg(
+        F.count(F.lit(1)).alias("n_common"),
+        F.sum(F.col("a") * F.col("b")).alias("_dot"),
+        F.sum(F.col("a") * F.col("a")).alias("_na"),
+        F.sum(F.col("b") * F.col("b")).alias("_nb"))
+    return agg.select("user_id", "other_user_id", "n_common",
+                      F.try_divide(F.col("_dot"), F.sqrt(F.col("_na") * F.col("_nb")))
+                      .alias("cosine"))

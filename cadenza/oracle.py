@@ -504,3 +504,23 @@ QUALIFY rank <= 30"""
 
 SQL["top_plays_show"] = with_(PLAYS) + """
 SELECT user_id, song_id, play_count FROM plays ORDER BY play_count DESC, user_id, song_id LIMIT 30"""
+
+SQL["ingest_catalogue"] = with_(PLAYS, SONGS, ATTRS, SIM) + """
+SELECT 'triplets_data' AS "table", CAST(count(*) AS BIGINT) AS n_rows FROM plays
+UNION ALL SELECT 'songs_data', CAST(count(*) AS BIGINT) FROM songs s JOIN attrs a
+  ON s.track_id = a.track_id
+UNION ALL SELECT 'song_similarity', CAST(count(*) AS BIGINT) FROM sim
+UNION ALL SELECT 'song_hash_id', CAST(count(DISTINCT song_id) AS BIGINT) FROM songs
+UNION ALL SELECT 'triplets_rejects', CAST(0 AS BIGINT)
+UNION ALL SELECT 'songs_rejects', CAST(0 AS BIGINT)
+UNION ALL SELECT 'attributes_rejects', CAST(0 AS BIGINT)"""
+
+SQL["user_cosine"] = with_(PLAYS_QTY) + """
+, req AS (SELECT user_id FROM (SELECT user_id, sum(play_count) AS n FROM plays_qty
+          GROUP BY user_id) ORDER BY n DESC, user_id LIMIT 1),
+j AS (SELECT m.user_id, o.user_id AS other_user_id, m.play_count AS a, o.play_count AS b
+      FROM plays_qty m JOIN plays_qty o ON m.song_id = o.song_id
+      WHERE m.user_id IN (SELECT user_id FROM req) AND o.user_id <> m.user_id)
+SELECT user_id, other_user_id, CAST(count(*) AS BIGINT) AS n_common,
+       round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine
+FROM j GROUP BY user_id, other_user_id"""

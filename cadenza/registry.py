@@ -611,3 +611,34 @@ def q_top_plays_show(spark, sf):
     p = derived.plays(spark, sf)
     return files.show_rows(p, [F.col("play_count").desc(), F.col("user_id"), F.col("song_id")],
                            30)
+
+
+@register("ingest_catalogue")
+def q_ingest_catalogue(spark, sf):
+    """H9: source-layout files -> typed Parquet tables + reject tables."""
+    from cadenza.plans.ingest import ingest
+    trip = files.write_triplets_text(derived.plays(spark, sf), scratch_path(spark, "triplets"))
+    s_csv = files.write_songs_csv(spark, sf, scratch_path(spark, "songs_csv"))
+    a_csv = files.write_attributes_csv(spark, sf, scratch_path(spark, "attrs_csv"))
+    sim_csv = files.write_similar_csv(spark, sf, scratch_path(spark, "similar_csv"))
+    return ingest(spark, trip, s_csv, a_csv, sim_csv, scratch_path(spark, "ingest"))
+
+
+@register("user_cosine")
+def q_user_cosine(spark, sf):
+    """Cosine similarity of the request user (most plays, then smallest
+    id) to every other user over co-rated songs."""
+    plays = derived.plays(spark, sf, "quantity")
+    return round6(arrays.user_cosine(plays, content.request_users(plays, 1)))
+
+
+@register("hybrid_all_users")
+def q_hybrid_all_users(spark, sf):
+    """H5 for every user with the two all-user sources (collaborative +
+    similar-item); a song from both sources keeps its best row (Q19 option)."""
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    model, _, users, items = _als_model(spark, sf)
+    als_list = cf.collaborative_recommendations(model, users, items, songs, 1000, 20)
+    sim_list = sim_ops.similar_items_topk(plays, songs, derived.similar(spark, sf))
+    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list)], 40,
+                                      dedupe="max"))
