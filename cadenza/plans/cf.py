@@ -64,13 +64,18 @@ def recommend_all(model: ALSModel, users: DataFrame, items: DataFrame, n: int) -
 
 
 def _rank_list(model: ALSModel, users: DataFrame, items: DataFrame, songs: DataFrame,
-               n: int, k: int, subset: DataFrame | None = None) -> DataFrame:
+               n: int, k: int, subset: DataFrame | None = None,
+               played: DataFrame | None = None) -> DataFrame:
     """One pass of H2 with list length n (optionally for a user subset)."""
     if subset is None:
         rec = recommend_all(model, users, items, n)
     else:
         rec = recommend_subset(model, subset, users, items, n)
     scaled = rescale_by_max(rec, ["user_id"], "rating", "predicted_score")
+    if played is not None:
+        # after the rescale, so scores keep the source's scale
+        scaled = scaled.join(played.select("user_id", "song_id"), ["user_id", "song_id"],
+                             "left_anti")
     s = songs.select("song_id", "track_id")
     with_track = scaled.join(s, "song_id").select("user_id", "track_id", "predicted_score")
     return enrich_and_rank(with_track, songs, k)
@@ -90,7 +95,8 @@ def recommend_subset(model: ALSModel, user_ix: DataFrame, users: DataFrame, item
 
 def collaborative_recommendations(model: ALSModel, users: DataFrame, items: DataFrame,
                                   songs: DataFrame, n: int = 1000, k: int = 20,
-                                  first_pass: int | None = None) -> DataFrame:
+                                  first_pass: int | None = None,
+                                  exclude_played: DataFrame | None = None) -> DataFrame:
     """H2 = T6 -> P23 -> J3 -> P3 -> J4 -> U5 -> T2, for all users.
 
     The result equals the list cut at n, computed in two exact passes: every
@@ -99,15 +105,19 @@ def collaborative_recommendations(model: ALSModel, users: DataFrame, items: Data
     list already holds k songs has all its top-k within the first m.  Only
     users left short re-run with length n (``recommendForUserSubset``), so
     the expensive per-user top-n buffers are built for few users.
+
+    The source computes each user's played songs but never removes them;
+    pass the plays as ``exclude_played`` to drop them (``left_anti``).
     """
     m = first_pass or max(5 * k, 100)
     if m >= n:
-        return _rank_list(model, users, items, songs, n, k)
+        return _rank_list(model, users, items, songs, n, k, played=exclude_played)
     # used twice (kept rows, short users): checkpointed so it runs once
-    first = _rank_list(model, users, items, songs, m, k).checkpoint(eager=True)
+    first = _rank_list(model, users, items, songs, m, k,
+                       played=exclude_played).checkpoint(eager=True)
     full = first.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
     short = users.join(full, "user_id", "left_anti")
-    second = _rank_list(model, users, items, songs, n, k, subset=short)
+    second = _rank_list(model, users, items, songs, n, k, subset=short, played=exclude_played)
     return first.join(full.select("user_id"), "user_id", "left_semi").unionByName(second)
 
 

@@ -106,3 +106,28 @@ def test_nonneg_features_for_naive_bayes(spark, sf):
 def test_model_save_path_is_shared_folder(spark):
     p = scratch_path(spark, "x")
     assert "/tables/x-" in p
+
+
+def test_exclude_played(spark, sf):
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    r, users, items = cf.als_ratings(plays)
+    model = cf.make_als().fit(r)
+    out = cf.collaborative_recommendations(model, users, items, songs, 1000, 20,
+                                           exclude_played=plays)
+    played = plays.select("user_id", F.col("song_id").alias("track_id"))
+    assert out.count() > 0
+    assert out.join(played, ["user_id", "track_id"]).count() == 0
+
+
+def test_evaluator_accuracy_equals_aggregate(spark, sf):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from cadenza.operators.metrics import accuracy
+    pred = genre.run_naive_bayes(derived.genre(spark, sf))
+    ev = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(pred)
+    assert abs(ev - accuracy(pred).first().accuracy) < 1e-12
+
+
+def test_ingest_summary(spark, sf):
+    rows = {r.table: r.n_rows for r in Q["ingest_catalogue"](spark, sf).collect()}
+    assert rows["triplets_data"] == derived.plays(spark, sf).count()
+    assert rows["songs_rejects"] == 0 and rows["song_hash_id"] > 0

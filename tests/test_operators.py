@@ -149,3 +149,14 @@ def test_error_and_accuracy_metrics(spark):
     acc = metrics.accuracy(df.select(F.col("actual").alias("label"),
                                      F.col("predicted").alias("prediction"))).first()
     assert acc.accuracy == 0.5 and acc.error == 0.5
+
+
+def test_user_cosine_brute_force(spark):
+    rows = [("u", "a", 1.0), ("u", "b", 2.0), ("v", "a", 3.0), ("v", "b", 1.0), ("v", "c", 5.0),
+            ("w", "c", 1.0)]
+    plays = spark.createDataFrame(rows, "user_id string, song_id string, play_count double")
+    req = spark.createDataFrame([("u",)], "user_id string")
+    got = {r.other_user_id: (r.n_common, r.cosine)
+           for r in arrays.user_cosine(plays, req).collect()}
+    want = (1 * 3 + 2 * 1) / math.sqrt((1 + 4) * (9 + 1))
+    assert set(got) == {"v"} and got["v"][0] == 2 and math.isclose(got["v"][1], want)
