@@ -102,13 +102,15 @@ def run_random_forest(genre_rows: DataFrame, feature_cols: Sequence[str] | None
 
 def run_svm(genre_rows: DataFrame) -> DataFrame:
     """One-vs-rest linear SVM (the source charts it without code)."""
-    return _fit_predict(OneVsRest(classifier=LinearSVC(maxIter=50)), labelled(genre_rows))
+    return _fit_predict(OneVsRest(classifier=LinearSVC(maxIter=50), parallelism=4),
+                        labelled(genre_rows))
 
 
 def run_boosted(genre_rows: DataFrame) -> DataFrame:
     """X11: one-vs-rest gradient-boosted trees (boosting method unspecified
     in the source; nearest Spark equivalent)."""
-    return _fit_predict(OneVsRest(classifier=GBTClassifier(maxIter=10, maxDepth=3, seed=SEED)),
+    return _fit_predict(OneVsRest(classifier=GBTClassifier(maxIter=10, maxDepth=3, seed=SEED),
+                                  parallelism=4),
                         labelled(genre_rows))
 
 
