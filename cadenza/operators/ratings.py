@@ -69,3 +69,11 @@ def hash_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
     """
     flag = split_flag(keys, fraction, seed)
     return df.where(flag), df.where(~flag)
+
+
+def seeded_random_split(df: DataFrame, weights: Sequence[float], keys: Sequence[str],
+                        seed: int = 1) -> list[DataFrame]:
+    """U7 as ``randomSplit`` with a seed.  Rows are sorted by ``keys`` inside
+    each partition first, so the split repeats for the same partitioning
+    (``hash_split`` is the form that repeats under any partitioning)."""
+    return df.sortWithinPartitions(*keys).randomSplit(list(weights), seed)

@@ -158,3 +158,49 @@ def save_and_reload(model: ALSModel, path: str) -> ALSModel:
     """Save (overwriting) and load back."""
     model.write().overwrite().save(path)
     return ALSModel.load(path)
+
+
+def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[float],
+                    alphas: Sequence[float], iters: Sequence[int], implicit: bool = True,
+                    fraction: float = 0.8, parallelism: int = 2):
+    """M3 with ``TrainValidationSplit``: the same grid fitted ``parallelism``
+    settings at a time; returns (results DataFrame, best model).
+
+    ``TrainValidationSplit`` splits at random (seeded); ``grid_search`` is
+    the deterministic hash-split form.
+    """
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+    als = make_als(implicit=implicit)
+    grid = (ParamGridBuilder().addGrid(als.rank, list(ranks)).addGrid(als.regParam, list(regs))
+            .addGrid(als.alpha, list(alphas)).addGrid(als.maxIter, list(iters)).build())
+    ev = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    tvs = TrainValidationSplit(estimator=als, estimatorParamMaps=grid, evaluator=ev,
+                               trainRatio=fraction, parallelism=parallelism, seed=SEED)
+    model = tvs.fit(ratings)
+    rows = [dict(rank=int(pm[als.rank]), reg_param=float(pm[als.regParam]),
+                 alpha=float(pm[als.alpha]), max_iter=int(pm[als.maxIter]), rmse=float(m))
+            for pm, m in zip(grid, model.validationMetrics)]
+    spark = ratings.sparkSession
+    schema = "rank int, reg_param double, alpha double, max_iter int, rmse double"
+    return spark.createDataFrame(rows, schema), model.bestModel
+
+
+def find_model(spark: SparkSession, ratings: DataFrame, model_path: str,
+               ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float],
+               iters: Sequence[int], implicit: bool = True) -> DataFrame:
+    """H7: grid on a hold-out split, the best setting re-scored on the full
+    file (the source's "test" evaluation) as well, best model saved.
+
+    Returns the grid rows (``evaluated_on='holdout'``) and one row for the
+    best model on the full file (``evaluated_on='full_file'``).
+    """
+    res, best_model, best = grid_search(spark, ratings, ranks, regs, alphas, iters, implicit)
+    pred = score_pairs(best_model, ratings.select("user_ix", "item_ix", "rating"))
+    full = error_metrics(pred.select(F.col("rating").cast("double").alias("actual"),
+                                     F.col("prediction").cast("double").alias("predicted")))
+    full = full.select(F.lit(best["rank"]).alias("rank"), F.lit(best["reg_param"]).alias(
+        "reg_param"), F.lit(best["alpha"]).alias("alpha"), F.lit(best["max_iter"]).alias(
+        "max_iter"), "n", "mse", "rmse", "mae", F.lit("full_file").alias("evaluated_on"))
+    save_and_reload(best_model, model_path)
+    return res.withColumn("evaluated_on", F.lit("holdout")).unionByName(full)

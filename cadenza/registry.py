@@ -642,3 +642,20 @@ def q_hybrid_all_users(spark, sf):
     sim_list = sim_ops.similar_items_topk(plays, songs, derived.similar(spark, sf))
     return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list)], 40,
                                       dedupe="max"))
+
+
+@register("als_model_finder")
+def q_als_model_finder(spark, sf):
+    """H7 (A3, U6, M3, M4, A5-A7, S10): grid on a hold-out split, best model
+    also scored on the full file, saved to the shared folder."""
+    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    return round6(cf.find_model(spark, r, scratch_path(spark, "als_best"), ranks=[8, 10],
+                                regs=[1.0, 5.0], alphas=[1.0], iters=[10]))
+
+
+@register("als_grid_tvs")
+def q_als_grid_tvs(spark, sf):
+    """M3 with TrainValidationSplit (settings fitted in parallel)."""
+    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    res, _ = cf.grid_search_tvs(r, ranks=[8, 12], regs=[1.0, 9.0], alphas=[1.0], iters=[10])
+    return round6(res)

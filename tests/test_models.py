@@ -131,3 +131,26 @@ def test_ingest_summary(spark, sf):
     rows = {r.table: r.n_rows for r in Q["ingest_catalogue"](spark, sf).collect()}
     assert rows["triplets_data"] == derived.plays(spark, sf).count()
     assert rows["songs_rejects"] == 0 and rows["song_hash_id"] > 0
+
+
+def test_model_finder_rows(spark, sf):
+    rows = Q["als_model_finder"](spark, sf).collect()
+    hold = [r for r in rows if r.evaluated_on == "holdout"]
+    full = [r for r in rows if r.evaluated_on == "full_file"]
+    assert len(hold) == 4 and len(full) == 1
+    best = min(hold, key=lambda r: r.rmse)
+    assert (full[0].rank, full[0].reg_param) == (best.rank, best.reg_param)
+
+
+def test_tvs_grid(spark, sf):
+    rows = Q["als_grid_tvs"](spark, sf).collect()
+    assert len(rows) == 4 and all(r.rmse >= 0 for r in rows)
+
+
+def test_seeded_random_split_repeats(spark, sf):
+    from cadenza.operators.ratings import seeded_random_split
+    p = derived.plays(spark, sf).repartition(4, "user_id")
+    a, b = seeded_random_split(p, [0.8, 0.2], ["user_id", "song_id"], 3)
+    a2, _ = seeded_random_split(p, [0.8, 0.2], ["user_id", "song_id"], 3)
+    assert a.count() + b.count() == p.count()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, a2.collect()))
