@@ -55,8 +55,7 @@ def q_similar_items_topk(spark, sf):
 from pyspark.ml.feature import IndexToString, StringIndexer  # noqa: E402
 
 from cadenza.functions.features import (CONTENT_FEATURE_NAMES,  # noqa: E402
-                                        GENRE_FEATURES_30, content_vector_columns,
-                                        score_class)
+                                        content_vector_columns, score_class)
 from cadenza.functions.ids import stable_hash28  # noqa: E402
 from cadenza.operators import arrays, ids, metrics, ratings, sets  # noqa: E402
 from cadenza.operators.history import listening_history, split_known_users  # noqa: E402
@@ -553,7 +552,7 @@ def q_als_lambda_curve(spark, sf):
     return round6(res.select("reg_param", "n", "mse", "rmse", "mae"))
 
 
-def _content_inputs(spark, sf, n):
+def _content_inputs(spark, sf):
     plays = derived.plays(spark, sf)
     model, _, users, items = _als_model(spark, sf)
     user = content.pick_user(plays)
@@ -564,7 +563,7 @@ def _content_inputs(spark, sf, n):
 def q_content_new_releases(spark, sf):
     """H4 (M5, M6): new releases for the request user by a content model
     trained on the user's ALS list."""
-    model, users, items, user = _content_inputs(spark, sf, 1000)
+    model, users, items, user = _content_inputs(spark, sf)
     rec = cf.recommend_all(model, users.where(F.col("user_id") == user), items, 1000)
     return round6(content.new_releases_for_user(rec, user, derived.songs_data(spark, sf),
                                                 derived.songs(spark, sf)))
@@ -573,7 +572,7 @@ def q_content_new_releases(spark, sf):
 @register("content_eval_sweep")
 def q_content_eval_sweep(spark, sf):
     """H6: content-model accuracy over ALS list lengths."""
-    model, users, items, user = _content_inputs(spark, sf, 1000)
+    model, users, items, user = _content_inputs(spark, sf)
     u = users.where(F.col("user_id") == user)
     lengths = [10, 50, 100, 200, 500, 1000]
     recs = {n: cf.recommend_all(model, u, items, n) for n in lengths}
@@ -584,7 +583,7 @@ def q_content_eval_sweep(spark, sf):
 def q_hybrid_topk(spark, sf):
     """H5: collaborative + similar-item + content lists merged, top 40."""
     plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
-    model, users, items, user = _content_inputs(spark, sf, 1000)
+    model, users, items, user = _content_inputs(spark, sf)
     u = users.where(F.col("user_id") == user)
     rec = cf.recommend_all(model, u, items, 1000)
     als_list = cf.collaborative_recommendations(model, u, items, songs, 1000, 20)
