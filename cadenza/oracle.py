@@ -524,3 +524,16 @@ j AS (SELECT m.user_id, o.user_id AS other_user_id, m.play_count AS a, o.play_co
 SELECT user_id, other_user_id, CAST(count(*) AS BIGINT) AS n_common,
        round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine
 FROM j GROUP BY user_id, other_user_id"""
+
+_NB_MINMAX_ROWS = f"""nb_rows AS (
+  SELECT track_id, {_LABEL} AS label,
+         {', '.join(
+             f"CASE WHEN mx{i} <> mn{i} THEN (f[{i}] - mn{i}) / (mx{i} - mn{i}) * 1.0 + 0.0 "
+             f"ELSE 0.5 END AS x{i}" for i in range(1, 7))},
+         {_split(7, 'track_id')} AS tr
+  FROM genre CROSS JOIN (SELECT {', '.join(f'min(f[{i}]) AS mn{i}, max(f[{i}]) AS mx{i}'
+                                           for i in range(1, 7))} FROM genre) r)"""
+
+SQL["genre_naive_bayes_minmax"] = with_(GENRE, _NB.replace(
+    _NB[:_NB.index("cls AS (")].rstrip().rstrip(","), _NB_MINMAX_ROWS)) + """
+SELECT track_id, label, prediction FROM nb_pred"""

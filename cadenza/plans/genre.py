@@ -45,6 +45,18 @@ def nonneg_features(genre_rows: DataFrame) -> DataFrame:
                              array_to_vector(clamped).alias("features"))
 
 
+def minmax_features(genre_rows: DataFrame) -> DataFrame:
+    """Q14 alternative to clamping: the six scalars rescaled to [0, 1] by
+    ``MinMaxScaler`` (fitted on all rows, like the label indexer), so
+    negative loudness keeps its order instead of folding to zero."""
+    from pyspark.ml.feature import MinMaxScaler
+    raw = genre_rows.select("genre", "track_id",
+                            genre_name_to_id("genre").cast("double").alias("label"),
+                            array_to_vector(F.slice("f", 1, N_SCALARS)).alias("raw"))
+    model = MinMaxScaler(inputCol="raw", outputCol="features").fit(raw)
+    return model.transform(raw).drop("raw")
+
+
 def split(df: DataFrame, fraction: float = 0.8):
     return hash_split(df, ["track_id"], fraction, SPLIT_SEED)
 
@@ -60,10 +72,12 @@ def run_logit(genre_rows: DataFrame, max_iter: int = 100) -> DataFrame:
                         labelled(genre_rows))
 
 
-def run_naive_bayes(genre_rows: DataFrame, smoothing: float = 1.0) -> DataFrame:
-    """Multinomial naive Bayes on the six clamped features."""
-    return _fit_predict(NaiveBayes(smoothing=smoothing, modelType="multinomial"),
-                        nonneg_features(genre_rows))
+def run_naive_bayes(genre_rows: DataFrame, smoothing: float = 1.0,
+                    scaling: str = "clamp") -> DataFrame:
+    """Multinomial naive Bayes on the six scalars, clamped at zero (as
+    the source) or min-max scaled (``scaling='minmax'``)."""
+    feats = nonneg_features(genre_rows) if scaling == "clamp" else minmax_features(genre_rows)
+    return _fit_predict(NaiveBayes(smoothing=smoothing, modelType="multinomial"), feats)
 
 
 def run_decision_tree(genre_rows: DataFrame) -> DataFrame:

@@ -658,3 +658,10 @@ def q_als_grid_tvs(spark, sf):
     r, _, _ = cf.als_ratings(derived.plays(spark, sf))
     res, _ = cf.grid_search_tvs(r, ranks=[8, 12], regs=[1.0, 9.0], alphas=[1.0], iters=[10])
     return round6(res)
+
+
+@register("genre_naive_bayes_minmax")
+def q_genre_naive_bayes_minmax(spark, sf):
+    """G2 with min-max scaled features instead of clamping (Q14 option)."""
+    pred = genre.run_naive_bayes(derived.genre(spark, sf), scaling="minmax")
+    return pred.select("track_id", "label", "prediction")
