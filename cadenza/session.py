@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete reliable-checkpoint files once their DataFrame is unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
