@@ -160,3 +160,9 @@ def test_user_cosine_brute_force(spark):
            for r in arrays.user_cosine(plays, req).collect()}
     want = (1 * 3 + 2 * 1) / math.sqrt((1 + 4) * (9 + 1))
     assert set(got) == {"v"} and got["v"][0] == 2 and math.isclose(got["v"][1], want)
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from cadenza.session import ensure_checkpoint_dir
+    d = ensure_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
