@@ -20,6 +20,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.functions.ids import stable_hash28
 from cadenza.operators.ids import dense_ids
 from cadenza.operators.metrics import error_metrics
 from cadenza.operators.similar import enrich_and_rank
@@ -28,10 +29,24 @@ from cadenza.operators.topk import rescale_by_max
 SEED = 42
 
 
-def als_ratings(plays: DataFrame, value: str = "play_count"):
-    """(ratings(user_ix, item_ix, rating, user_id, song_id), user map, item map)."""
-    users = dense_ids(plays, "user_id", "user_ix")
-    items = dense_ids(plays, "song_id", "item_ix")
+def als_ratings(plays: DataFrame, value: str = "play_count", id_mode: str = "dense"):
+    """(ratings(user_ix, item_ix, rating, user_id, song_id), user map, item map).
+
+    ``id_mode='dense'``: collision-free 0..n-1 ids.  ``id_mode='hash'``: the
+    source's scheme, a 28-bit hash of each id (fits int32; colliding ids
+    share one ALS row, and mapping back through the map fans out to all of
+    them, as the source's un-hash join does).
+    """
+    if id_mode == "dense":
+        users = dense_ids(plays, "user_id", "user_ix")
+        items = dense_ids(plays, "song_id", "item_ix")
+    elif id_mode == "hash":
+        users = plays.select("user_id", stable_hash28("user_id").cast("int").alias("user_ix")) \
+            .distinct()
+        items = plays.select("song_id", stable_hash28("song_id").cast("int").alias("item_ix")) \
+            .distinct()
+    else:
+        raise ValueError(id_mode)
     r = (plays.join(users, "user_id").join(items, "song_id")
          .select("user_ix", "item_ix", F.col(value).cast("float").alias("rating"),
                  "user_id", "song_id"))

@@ -665,3 +665,14 @@ def q_genre_naive_bayes_minmax(spark, sf):
     """G2 with min-max scaled features instead of clamping (Q14 option)."""
     pred = genre.run_naive_bayes(derived.genre(spark, sf), scaling="minmax")
     return pred.select("track_id", "label", "prediction")
+
+
+@register("als_hash_ids_topk")
+def q_als_hash_ids_topk(spark, sf):
+    """P10 -> M1 -> J3 as the source wires it: ALS on 28-bit hashed ids,
+    recommendations mapped back through the hash map, top-20 lists."""
+    plays = derived.plays(spark, sf)
+    r, users, items = cf.als_ratings(plays, id_mode="hash")
+    model = cf.make_als().fit(r)
+    return round6(cf.collaborative_recommendations(model, users, items,
+                                                   derived.songs(spark, sf), 1000, 20))

@@ -154,3 +154,12 @@ def test_seeded_random_split_repeats(spark, sf):
     a2, _ = seeded_random_split(p, [0.8, 0.2], ["user_id", "song_id"], 3)
     assert a.count() + b.count() == p.count()
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, a2.collect()))
+
+
+def test_hash_id_mode(spark, sf):
+    from cadenza.functions.ids import stable_hash28
+    r, users, items = cf.als_ratings(derived.plays(spark, sf), id_mode="hash")
+    assert users.where(F.col("user_ix") != stable_hash28("user_id").cast("int")).count() == 0
+    assert items.where((F.col("item_ix") < 0) | (F.col("item_ix") >= 1 << 28)).count() == 0
+    assert r.count() == derived.plays(spark, sf).count()
+    _check_lists(Q["als_hash_ids_topk"](spark, sf), 20)
