@@ -574,7 +574,7 @@ def q_content_eval_sweep(spark, sf):
     """H6: content-model accuracy over ALS list lengths."""
     model, users, items, user = _content_inputs(spark, sf)
     u = users.where(F.col("user_id") == user)
-    lengths = [10, 50, 100, 200, 500, 1000]
+    lengths = [10, 50, 100, 200, 500, 1000, 10000]
     recs = {n: cf.recommend_all(model, u, items, n) for n in lengths}
     return round6(content.evaluation_sweep(spark, recs, user, derived.songs_data(spark, sf)))
 
