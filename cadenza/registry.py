@@ -9,12 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.functions.features import (CONTENT_FEATURE_NAMES, content_vector_columns,
+                                        score_class)
+from cadenza.functions.ids import stable_hash28
+from cadenza.operators import arrays, ids, metrics, ratings, sets
 from cadenza.operators import similar as sim_ops
-from cadenza.sources import derived
+from cadenza.operators.history import listening_history, split_known_users
+from cadenza.operators.topk import dedupe_keep_best
+from cadenza.plans import cf, content, genre, hybrid
+from cadenza.session import scratch_path
+from cadenza.sources import derived, files, readers
+from cadenza.sources.tables import read
+from cadenza.streaming.ingest import start_triplet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,23 +61,6 @@ def q_similar_items_topk(spark, sf):
     return round6(sim_ops.similar_items_topk(plays, songs, sim))
 
 
-# ---------------------------------------------------------------------------
-# Imports for the wider query set (kept below the flagship for readability).
-from pyspark.ml.feature import IndexToString, StringIndexer  # noqa: E402
-
-from cadenza.functions.features import (CONTENT_FEATURE_NAMES,  # noqa: E402
-                                        content_vector_columns, score_class)
-from cadenza.functions.ids import stable_hash28  # noqa: E402
-from cadenza.operators import arrays, ids, metrics, ratings, sets  # noqa: E402
-from cadenza.operators.history import listening_history, split_known_users  # noqa: E402
-from cadenza.operators.topk import dedupe_keep_best  # noqa: E402
-from cadenza.plans import cf, content, genre, hybrid  # noqa: E402
-from cadenza.session import scratch_path  # noqa: E402
-from cadenza.sources import files, readers  # noqa: E402
-from cadenza.sources.tables import read  # noqa: E402
-from cadenza.streaming.ingest import start_triplet_stream  # noqa: E402
-
-
 @register("listening_history")
 def q_listening_history(spark, sf):
     """H1: top-30 played songs per user, one row per (title, artist)."""
