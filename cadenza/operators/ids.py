@@ -20,15 +20,23 @@ from cadenza.functions.ids import stable_hash28
 _POS_BITS = 33  # monotonically_increasing_id layout: partition index << 33
 
 
-def global_positions(df: DataFrame, keys: Sequence[str], out: str = "pos") -> DataFrame:
+def global_positions(df: DataFrame, keys: Sequence[str], out: str = "pos",
+                     num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row in the order of ``keys``.
 
     Ties on ``keys`` get distinct but arbitrary positions.  The sorted data
     is checkpointed to the shared checkpoint folder, so positions are fixed
     for every later use of the result.
+
+    The range sort uses ``num_partitions`` or ``spark.sql.shuffle.partitions``
+    ranges; AQE may merge small ranges but never splits one, so on a cluster
+    that setting (or the argument) must be sized to the input (~128-256 MB
+    per range).
     """
     keys = list(keys)
-    s = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    s = (ranged.sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id())
          .checkpoint(eager=True))
     pid = F.shiftright("_mid", _POS_BITS)

@@ -166,3 +166,9 @@ def test_checkpoint_dir_is_read_from_session(spark):
     from cadenza.session import ensure_checkpoint_dir
     d = ensure_checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
+
+
+def test_global_positions_explicit_ranges(spark):
+    df = spark.createDataFrame([(i % 13, i) for i in range(1000)], "k int, v int")
+    pos = ids.global_positions(df, ["k", "v"], num_partitions=5).orderBy("k", "v").collect()
+    assert [r.pos for r in pos] == list(range(1000))
