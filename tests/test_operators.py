@@ -172,3 +172,18 @@ def test_global_positions_explicit_ranges(spark):
     df = spark.createDataFrame([(i % 13, i) for i in range(1000)], "k int, v int")
     pos = ids.global_positions(df, ["k", "v"], num_partitions=5).orderBy("k", "v").collect()
     assert [r.pos for r in pos] == list(range(1000))
+
+
+def test_hybrid_merge_duplicates_and_dedupe(spark):
+    from cadenza.plans.hybrid import hybrid_merge
+    cols = "user_id string, track_id string, title string, artist_name string, " \
+           "duration double, year int, predicted_score double"
+    a = spark.createDataFrame([("u", "t1", "x", "y", 1.0, 2000, 9.0),
+                               ("u", "t2", "x2", "y", 1.0, 2000, 5.0)], cols)
+    b = spark.createDataFrame([("u", "t1", "x", "y", 1.0, 2000, 7.0)], cols)
+    bag = hybrid_merge([("als", a), ("sim", b)], 40).collect()
+    assert sorted((r.track_id, r.source) for r in bag) == [("t1", "als"), ("t1", "sim"),
+                                                           ("t2", "als")]
+    best = hybrid_merge([("als", a), ("sim", b)], 40, dedupe="max").collect()
+    assert sorted((r.track_id, r.source, r["rank"]) for r in best) == [("t1", "als", 1),
+                                                                       ("t2", "als", 2)]
