@@ -50,3 +50,11 @@ def test_only_bounded_broadcast_hints(spark, sf):
         src = inspect.getsource(__import__(m.name, fromlist=["x"]))
         hits += [m.name for _ in re.finditer(r"F\.broadcast\(", src)]
     assert hits == ["cadenza.operators.ids"]
+
+
+@pytest.mark.parametrize("name", ["norm_by_user_max", "norm_min_max", "positive_scores",
+                                  "score_class", "user_profile", "user_cosine",
+                                  "dataset_profile"])
+def test_per_user_statistics_use_aggregates_not_windows(spark, sf, name):
+    plan = _plan(Q[name](spark, sf))
+    assert "Window" not in plan.replace("WindowGroupLimit", ""), name
