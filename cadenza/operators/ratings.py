@@ -77,3 +77,12 @@ def seeded_random_split(df: DataFrame, weights: Sequence[float], keys: Sequence[
     each partition first, so the split repeats for the same partitioning
     (``hash_split`` is the form that repeats under any partitioning)."""
     return df.sortWithinPartitions(*keys).randomSplit(list(weights), seed)
+
+
+def normalize_rejects(plays: DataFrame, value: str = "play_count", key: str = "user_id"
+                      ) -> DataFrame:
+    """Q2: users whose maximum is not positive (their normalised values are
+    NULL), with the number of rows affected."""
+    return (plays.groupBy(key).agg(F.max(value).alias("_mx"), F.count(F.lit(1)).alias("n_rows"))
+            .where(~(F.col("_mx") > 0) | F.col("_mx").isNull())
+            .select(key, "n_rows", F.lit("non-positive maximum").alias("reason")))

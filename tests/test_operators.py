@@ -187,3 +187,10 @@ def test_hybrid_merge_duplicates_and_dedupe(spark):
     best = hybrid_merge([("als", a), ("sim", b)], 40, dedupe="max").collect()
     assert sorted((r.track_id, r.source, r["rank"]) for r in best) == [("t1", "als", 1),
                                                                        ("t2", "als", 2)]
+
+
+def test_zero_max_users_are_reported(spark):
+    df = spark.createDataFrame([("u", "s1", 0), ("u", "s2", 0), ("v", "s1", 4)],
+                               "user_id string, song_id string, play_count int")
+    rej = ratings.normalize_rejects(df).collect()
+    assert [(r.user_id, r.n_rows) for r in rej] == [("u", 2)]
