@@ -537,3 +537,7 @@ _NB_MINMAX_ROWS = f"""nb_rows AS (
 SQL["genre_naive_bayes_minmax"] = with_(GENRE, _NB.replace(
     _NB[:_NB.index("cls AS (")].rstrip().rstrip(","), _NB_MINMAX_ROWS)) + """
 SELECT track_id, label, prediction FROM nb_pred"""
+
+SQL["normalize_rejects"] = with_(PLAYS_QTY) + """
+SELECT user_id, CAST(count(*) AS BIGINT) AS n_rows, 'non-positive maximum' AS reason
+FROM plays_qty GROUP BY user_id HAVING NOT (max(play_count) > 0) OR max(play_count) IS NULL"""

@@ -670,3 +670,10 @@ def q_als_hash_ids_topk(spark, sf):
     model = cf.make_als().fit(r)
     return round6(cf.collaborative_recommendations(model, users, items,
                                                    derived.songs(spark, sf), 1000, 20))
+
+
+@register("normalize_rejects")
+def q_normalize_rejects(spark, sf):
+    """Q2: users whose maximum play count is not positive (NULL normalised
+    values), with the number of rows affected."""
+    return ratings.normalize_rejects(derived.plays(spark, sf, "quantity"))
