@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, line_dedup
+from cadenza.llm import decontaminate, language_id, line_dedup, packing
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -20,7 +20,26 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the labelled two thirds."""
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, placed in sequences of 4096."""
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), default_tokenizer()))
+
+
+def default_tokenizer() -> str:
+    """The public vocabulary that the packing query counts with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
     op4_benchmark_decontamination,
+    op8_language_id,
+    op10_best_fit_packing,
 )}
