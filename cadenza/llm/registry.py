@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, language_id, line_dedup, packing
+from cadenza.llm import decontaminate, language_id, line_dedup, packing, toxicity
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -14,6 +14,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled two thirds."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words inside occurrences of benchmark windows, for each document."""
     return decontaminate.contamination_report(
@@ -39,6 +45,7 @@ def default_tokenizer() -> str:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
+    op3_toxicity,
     op4_benchmark_decontamination,
     op8_language_id,
     op10_best_fit_packing,

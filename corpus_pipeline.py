@@ -10,10 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import decontaminate as search
 from cadenza.llm import line_dedup as lines
+from cadenza.llm import packing, toxicity as kernel
 from cadenza.llm.common import table
+from cadenza.llm.registry import default_tokenizer
 from cadenza.session import scratch_path
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the kernel machine calls toxic go."""
+    return kernel.without_toxic(docs, kernel.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in three documents or more stay in the last one only."""
     return lines.dedup_lines(docs)
@@ -24,9 +31,16 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return search.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of every document and their places in sequences."""
+    return packing.pack(packing.token_pieces(docs, default_tokenizer()))
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("line_dedup", line_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 # Toxicity is a trained model and packing needs a tokenizer: no SQL for those.
