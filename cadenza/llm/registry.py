@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, language_id, line_dedup, packing, toxicity
+from cadenza.llm import decontaminate, language_id, line_dedup, near_dedup, packing, toxicity
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -26,6 +26,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles are 85 % alike."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the labelled two thirds."""
     return language_id.language_id(table(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
     op3_toxicity,
     op4_benchmark_decontamination,
+    op6_minhash_near_dedup,
     op8_language_id,
     op10_best_fit_packing,
 )}
