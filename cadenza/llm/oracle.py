@@ -52,3 +52,80 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
+
+SQL["op6_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT rid, doc_id, unnest(CASE WHEN len(w) >= 3
+         THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM words
+), sizes AS (
+  SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n FROM grams GROUP BY rid
+), shared AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT rid, rid FROM sizes
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b
+), named AS (
+  SELECT a AS rid, min(doc_id) AS c FROM reach JOIN sizes ON sizes.rid = b GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id,
+       coalesce(c, doc_id) = doc_id AS kept
+FROM words LEFT JOIN (SELECT rid, n FROM sizes) USING (rid) LEFT JOIN named USING (rid)
+"""
+
+SQL["op9_url_filter"] = r"""
+WITH RECURSIVE rules(h, p, says) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), parts AS (
+  SELECT page_id, url, html, row_number() OVER () AS rid,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+), parsed AS (
+  SELECT *, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail
+  FROM parts
+), nodes AS (
+  SELECT *, CASE WHEN rest IS NOT NULL THEN host || tail END AS node FROM parsed
+), won AS (
+  SELECT rid, arg_max(h || p, length(h || p)) AS rule, arg_max(says, length(h || p)) AS says
+  FROM nodes JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY rid
+), tags AS (
+  SELECT node, host, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM nodes WHERE rest IS NOT NULL
+), targets AS (
+  SELECT node, host, CASE WHEN regexp_matches(tag, '(?i)rel\s*=\s*["'']?canonical')
+         THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+         WHEN regexp_matches(tag, '(?i)http-equiv\s*=\s*["'']?refresh')
+         THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) END AS link
+  FROM tags
+), absolute AS (
+  SELECT node, CASE WHEN instr(link, '://') > 0 THEN substr(link, instr(link, '://') + 3)
+         WHEN starts_with(link, '//') THEN substr(link, 3) WHEN starts_with(link, '/') THEN host || link END AS rest
+  FROM targets WHERE link <> ''
+), edges AS (
+  SELECT node AS a, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS b
+  FROM absolute WHERE rest IS NOT NULL
+), both_ways AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), blocked(node) AS (
+  SELECT node FROM nodes JOIN won USING (rid) WHERE says = 'block'
+  UNION
+  SELECT e.b FROM blocked JOIN both_ways e ON e.a = blocked.node
+)
+SELECT page_id, host, path, rule,
+       coalesce(says, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM nodes LEFT JOIN won USING (rid)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, language_id, line_dedup, near_dedup, packing, toxicity
+from cadenza.llm import decontaminate, language_id, line_dedup, near_dedup, packing, spotsigs, toxicity, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -26,6 +26,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return spotsigs.compared_with_next(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles are 85 % alike."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
@@ -36,6 +41,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+# The rules of the URL query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict; aliases of blocked pages are blocked."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, placed in sequences of 4096."""
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), default_tokenizer()))
@@ -52,7 +73,9 @@ QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
     op3_toxicity,
     op4_benchmark_decontamination,
+    op5_spotsigs_fingerprints,
     op6_minhash_near_dedup,
     op8_language_id,
+    op9_url_filter,
     op10_best_fit_packing,
 )}
