@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import decontaminate as search
 from cadenza.llm import line_dedup as lines
-from cadenza.llm import packing, toxicity as kernel
+from cadenza.llm import near_dedup, packing, toxicity as kernel
 from cadenza.llm.common import table
 from cadenza.llm.registry import default_tokenizer
 from cadenza.session import scratch_path
@@ -26,6 +26,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents alike in 80 % of their five-word shingles one stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
     return search.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -39,6 +44,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("toxicity", toxicity),
     ("line_dedup", line_dedup),
+    ("minhash_near_dedup", minhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
