@@ -26,10 +26,13 @@ rows that repeat an id are packed each; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -40,35 +43,99 @@ from cadenza.llm.common import int64, settled
 
 CAPACITY = 4096
 END_ID = 1
-CACHE = 200_000   # words whose ids a worker keeps
+CACHE = 300_000   # words in a generation of those whose ids a worker keeps
 ROUNDS = 16       # of multiplicative weights
 FILL_FROM = 32    # shorter pieces are left to the best-fit step
 
-_tokenizer: dict[str, tuple] = {}
+_MARKS = "!#$%&*+,-./:;=?@^_`|~"   # ASCII marks that may follow a word
 
+# Fixed value: the pre-tokenizer of the vocabulary whose words are kept apart.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# The byte-level alphabet: bytes that print stand for themselves, the others
+# for the characters from U+0100 on.
+_PRINT = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_LETTER_OF = {b: b if b in set(_PRINT) else 256 + k for k, b in
+              enumerate(sorted(range(256), key=lambda b: (b in set(_PRINT), b)))}
+
+_tokenizer: dict[str, _Words] = {}
 
-def _encode(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text.
 
-    The vocabulary's pre-tokenizer never spans white space, so the ids of a
-    text are those of its blank-separated words in turn; each word is
-    tokenized once per worker and kept.
+class _Words:
+    """Ids of blank-separated words, each tokenized once while it is in use.
+
+    The pre-tokenizer above never spans white space and parts letters from
+    marks, so the ids of a text are those of its words in turn, those of
+    ``word,`` are those of ``word`` and ``,``, and a run of lower-case letters
+    can go to the model at once.  Another vocabulary gets whole texts.  What
+    was not used since the last change of generation is forgotten.
     """
-    if path not in _tokenizer:
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizer[path] = Tokenizer.from_file(path), {}
-    model, known = _tokenizer[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.wordwise = (steps[0].get("pattern") == {"Regex": _PATTERN}
+                         and [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+                         == ["NFC", "Replace", "Lowercase"])
+        self.model = self.tokenizer.model
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, core: str) -> bytes:
+        """Ids of a run of lower-case letters."""
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(_LETTER_OF)
+        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+
+    def _piece(self, piece: str, letters: bool) -> bytes:
+        ids = self.now.get(piece) or self.old.get(piece)
+        if ids is None:
+            ids = self._letters(piece) if letters else self.whole([piece])[0]
+        self.now[piece] = ids
+        return ids
+
+    def add(self, words: set[str]) -> None:
+        """Make the ids of all these words known."""
+        if len(self.now) > CACHE:
+            self.old, self.now = self.now, {}
+        now, old, other = self.now, self.old, []
+        for w in words.difference(now):
+            ids = old.get(w)
+            if ids is None:
+                core = w.rstrip(_MARKS)
+                if not core.isalpha():
+                    other.append(w)
+                    continue
+                low = core.lower()
+                if not core.isascii() and (low != core or not is_normalized("NFC", core)):
+                    other.append(w)
+                    continue
+                ids = self._piece(low, True)
+                if len(core) < len(w):
+                    ids += self._piece(w[len(core):], False)
+            now[w] = ids
+        now.update(zip(other, self.whole(other)))
+
+
+def _encode(path: str, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text."""
+    if path not in _tokenizer:
+        _tokenizer[path] = _Words(path)
+    words = _tokenizer[path]
+    if not words.wordwise:
+        return [np.frombuffer(ids, dtype="<u4") for ids in words.whole(texts)]
     parts = [t.replace("\n", " ").split(" ") for t in texts]
-    if len(known) > CACHE:
-        known.clear()
-    new = list(set(chain.from_iterable(parts)).difference(known))
-    for k in range(0, len(new), 20_000):
-        some = new[k:k + 20_000]
-        for w, e in zip(some, model.encode_batch(some, add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-    return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype="<u4") for p in parts]
+    words.add(set(chain.from_iterable(parts)))
+    ids = words.now.__getitem__
+    return [np.frombuffer(b"".join(map(ids, p)), dtype="<u4") for p in parts]
 
 
 def _pieces(path: str, capacity: int, end_id: int):
@@ -76,8 +143,8 @@ def _pieces(path: str, capacity: int, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
+            for lo in range(0, whole.num_rows, 2500):
+                b = whole.slice(lo, 2500)
                 row, piece, length, crc = [], [], [], []
                 for i, ids in enumerate(_encode(path, b.column("body").to_pylist())):
                     ids = np.concatenate([ids, end])
