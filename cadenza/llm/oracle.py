@@ -1,7 +1,12 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from cadenza.llm.licenses import TEMPLATES
+
 SQL = {}
 
+_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}')".format(k, n, t.replace("'", "''"))
+                           for k, (n, t) in enumerate(TEMPLATES))
+
 SQL["op1_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, rid, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
@@ -129,3 +134,49 @@ SELECT page_id, host, path, rule,
        coalesce(says, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
 FROM nodes LEFT JOIN won USING (rid)
 """
+
+SQL["op2_license_scan"] = rf"""
+WITH templates(k, license, t) AS (
+  VALUES {_TEMPLATE_ROWS}
+), template_words AS (
+  SELECT k, license, w, count(*) AS tf FROM (
+    SELECT k, license, unnest(regexp_extract_all(lower(t), '[a-z0-9]+')) AS w FROM templates) GROUP BY ALL
+), idf AS (
+  SELECT w, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM template_words GROUP BY w
+), template_vectors AS (
+  SELECT k, license, w, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY k)) AS share
+  FROM template_words JOIN idf USING (w)
+), files AS (
+  SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls,
+         concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'und'), CAST(doc_id % 97 AS VARCHAR)) AS dir
+  FROM documents
+), named AS (
+  SELECT *, len(ls) <= 2 AND regexp_matches(ls[-1], '(?i)licen[sc]') AS is_file FROM files
+), units AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN is_file THEN [text] ELSE ls END) AS unit FROM named
+), unit_words AS (
+  SELECT unit, w, count(*) AS tf FROM (
+    SELECT unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS w FROM (SELECT DISTINCT unit FROM units))
+  GROUP BY ALL
+), weights AS (
+  SELECT unit, w, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS x FROM unit_words LEFT JOIN idf USING (w)
+), norms AS (
+  SELECT unit, sqrt(sum(x * x)) AS norm FROM weights GROUP BY unit
+), scored AS (
+  SELECT unit, license, round(dot / norm, 6) AS cosine FROM (
+    SELECT unit, k, license, sum(x * share) AS dot FROM weights JOIN template_vectors USING (w) GROUP BY ALL)
+  JOIN norms USING (unit) WHERE round(dot / norm, 6) >= 0.6
+), own AS (
+  SELECT rid, cosine, license FROM units JOIN scored USING (unit)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY cosine DESC, license) = 1
+), licensed AS (
+  SELECT dir, license, cosine FROM named JOIN own USING (rid) WHERE is_file
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) = 1
+)
+SELECT doc_id, dir || '/' || CASE WHEN is_file THEN 'LICENSE' ELSE doc_id || '.txt' END AS path,
+       coalesce(own.license, licensed.license) AS license, coalesce(own.cosine, licensed.cosine) AS cosine,
+       CASE WHEN own.license IS NOT NULL THEN CASE WHEN is_file THEN 'file' ELSE 'header' END
+            WHEN licensed.license IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN own.license IS NULL AND licensed.license IS NOT NULL THEN dir END AS from_dir
+FROM named LEFT JOIN own USING (rid) LEFT JOIN licensed USING (dir)
+"""

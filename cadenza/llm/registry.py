@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, language_id, line_dedup, near_dedup, packing, spotsigs, toxicity, url_filter
+from cadenza.llm import decontaminate, language_id, licenses, line_dedup, near_dedup, packing, secrets, spotsigs, toxicity, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -14,6 +14,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's licence: its own, or that of a directory above it."""
+    return licenses.license_scan(licenses.documents_as_files(table(spark, sf_dir, "documents")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled two thirds."""
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +41,11 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate secrets of every document and the forest's judgement."""
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the labelled two thirds."""
     return language_id.language_id(table(spark, sf_dir, "documents"))
@@ -71,10 +81,12 @@ def default_tokenizer() -> str:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
+    op2_license_scan,
     op3_toxicity,
     op4_benchmark_decontamination,
     op5_spotsigs_fingerprints,
     op6_minhash_near_dedup,
+    op7_secret_scan,
     op8_language_id,
     op9_url_filter,
     op10_best_fit_packing,

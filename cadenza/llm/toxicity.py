@@ -142,14 +142,15 @@ def _dense(features: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
     """Linear machine, squared hinge loss, Newton's method on the active set."""
-    a = np.hstack([z, np.ones((len(z), 1))])
+    a = np.hstack([z, np.ones((len(z), 1), dtype=z.dtype)])
     w = np.zeros(a.shape[1])
     ridge = np.eye(a.shape[1])
     ridge[-1, -1] = 1e-4
     for _ in range(25):
-        active = y * (a @ w) < 1
-        aw = a[active] * (cost * weight[active])[:, None]
-        new = np.linalg.solve(ridge + aw.T @ a[active], aw.T @ y[active])
+        active = y * (a @ w.astype(a.dtype)) < 1
+        near = a[active]
+        weighed = near.T * (cost * weight[active]).astype(a.dtype)
+        new = np.linalg.solve(ridge + weighed @ near, weighed @ y[active])
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -171,7 +172,7 @@ def _kernel_machine(pos: np.ndarray, neg: np.ndarray, rng: np.random.Generator)
     root = vector[:, keep] / np.sqrt(value[keep])
     y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
     share = np.where(y > 0, 0.5 / len(pos), 0.5 / len(neg)) * len(y)
-    w, bias = _machine(k_rows @ root / scale, y, share, 10.0)
+    w, bias = _machine(k_rows @ (root / scale).astype(np.float32), y, share, 10.0)
     weights = np.zeros(1 << HASH_BITS, dtype=np.float32)
     weights[known] = (m.T @ (root @ w)) / scale
     return weights, bias
@@ -242,7 +243,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
         negatives.append(top[~y])
         high = np.flatnonzero(sums + bias > -0.5)
         high = high[~y[np.searchsorted(starts, high, side="right") - 1]]
-        negatives.append(rng.permutation(high)[:3000])
+        negatives.append(rng.permutation(high)[:2000])
         neg = np.unique(np.concatenate(negatives))
         pos = positive[strong] if strong.sum() >= 2 else positive
         pos = _features(x, pos)
