@@ -45,7 +45,7 @@ CAPACITY = 4096
 END_ID = 1
 CACHE = 300_000   # words in a generation of those whose ids a worker keeps
 ROUNDS = 16       # of multiplicative weights
-FILL_FROM = 32    # shorter pieces are left to the best-fit step
+FILL_FROM = 32    # shorter pieces take no part in the linear program
 
 _MARKS = "!#$%&*+,-./:;=?@^_`|~"   # ASCII marks that may follow a word
 
@@ -187,8 +187,8 @@ def _knapsack(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]
 
 def _priced(count: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
     """A fractional solution: configuration (sorted lengths) to multiplicity."""
-    sizes = np.flatnonzero(count)
-    fill = (count > 0) & (np.arange(capacity + 1) >= min(FILL_FROM, capacity))
+    fill = (count > 0) & (np.arange(capacity + 1) >= FILL_FROM)
+    sizes = np.flatnonzero(fill)
     price = np.where(fill, np.arange(capacity + 1) / capacity, -np.inf)
     solution: dict[tuple, float] = {}
     for t in range(rounds):
@@ -264,10 +264,11 @@ def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY,
     left, plan = count.copy(), []
     if count.any():
         solution = _priced(count.astype(float), capacity, rounds)
-        for config, amount in sorted(solution.items(), key=lambda x: (sum(x[0]) - capacity < 0, -x[0][0], x[0])):
+        least = int(np.flatnonzero(count)[0])   # a configuration with room for it is not used
+        for config, amount in sorted(solution.items(), key=lambda x: (sum(x[0]) < capacity, -x[0][0], x[0])):
             sizes, need = np.unique(config, return_counts=True)
             times = min(int(amount + 1e-9), int((left[sizes] // need).min()))
-            if times > 0:
+            if times > 0 and sum(config) + least > capacity:
                 left[sizes] -= times * need
                 plan.append((config, times))
     return plan + _best_fit(left, capacity)
