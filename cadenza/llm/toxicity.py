@@ -39,20 +39,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from cadenza.llm.common import held_out, text_bytes
+from cadenza.llm.common import held_out, text_bytes, whole_texts
 from cadenza.llm.letters import alphabet, codes, groups, letter_table, strings
 
-TOXIC_ROWS = 1200
-CLEAN_ROWS = 3000
-MAX_CHARS = 20_000
+TOXIC_ROWS = 1000
+CLEAN_ROWS = 2500
+MAX_CHARS = 10_000
 THRESHOLD = 0.7
 
 LETTERS = 60
 HASH_BITS = 18
 DECAY = 0.8
 STRETCH = 6          # subsequences start at so many letters in a row
-LANDMARKS = 480
-ROUNDS = 5
+LANDMARKS = 400
+ROUNDS = 6
+VOTES = 3             # machines of the last rounds that make the model
 DISGUISED = 300      # words shown again with letters or blanks put in
 CHUNK = 1 << 18      # letters scored at once
 
@@ -66,7 +67,7 @@ _PAD = 63            # a code of its own between texts
 def _hashed(x: np.ndarray, at: np.ndarray | slice, gaps: tuple[int, int, int], n: int) -> np.ndarray:
     """Subsequence numbers for the starts ``at`` (n of them if a slice)."""
     def code(g):
-        return x[g:g + n] if isinstance(at, slice) else x[at + g]
+        return (x[g:g + n] if isinstance(at, slice) else x[at + g]).astype(np.uint32)
     a, b, c = gaps
     h = code(0) | code(a) << np.uint32(6) | code(b) << np.uint32(12) | code(c) << np.uint32(18)
     return (h * np.uint32(0x9E3779B1)) >> np.uint32(32 - HASH_BITS)
@@ -84,22 +85,26 @@ def _joined(coded: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         last = zero if len(c) and c[-1] else zero[:0]
         parts += [lead, c, last, tail]
         at += len(lead) + len(c) + len(last) + len(tail)
-    x = np.concatenate(parts).astype(np.uint32) if parts else np.zeros(0, np.uint32)
+    x = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
     return x, np.array(starts, dtype=np.int64)
 
 
 def _stretch_sums(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The weights' sum over the stretch that begins at each letter."""
-    n = len(x) - _REACH
-    s = np.zeros(len(x), dtype=np.float32)
-    for lo in range(0, n, CHUNK):
-        m = min(CHUNK, n - lo)
+    """The weights' sum over the stretch that begins at each letter; none
+    begins in a text's padding, from where it would reach the next text."""
+    total = np.zeros(len(x), dtype=np.float32)
+    for lo in range(0, len(x) - _REACH, CHUNK):
+        m = min(CHUNK + STRETCH - 1, len(x) - _REACH - lo)
+        s = np.zeros(m, dtype=np.float32)
         part = x[lo:lo + m + _REACH]
         for gaps, decay in zip(_GAPS, _DECAYS):
-            s[lo:lo + m] += decay * weights[_hashed(part, slice(None), gaps, m)]
-    total = s.copy()
-    for k in range(1, STRETCH):
-        total[:-k] += s[k:]
+            s += decay * weights[_hashed(part, slice(None), gaps, m)]
+        n = min(CHUNK, m)
+        out = total[lo:lo + n]
+        for k in range(STRETCH):
+            own = s[k:k + n]
+            out[:len(own)] += own
+    total[x == _PAD] = -np.inf
     return total
 
 
@@ -122,7 +127,7 @@ class Model:
 
     def scores(self, texts: list[str], table: np.ndarray) -> np.ndarray:
         out = np.zeros(len(texts))
-        for lo, hi in groups(texts, 1_000_000):
+        for lo, hi in groups(texts, 500_000):
             x, starts = _joined([codes(t, table) for t in texts[lo:hi]])
             best = np.maximum.reduceat(_stretch_sums(x, self.weights), starts)
             out[lo:hi] = 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -30, 30)))
@@ -142,15 +147,18 @@ def _dense(features: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
     """Linear machine, squared hinge loss, Newton's method on the active set."""
-    a = np.hstack([z, np.ones((len(z), 1), dtype=z.dtype)])
-    w = np.zeros(a.shape[1])
-    ridge = np.eye(a.shape[1])
+    w = np.zeros(z.shape[1] + 1)
+    ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-4
     for _ in range(25):
-        active = y * (a @ w.astype(a.dtype)) < 1
-        near = a[active]
-        weighed = near.T * (cost * weight[active]).astype(a.dtype)
-        new = np.linalg.solve(ridge + weighed @ near, weighed @ y[active])
+        gram, right = ridge.copy(), np.zeros(len(w))
+        active = np.flatnonzero(y * (z @ w[:-1].astype(z.dtype) + w[-1]) < 1)
+        for k in np.array_split(active, 1 + len(active) // 2000):
+            a = np.hstack([z[k], np.ones((len(k), 1), dtype=z.dtype)]).astype(float)
+            weighed = a.T * (cost * weight[k])
+            gram += weighed @ a
+            right += weighed @ y[k]
+        new = np.linalg.solve(gram, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -165,16 +173,18 @@ def _kernel_machine(pos: np.ndarray, neg: np.ndarray, rng: np.random.Generator)
     known = np.unique(marks)
     m = _dense(marks, known)
     rows = np.concatenate([pos, neg])
-    k_rows = np.concatenate([_dense(rows[lo:lo + 1000], known) @ m.T for lo in range(0, len(rows), 1000)])
-    scale = float(np.mean(np.diag(m @ m.T)))
-    value, vector = np.linalg.eigh((m @ m.T / scale).astype(float))
+    between = (m @ m.T).astype(float)
+    scale = float(np.mean(np.diag(between)))
+    value, vector = np.linalg.eigh(between / scale)
     keep = value > 1e-6 * value[-1]
     root = vector[:, keep] / np.sqrt(value[keep])
+    to = (m.T @ (root / scale)).astype(np.float32)   # Nyström features of a stretch
+    z = np.concatenate([_dense(rows[lo:lo + 500], known) @ to for lo in range(0, len(rows), 500)])
     y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
     share = np.where(y > 0, 0.5 / len(pos), 0.5 / len(neg)) * len(y)
-    w, bias = _machine(k_rows @ (root / scale).astype(np.float32), y, share, 10.0)
+    w, bias = _machine(z, y, share, 10.0)
     weights = np.zeros(1 << HASH_BITS, dtype=np.float32)
-    weights[known] = (m.T @ (root @ w)) / scale
+    weights[known] = to @ w
     return weights, bias
 
 
@@ -189,7 +199,7 @@ def _disguised(x: np.ndarray, at: np.ndarray, rng: np.random.Generator) -> tuple
             lo -= 1
         while 0 < x[hi] < _PAD and hi - middle < 20:
             hi += 1
-        word = x[lo:hi].astype(np.uint8)
+        word = x[lo:hi]
         if len(word) >= 4:
             made.append(np.insert(word, rng.integers(2, len(word) - 1), rng.integers(1, 27)))
             spaced = np.zeros(2 * len(word), dtype=np.uint8)
@@ -233,24 +243,28 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
     negatives = [rng.integers(0, n - _REACH - STRETCH, 2000)]
     owner = np.searchsorted(starts, negatives[0], side="right") - 1
     negatives[0] = negatives[0][~y[owner]]
-    bias = 0.0
+    bias, machines = 0.0, []
     for _ in range(ROUNDS):
         sums = _stretch_sums(x, weights)
-        sums[-(_REACH + STRETCH):] = -np.inf
         top = _highest(sums, starts, n)
         positive = top[y]
         strong = sums[positive] >= np.quantile(sums[top[~y]], 0.9)
         negatives.append(top[~y])
-        high = np.flatnonzero(sums + bias > -0.5)
+        high = np.flatnonzero(sums > -0.5 - bias)
         high = high[~y[np.searchsorted(starts, high, side="right") - 1]]
         negatives.append(rng.permutation(high)[:2000])
+        del negatives[1:-6]   # random ones, and those of the last three rounds
         neg = np.unique(np.concatenate(negatives))
         pos = positive[strong] if strong.sum() >= 2 else positive
         pos = _features(x, pos)
         hidden, at = _disguised(x, rng.permutation(positive[strong])[:DISGUISED], rng)
         if len(at):
             pos = np.concatenate([pos, _features(hidden, _highest(_stretch_sums(hidden, weights), at, len(hidden)))])
-        weights, bias = _kernel_machine(pos, _features(x, neg), rng)
+        machines.append(_kernel_machine(pos, _features(x, neg), rng))
+        # the machines of the last rounds, each with landmarks of its own, vote;
+        # as they are linear in the subsequences, so is their mean
+        weights = np.mean([w for w, _ in machines[-VOTES:]], axis=0)
+        bias = float(np.mean([b for _, b in machines[-VOTES:]]))
 
     rest, first = _joined([c for c, k in zip(coded, learn) if not k] or [np.zeros(0, np.uint8)])
     kept = toxic[~learn]
@@ -258,8 +272,21 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
         best, kind = np.maximum.reduceat(_stretch_sums(rest, weights), first), kept
     else:
         best, kind = np.maximum.reduceat(_stretch_sums(x, weights), starts), y
-    slope, offset = _logistic(best + bias, kind)
-    return Model(letters, weights, slope, slope * bias + offset)
+    slope = max(1.0, _logistic(best, kind)[0])
+    return Model(letters, weights, slope, np.log(THRESHOLD / (1 - THRESHOLD)) - slope * _cut(best, kind))
+
+
+def _cut(value: np.ndarray, kind: np.ndarray) -> float:
+    """The value that parts the kinds with the fewest errors; the middle of
+    the widest such gap."""
+    order = np.argsort(value)
+    v, k = value[order], kind[order]
+    errors = np.concatenate([[0], np.cumsum(k)]) + np.concatenate([[0], np.cumsum(~k)])[-1] \
+        - np.concatenate([[0], np.cumsum(~k)])
+    lo, hi = np.concatenate([[v[0] - 1], v]), np.concatenate([v, [v[-1] + 1]])
+    gap = np.where(errors == errors.min(), hi - lo, -1.0)
+    at = int(gap.argmax())
+    return float((lo[at] + hi[at]) / 2)
 
 
 def _logistic(value: np.ndarray, kind: np.ndarray) -> tuple[float, float]:
@@ -323,7 +350,7 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
                 [b.column("doc_id"), b.column("held_out"), pa.array(s),
                  pa.array((s >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
                        text_bytes().alias("body"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
@@ -337,4 +364,4 @@ def without_toxic(docs: DataFrame, model: Model | None, threshold: float = THRES
         import pandas as pd
 
         return pd.Series(_scored(shared, [b.decode("utf-8", "replace") for b in body]))
-    return docs.where(scored(text_bytes()) < threshold)
+    return whole_texts(docs).where(scored(text_bytes()) < threshold)
