@@ -27,7 +27,8 @@ def ingest(spark: SparkSession, triplets: str, songs_csv: str, attributes_csv: s
     plays, bad_plays = readers.read_triplets(spark, triplets, "tab_int")
     songs, bad_songs = readers.read_songs_csv(spark, songs_csv)
     attrs, bad_attrs = readers.read_attributes_csv(spark, attributes_csv)
-    sim = unpack_pairs(readers.read_similar_csv(spark, similar_csv))
+    packed, bad_sim = readers.read_similar_csv(spark, similar_csv)
+    sim = unpack_pairs(packed)
 
     tables = {
         "triplets_data": plays,
@@ -37,6 +38,7 @@ def ingest(spark: SparkSession, triplets: str, songs_csv: str, attributes_csv: s
         "triplets_rejects": bad_plays,
         "songs_rejects": bad_songs,
         "attributes_rejects": bad_attrs,
+        "similarity_rejects": bad_sim,
     }
     for name, df in tables.items():
         df.write.mode("errorifexists").parquet(f"{out}/{name}")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.features import GENRE_FILE_COLUMNS, genre_name_to_id
-from cadenza.functions.packed import unpack_pairs
+from cadenza.functions.packed import dangling_count, packed_entries, unpack_pairs
 
 # The typed column layouts of the source files.
 SONG_COLUMNS = [
@@ -46,7 +46,7 @@ def _typed(cols: list[tuple[str, str]]) -> tuple[list[Column], Column]:
 
 
 def _split_rejects(df: DataFrame, cols: list[Column], bad: Column, reason: str):
-    flagged = df.withColumn("_bad", bad)
+    flagged = df.withColumn("_bad", F.coalesce(bad | F.col(CORRUPT).isNotNull(), F.lit(True)))
     rows = flagged.where(~F.col("_bad")).select(*cols)
     rejects = flagged.where(F.col("_bad")).select(
         F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("raw"),
@@ -54,13 +54,25 @@ def _split_rejects(df: DataFrame, cols: list[Column], bad: Column, reason: str):
     return rows, rejects
 
 
+CORRUPT = "_corrupt"   # the whole line, where it has too many or too few fields
+
+
 def _csv_text(spark: SparkSession, path: str, names: list[str], header: bool, **opts):
-    schema = ", ".join(f"`{n}` string" for n in names)
-    r = spark.read.schema(schema).option("header", str(header).lower()).option(
-        "mode", "PERMISSIVE")
-    for k, v in opts.items():
-        r = r.option(k, v)
-    return r.csv(path)
+    """All columns as text, and ``CORRUPT``.  With a header, columns are taken
+    by the header's names, wherever they stand; names that the file lacks are
+    null.  Doubled quotes inside quoted values are one quote."""
+    if header:
+        found = (spark.read.option("header", "true").option("inferSchema", "false")
+                 .option("escape", '"').options(**opts).csv(path).columns)
+    else:
+        found = names
+    schema = ", ".join(f"`{n}` string" for n in found) + f", `{CORRUPT}` string"
+    r = (spark.read.schema(schema).option("header", str(header).lower())
+         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+         .option("escape", '"').option("enforceSchema", "false").options(**opts))
+    df = r.csv(path)
+    return df.select(*[F.col(f"`{n}`") if n in found else F.lit(None).cast("string").alias(n)
+                       for n in names], CORRUPT)
 
 
 def read_triplets(spark: SparkSession, path: str, variant: str = "tab_int"):
@@ -75,7 +87,8 @@ def read_triplets(spark: SparkSession, path: str, variant: str = "tab_int"):
         parts = F.split(F.trim(F.col("value")), r"\s+")
         df = spark.read.text(path).select(
             F.get(parts, 0).alias("user_id"), F.get(parts, 1).alias("song_id"),
-            F.get(parts, 2).alias("play_count"))
+            F.get(parts, 2).alias("play_count"),
+            F.when(F.size(parts) != 3, F.col("value")).alias(CORRUPT))
     else:
         raise ValueError(variant)
     typ = "int" if variant == "tab_int" else "double"
@@ -101,16 +114,40 @@ def read_attributes_csv(spark: SparkSession, path: str):
     return _split_rejects(df, cols, bad | F.col("track_id").isNull(), "bad attribute row")
 
 
+def _similar_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, tid, target, bad): each line split at its first comma, quoted
+    or not, quotes trimmed; the header is the line ``tid,target``."""
+    lines = spark.read.text(path).where(
+        (F.trim("value") != "") & ~F.regexp_replace("value", r'[\s"]', "").eqNullSafe("tid,target"))
+    at = F.instr("value", ",")
+    quotes = "trim(BOTH '\"' FROM trim({}))"
+    rows = lines.select("value", at.alias("_at"),
+                        F.when(at > 0, F.substring("value", F.lit(1), at - 1)).alias("_tid"),
+                        F.when(at > 0, F.substring("value", at + 1, F.length("value"))).alias("_target"))
+    rows = rows.select("value", F.expr(quotes.format("_tid")).alias("tid"),
+                       F.expr(quotes.format("_target")).alias("target"))
+    scores = packed_entries("target")
+    bad_score = F.exists(scores, lambda e: e["score"].isNull() | (e["target"] == ""))
+    return rows.select("*", (F.coalesce("tid", F.lit("")) == "").alias("no_id"),
+                       F.coalesce(bad_score, F.lit(False)).alias("bad_score"),
+                       ((F.coalesce("target", F.lit("")) != "") & (dangling_count("target") == 1)).alias("odd"))
+
+
 def read_similar_csv(spark: SparkSession, path: str):
-    """S6 + P13: (tid, target) with target a quoted packed list; only the
-    header line is dropped (data lines containing ``tid`` are kept)."""
-    df = _csv_text(spark, path, ["tid", "target"], True)
-    return df.select("tid", F.expr("trim(BOTH '\"' FROM target)").alias("target"))
+    """S6 + P13: (tid, target) with target a packed list.  A line is a row
+    unless it has no id or an unreadable score; an odd trailing id is kept in
+    the packed list and reported as well, as ``odd tail``."""
+    rows = _similar_lines(spark, path)
+    unreadable = F.col("no_id") | F.col("bad_score")
+    rejects = rows.where(unreadable | F.col("odd")).select(
+        F.col("value").alias("raw"),
+        F.when(F.col("no_id"), "no id").when(F.col("bad_score"), "bad score").otherwise("odd tail").alias("reason"))
+    return rows.where(~unreadable).select("tid", "target"), rejects
 
 
 def read_similar_long(spark: SparkSession, path: str) -> DataFrame:
     """S6 -> P15: the packed CSV straight to long form (tid, target, score)."""
-    return unpack_pairs(read_similar_csv(spark, path))
+    return unpack_pairs(read_similar_csv(spark, path)[0])
 
 
 def read_genre_file(spark: SparkSession, path: str):
@@ -118,7 +155,7 @@ def read_genre_file(spark: SparkSession, path: str):
     the single ``%`` line names the columns; unknown genres and bad numbers
     go to the reject table."""
     df = _csv_text(spark, path, GENRE_FILE_COLUMNS, False, comment="#")
-    df = df.where(~F.col("genre").startswith("%"))
+    df = df.where(~F.coalesce(F.col("genre").startswith("%"), F.lit(False)))
     typed = [("genre", "string"), ("track_id", "string"), ("artist_name", "string"),
              ("title", "string")] + [(c, "double") for c in GENRE_FILE_COLUMNS[4:]]
     cols, bad = _typed(typed)

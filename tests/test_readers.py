@@ -49,7 +49,8 @@ def test_similarity_line_with_tid_and_packed_list(spark):
     long = readers.read_similar_long(spark, d)
     got = sorted((r["tid"], r["target"], r["score"]) for r in long.collect())
     assert got == [("T2", "x", 0.5), ("TRtid9", "A", 0.5), ("TRtid9", "B", 0.25)]
-    raw = readers.read_similar_csv(spark, d)
+    raw, rejects = readers.read_similar_csv(spark, d)
+    assert [r.reason for r in rejects.collect()] == ["odd tail"]
     dang = {r["tid"]: r["d"] for r in raw.select("tid", dangling_count("target").alias("d"))
             .collect()}
     assert dang == {"TRtid9": 0, "T2": 1}
@@ -87,3 +88,42 @@ def test_typed_columns(spark):
     types = dict(rows.dtypes)
     assert types["duration"] == "double" and types["year"] == "int"
     assert rows.where(F.col("shs_work") == 2).count() == 1
+
+
+ATTR_HEADER = "track_id,danceability,energy,key,loudness,tempo,time_signature\n"
+
+
+def test_reordered_header_is_followed(spark):
+    d = _write("track_id,energy,danceability,key,loudness,tempo,time_signature\nT1,0.9,0.1,3,-5.0,120.0,4\n")
+    rows, rejects = readers.read_attributes_csv(spark, d)
+    r = rows.first()
+    assert (r.danceability, r.energy) == (0.1, 0.9) and rejects.count() == 0
+
+
+def test_extra_and_missing_fields_are_rejected(spark):
+    d = _write(ATTR_HEADER + "T1,0.5,0.6,3,-5.0,120.0,4\nT2,0.5,0.6,3,-5.0,120.0,4,extra\nT3,0.5\n")
+    rows, rejects = readers.read_attributes_csv(spark, d)
+    assert [r.track_id for r in rows.collect()] == ["T1"] and rejects.count() == 2
+
+
+def test_doubled_quotes(spark):
+    d = _write(SONG_HEADER + 'T1,"Say ""Hi"", now",S1,R,A1,M1,Artist,200.5,0.5,0.4,2001,7,1,2\n')
+    rows, rejects = readers.read_songs_csv(spark, d)
+    assert rows.first().title == 'Say "Hi", now' and rejects.count() == 0
+
+
+def test_similarity_lines_quoted_or_not(spark):
+    d = _write('tid,target\nT1,A,0.9,B,0.5\nT2,"A,0.25"\n"T3","A,0.75"\n,A,0.5\nT5,A,high\nT6,A,0.5,C\nT7,\n')
+    rows, rejects = readers.read_similar_csv(spark, d)
+    long = sorted((r.tid, r.target, r.score) for r in unpack_pairs(rows).collect())
+    assert long == [("T1", "A", 0.9), ("T1", "B", 0.5), ("T2", "A", 0.25), ("T3", "A", 0.75), ("T6", "A", 0.5)]
+    assert sorted(r.reason for r in rejects.collect()) == ["bad score", "no id", "odd tail"]
+    # seven lines: two unreadable, the others are rows (one with its odd tail reported)
+    assert rows.count() == 5
+
+
+def test_empty_genre_is_rejected_not_lost(spark):
+    nums = ",".join(["1.5"] * 30)
+    d = _write(f"# note\n%genre,track_id\nfolk,T1,A,Song,{nums}\n,T2,B,Other,{nums}\n")
+    rows, rejects = readers.read_genre_file(spark, d)
+    assert rows.count() == 1 and rejects.count() >= 1
