@@ -12,9 +12,10 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every session should carry; a cluster may override any of them.
+# Settings for a session that does not name them itself.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -34,8 +35,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    given = SparkConf()   # spark-submit's and spark-defaults.conf's settings
+    running = SparkContext._active_spark_context
     for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+        if not given.contains(k) and not (running and running.getConf().contains(k)):
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     extra = dict(extra or {})
@@ -56,8 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as is.  Only when nothing is configured (tests, local runs) a fresh local
-    folder is created.
+    as is.  Where nothing is configured, a local master (tests, local runs)
+    gets a fresh local folder; on any other master that is an error, as its
+    executors would not see the driver's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,8 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        # nothing configured (tests, local runs): a fresh local folder
-        conf_dir = tempfile.mkdtemp(prefix="cadenza-ckpt-")
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master {sc.master})")
+        conf_dir = "file://" + tempfile.mkdtemp(prefix="cadenza-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -76,12 +83,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables.
 
     Files written by a job (intermediate tables, round-trip checks) live next
-    to the checkpoints, so every executor can read them back.
+    to the checkpoints, so every executor can read them back.  The path keeps
+    the folder's scheme; what was written under it is removed when the
+    driver's file system is closed, at the end of the application.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def _is_local(master: str) -> bool:
+    """One JVM for driver and executors (``local-cluster`` has several)."""
+    return master == "local" or master.startswith("local[")
 
 
 def table_path(sf_dir: str, name: str) -> str:
