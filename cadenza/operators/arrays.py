@@ -3,10 +3,7 @@
 
 P27 re-aims the per-file accessor of the raw song format: record *i* of a
 file owns ``flat[start_i : start_{i+1}]`` and the last record runs to the
-end.  Instead of a range join, each record's range is exploded into its
-positions, and positions are equi-joined to the flat values on
-(file, pos) — a unique key, so a large file never lands in one task — then
-collected per record, whose size is the record's own length.
+end.  A file is one row with its flat array and its offsets.
 """
 
 from __future__ import annotations
@@ -17,22 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def ragged_slice(flat: DataFrame, offsets: DataFrame, file: str = "file") -> DataFrame:
-    """(file, rec, n, vals) from flat (file, pos, value) and offsets
-    (file, rec, start).  Positions are 0-based."""
-    lengths = flat.groupBy(file).agg(F.count(F.lit(1)).alias("_len"))
-    # end of record i = start of record i+1 (an equi-join on the unique
-    # (file, rec) key); the last record runs to the file length
-    nxt = offsets.select(file, (F.col("rec") - 1).alias("rec"), F.col("start").alias("_next"))
-    bounds = (offsets.join(nxt, [file, "rec"], "left").join(lengths, file)
-              .withColumn("_end", F.coalesce(F.col("_next"), F.col("_len"))))
-    pos = bounds.select(file, "rec",
-                        F.explode(F.sequence(F.col("start"), F.col("_end") - 1)).alias("pos"))
-    j = pos.join(flat, [file, "pos"])
-    return (j.groupBy(file, "rec")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_s"))
-            .select(file, "rec", F.size("_s").cast("bigint").alias("n"),
-                    F.transform("_s", lambda s: s["value"]).alias("vals")))
+def ragged_slice(files: DataFrame, file: str = "file", values: str = "vals",
+                 starts: str = "starts") -> DataFrame:
+    """(file, rec, n, vals) from one row per file with its flat values
+    and the start of each record (0-based).
+
+    Record i is ``values[starts[i] : starts[i + 1]]``, the last one runs to
+    the end; a record may be empty.  ``slice`` within the row: no shuffle.
+    """
+    length = F.size(values)
+    nxt = F.coalesce(F.get(F.col("_starts"), F.col("rec") + 1), F.col("_len"))
+    rows = (files.select(F.col(file), F.col(values).alias("_vals"), F.col(starts).alias("_starts"),
+                         length.alias("_len"))
+            .select("*", F.posexplode("_starts").alias("rec", "_start"))
+            .withColumn("n", F.greatest(nxt - F.col("_start"), F.lit(0))))
+    return rows.select(file, F.col("rec").cast("bigint").alias("rec"),
+                       F.col("n").cast("bigint").alias("n"),
+                       F.slice("_vals", (F.col("_start") + 1).cast("int"), F.col("n").cast("int")).alias("vals"))
 
 
 def array_mean(arr: Column | str, start: int, length: int) -> Column:
@@ -41,22 +39,29 @@ def array_mean(arr: Column | str, start: int, length: int) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / F.size(a)
 
 
-def segment_stats(df: DataFrame, key: str, arr: str, dims: int, n_values: int) -> DataFrame:
-    """Per (key, dim) mean and population variance over segments, where
-    the first ``n_values`` elements of ``arr`` are segments of ``dims``
-    values each (segment-major, as a segments x dims matrix).  Also the
-    population covariance of each dim with the next one."""
-    e = df.select(key, F.posexplode(F.slice(arr, 1, n_values)).alias("p", "v"))
-    e = e.select(key, (F.col("p") % dims).alias("dim"), (F.col("p") / dims).cast("int")
-                 .alias("seg"), "v")
-    nxt = e.select(key, "seg", (F.col("dim") - 1).alias("dim"), F.col("v").alias("v_next")) \
-        .where(F.col("dim") >= 0)
-    j = e.join(nxt, [key, "seg", "dim"], "left")
-    return (j.groupBy(key, "dim").agg(
-        F.avg("v").alias("avg_v"),
-        F.var_pop("v").alias("var_v"),
-        F.covar_pop("v", "v_next").alias("cov_next"))
-        .withColumn("dim", (F.col("dim") + 1).cast("bigint")))
+def segment_stats(df: DataFrame, key: str, arr: str, dims: int) -> DataFrame:
+    """Per key, the mean of each dimension and the covariance of every
+    pair of dimensions over the segments of the whole array.
+
+    The array is cut into rows of ``dims`` values (segment-major); the last
+    segment may be short, a pair counts where a segment has both.  One row
+    per key and pair (i, j), i <= j, both from 1: ``dims * (dims + 1) / 2``
+    rows, i = j being the variance.  The segments are exploded once and all
+    pairs are aggregates of that row, so there is no join of dimensions.
+    """
+    n_seg = F.ceil(F.size(arr) / F.lit(dims)).cast("int")
+    seg = (df.where(F.size(arr) > 0)
+           .select(key, arr, F.explode(F.sequence(F.lit(0), n_seg - 1)).alias("_s"))
+           .select(key, *[F.get(arr, F.col("_s") * dims + k).cast("double").alias(f"_v{k}")
+                          for k in range(dims)]))
+    pairs = [(i, j) for i in range(dims) for j in range(i, dims)]
+    agg = seg.groupBy(key).agg(
+        *[F.avg(f"_v{i}").alias(f"_m{i}") for i in range(dims)],
+        *[F.covar_pop(f"_v{i}", f"_v{j}").alias(f"_c{i}_{j}") for i, j in pairs])
+    cells = F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("i"), F.lit(j + 1).cast("bigint").alias("j"),
+                               F.col(f"_m{i}").alias("avg_i"), F.col(f"_c{i}_{j}").alias("cov"))
+                      for i, j in pairs])
+    return agg.select(key, F.inline(cells))
 
 
 def user_profile(plays: DataFrame, item_features: DataFrame, features: Sequence[str],
@@ -74,23 +79,12 @@ def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
-def impute_midrange(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Fill NULLs of each column with its mid-range (min + max) / 2.
-
-    The ranges come from one aggregate; its single row (two numbers per
-    column) is read on the driver and applied as literals.
-    """
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    r = df.agg(*aggs).first()
-    out = df
-    for c in cols:
-        lo, hi = r[f"lo_{c}"], r[f"hi_{c}"]
-        mid = None if lo is None or hi is None else (float(lo) + float(hi)) / 2.0
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"),
-                                           F.lit(mid).cast("double")))
-    return out
+def impute_midrange(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Fill NULLs of each column with the middle of its declared range
+    (the attribute's own, not the observed one): no pass over the data."""
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit((float(lo) + float(hi)) / 2.0))
+              for c, (lo, hi) in bounds.items()}
+    return df.withColumns(filled)
 
 
 def user_cosine(plays: DataFrame, requests: DataFrame, user: str = "user_id",

@@ -8,8 +8,9 @@ cut (a second window function in the same select would disable the limit);
 the maximum of the kept rows is rank 1, so the value is the same.
 
 ``dedupe_keep_best`` replaces ``dropDuplicates`` with an ordered survivor via
-a ``min(struct)`` aggregate: it is a hash aggregate with a map-side combine,
-so duplicate groups never have to be buffered whole.
+a ``min(struct)`` aggregate with a map-side combine, so duplicate groups never
+have to be buffered whole.  Spark plans it as a sort aggregate, as the
+survivor holds strings.
 """
 
 from __future__ import annotations

@@ -35,7 +35,7 @@ ATTRS = """attrs AS (
          CAST(e.embedding[4] AS DOUBLE) * 60 AS loudness,
          60 + abs(CAST(e.embedding[5] AS DOUBLE)) * 200 AS tempo,
          3 + CAST(floor(abs(CAST(e.embedding[6] AS DOUBLE)) * 10) AS INTEGER) % 3 AS time_signature
-  FROM part p JOIN embeddings e ON p.p_partkey % 500 = e.vec_id)"""
+  FROM part p JOIN embeddings e ON p.p_partkey % (SELECT count(*) FROM embeddings) = e.vec_id)"""
 
 SIM = """line_seq AS (
   SELECT l_orderkey, l_partkey,
@@ -230,7 +230,7 @@ SQL["feature_extract"] = with_(SONGS_FULL, ATTRS) + """
   SELECT s.song_id, s.track_id, s.artist_name, s.title, a.danceability,
          s.artist_hotttnesss AS song_hotttnesss, s.duration, a.tempo, a.energy, a.key,
          a.loudness, a.time_signature,
-         row_number() OVER (PARTITION BY s.year ORDER BY s.track_id) AS rn
+         row_number() OVER (PARTITION BY s.year, CAST(s.track_id AS BIGINT) % 4 ORDER BY s.track_id) AS rn
   FROM songs_full s JOIN attrs a ON s.track_id = a.track_id)
 SELECT song_id, track_id, artist_name, title, round(danceability, 6) AS danceability,
        round(song_hotttnesss, 6) AS song_hotttnesss, round(duration, 6) AS duration,
@@ -392,50 +392,42 @@ SELECT CAST(count(*) AS BIGINT) AS n,
        round(1.0 - avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS error
 FROM nb_pred"""
 
-SQL["ragged_slice"] = """WITH flat AS (
-  SELECT file, pos, CAST(emb[pos + 1] AS DOUBLE) AS value FROM (
-    SELECT vec_id AS file, embedding AS emb, UNNEST(range(0, len(embedding))) AS pos
-    FROM embeddings) x),
-offs AS (
-  SELECT file, rec, rec * step AS start FROM (
-    SELECT vec_id AS file, 4 + label AS step,
-           UNNEST(range(0, CAST(floor((len(embedding) - 1) / (4 + label)) AS BIGINT) + 1)) AS rec
-    FROM embeddings) y),
-lens AS (SELECT file, count(*) AS n FROM flat GROUP BY file),
+SQL["ragged_slice"] = """WITH offs AS (
+  SELECT vec_id AS file, CAST(embedding AS DOUBLE[]) AS e, 0 AS start, -1 AS i, 0 AS twice FROM embeddings
+  UNION ALL
+  SELECT vec_id, CAST(embedding AS DOUBLE[]), i * (4 + label), i, t FROM (
+    SELECT *, unnest(range(0, CAST(floor((len(embedding) - 1) / (4 + label)) AS BIGINT) + 1)) AS i FROM embeddings),
+    (VALUES (0), (1)) v(t) WHERE t = 0 OR i % 3 = 2
+  UNION ALL
+  SELECT vec_id, CAST(embedding AS DOUBLE[]), len(embedding), 1000000, 0 FROM embeddings),
 bounds AS (
-  SELECT o.file, o.rec, o.start,
-         coalesce(lead(o.start) OVER (PARTITION BY o.file ORDER BY o.rec), l.n) AS e
-  FROM offs o JOIN lens l ON o.file = l.file)
-SELECT b.file, CAST(b.rec AS BIGINT) AS rec, CAST(count(*) AS BIGINT) AS n,
-       list(round(f.value, 6) ORDER BY f.pos) AS vals
-FROM bounds b JOIN flat f ON f.file = b.file AND f.pos >= b.start AND f.pos < b.e
-GROUP BY b.file, b.rec"""
+  SELECT file, e, start, row_number() OVER w - 1 AS rec, coalesce(lead(start) OVER w, len(e)) AS stop
+  FROM offs WINDOW w AS (PARTITION BY file ORDER BY i, twice))
+SELECT file, CAST(rec AS BIGINT) AS rec, CAST(stop - start AS BIGINT) AS n,
+       list_transform(e[start + 1:stop], lambda x: round(x, 6)) AS vals
+FROM bounds"""
 
 SQL["timbre_mean"] = with_(GENRE) + """
 SELECT track_id, round((f[7] + f[8] + f[9] + f[10] + f[11] + f[12] + f[13] + f[14] + f[15]
                         + f[16] + f[17] + f[18]) / 12, 6) AS timbre_mean
 FROM genre"""
 
-SQL["timbre_stats"] = """WITH e AS (
-  SELECT vec_id, p % 12 AS dim, p // 12 AS seg, CAST(emb[p + 1] AS DOUBLE) AS v FROM (
-    SELECT vec_id, embedding AS emb, UNNEST(range(0, 60)) AS p FROM embeddings) x),
-j AS (
-  SELECT a.vec_id, a.dim, a.v, b.v AS v_next
-  FROM e a LEFT JOIN e b ON a.vec_id = b.vec_id AND a.seg = b.seg AND b.dim = a.dim + 1)
-SELECT vec_id, CAST(dim + 1 AS BIGINT) AS dim, round(avg(v), 6) AS avg_v,
-       round(var_pop(v), 6) AS var_v, round(covar_pop(v, v_next), 6) AS cov_next
-FROM j GROUP BY vec_id, dim"""
+SQL["timbre_stats"] = """WITH v AS (
+  SELECT vec_id, p % 12 + 1 AS dim, p // 12 AS seg, CAST(emb[p + 1] AS DOUBLE) AS v FROM (
+    SELECT vec_id, embedding AS emb, UNNEST(range(0, len(embedding))) AS p FROM embeddings) x),
+m AS (SELECT vec_id, dim, avg(v) AS avg_i FROM v GROUP BY ALL),
+c AS (SELECT a.vec_id, a.dim AS i, b.dim AS j, covar_pop(a.v, b.v) AS cov
+      FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.seg = b.seg AND a.dim <= b.dim GROUP BY ALL)
+SELECT c.vec_id, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(avg_i, 6) AS avg_i, round(cov, 6) AS cov
+FROM c JOIN m ON m.vec_id = c.vec_id AND m.dim = c.i"""
 
 _SWG = """swg AS (
   SELECT s.track_id, g.f[1] AS loudness, g.f[2] AS tempo
   FROM songs s LEFT JOIN genre g ON s.track_id = g.track_id)"""
 
 SQL["impute_midrange"] = with_(SONGS, GENRE, _SWG) + """
-, r AS (SELECT (min(loudness) + max(loudness)) / 2 AS ml, (min(tempo) + max(tempo)) / 2 AS mt
-        FROM swg)
-SELECT track_id, round(coalesce(loudness, r.ml), 6) AS loudness,
-       round(coalesce(tempo, r.mt), 6) AS tempo
-FROM swg CROSS JOIN r"""
+SELECT track_id, round(coalesce(loudness, 0.0), 6) AS loudness, round(coalesce(tempo, 0.5), 6) AS tempo
+FROM swg"""
 
 SQL["drop_missing"] = with_(SONGS, GENRE, _SWG) + """
 SELECT track_id, round(loudness, 6) AS loudness, round(tempo, 6) AS tempo FROM swg
@@ -464,7 +456,10 @@ def _rank_metrics(k_list: int, ks: list[int]) -> str:
 plays AS (SELECT * FROM plays_all WHERE {_split(3, 'user_id', 'song_id')}),
 test AS (SELECT * FROM plays_all WHERE NOT {_split(3, 'user_id', 'song_id')})"""
     kvals = ", ".join(f"({k})" for k in ks)
-    return with_(plays_train, SONGS, SIM, HIST, _rank_top(50, k_list)) + f"""
+    # similarity from the lines of training plays only
+    sim = SIM.replace("FROM lineitem)", """FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN plays ON plays.user_id = CAST(o_custkey AS VARCHAR) AND plays.song_id = CAST(l_partkey AS VARCHAR))""")
+    return with_(plays_train, SONGS, sim, HIST, _rank_top(50, k_list)) + f"""
 , recs AS (SELECT r.user_id, s.song_id, r.rk FROM ranked r JOIN songs s ON r.track_id = s.track_id
            WHERE r.rk <= {k_list}),
 rel AS (SELECT DISTINCT user_id, song_id FROM test),
@@ -511,9 +506,10 @@ UNION ALL SELECT 'songs_data', CAST(count(*) AS BIGINT) FROM songs s JOIN attrs
   ON s.track_id = a.track_id
 UNION ALL SELECT 'song_similarity', CAST(count(*) AS BIGINT) FROM sim
 UNION ALL SELECT 'song_hash_id', CAST(count(DISTINCT song_id) AS BIGINT) FROM songs
-UNION ALL SELECT 'triplets_rejects', CAST(0 AS BIGINT)
-UNION ALL SELECT 'songs_rejects', CAST(0 AS BIGINT)
-UNION ALL SELECT 'attributes_rejects', CAST(0 AS BIGINT)"""
+UNION ALL SELECT 'triplets_rejects', CAST(2 * count(*) AS BIGINT) FROM region
+UNION ALL SELECT 'songs_rejects', CAST(2 * count(*) AS BIGINT) FROM region
+UNION ALL SELECT 'attributes_rejects', CAST(count(*) AS BIGINT) FROM region
+UNION ALL SELECT 'similarity_rejects', CAST(3 * count(*) AS BIGINT) FROM region"""
 
 SQL["user_cosine"] = with_(PLAYS_QTY) + """
 , req AS (SELECT user_id FROM (SELECT user_id, sum(play_count) AS n FROM plays_qty
@@ -540,4 +536,30 @@ SELECT track_id, label, prediction FROM nb_pred"""
 
 SQL["normalize_rejects"] = with_(PLAYS_QTY) + """
 SELECT user_id, CAST(count(*) AS BIGINT) AS n_rows, 'non-positive maximum' AS reason
-FROM plays_qty GROUP BY user_id HAVING NOT (max(play_count) > 0) OR max(play_count) IS NULL"""
+FROM (SELECT user_id, play_count FROM plays_qty
+      UNION ALL SELECT 'zero-' || c_custkey, unnest([0.0, 0.0]) FROM customer WHERE c_custkey % 7 = 0)
+GROUP BY user_id HAVING NOT (max(play_count) > 0) OR max(play_count) IS NULL"""
+
+
+SQL["hybrid_history_similar"] = with_(PLAYS, SONGS, SIM, HIST, _rank_top(50, 40)) + """
+, lists AS (
+  SELECT user_id, track_id, title, artist_name, duration, year, predicted_score, 'similar' AS source
+  FROM ranked WHERE rk <= 40
+  UNION ALL
+  SELECT user_id, track_id, title, artist_name, duration, year, CAST(play_count AS DOUBLE), 'history' FROM hist)
+SELECT user_id, track_id, title, artist_name, round(duration, 6) AS duration, year,
+       round(predicted_score, 6) AS predicted_score, source,
+       row_number() OVER (PARTITION BY user_id ORDER BY predicted_score DESC NULLS LAST, track_id, source) AS rank
+FROM lists QUALIFY rank <= 40"""
+
+SQL["als_list_shape"] = with_(PLAYS) + """
+SELECT DISTINCT user_id, CAST(20 AS BIGINT) AS n, 10.0 AS best, true AS ranks_ok, CAST(0 AS BIGINT) AS repeated
+FROM plays WHERE CAST(user_id AS BIGINT) % 50 = 0"""
+
+SQL["als_pairs_scored"] = with_(PLAYS) + f"""
+, s AS (SELECT user_id, song_id, {_split(12345, 'user_id', 'song_id', fraction=0.9)} AS tr FROM plays)
+SELECT user_id, song_id FROM s WHERE NOT tr
+  AND user_id IN (SELECT user_id FROM s WHERE tr) AND song_id IN (SELECT song_id FROM s WHERE tr)"""
+
+SQL["als_save_load"] = with_(PLAYS) + """
+SELECT user_id, song_id, true AS same_score FROM plays"""

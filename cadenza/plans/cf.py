@@ -1,8 +1,9 @@
 """Collaborative filtering with ``pyspark.ml`` ALS.
 
 * Ids: collision-free dense ints from ``global_positions`` (ALS needs int32).
-* Top-N for every user: ``recommendForAllUsers`` — blocked factor products,
-  never a hand-made users x items cross join.
+* Top-N for the users of a request table (``recommendForUserSubset``): the
+  source serves one user at a prompt, so work is requests x items, never all
+  users x items.
 * Grid search: a driver loop over *settings* (each fit is distributed); the
   training ratings are persisted because every fit rescans them, and the
   results come back as a DataFrame of one row per setting.
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from cadenza.functions.ids import stable_hash28
 from cadenza.operators.ids import dense_ids
 from cadenza.operators.metrics import error_metrics
-from cadenza.operators.similar import enrich_and_rank
-from cadenza.operators.topk import rescale_by_max
+from cadenza.operators.similar import REC_COLUMNS
+from cadenza.operators.topk import dedupe_keep_best, top_k_per
 
 SEED = 42
 
@@ -67,89 +68,73 @@ def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def recommend_all(model: ALSModel, users: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """Top-n items per user as rows (user_id, song_id, als_rank, rating)."""
-    rec = model.recommendForAllUsers(n)
-    e = rec.select("user_ix", F.posexplode("recommendations").alias("p", "r"))
-    e = e.select("user_ix", (F.col("p") + 1).cast("bigint").alias("als_rank"),
-                 F.col("r.item_ix").alias("item_ix"), F.col("r.rating").cast("double")
-                 .alias("rating"))
-    return e.join(users, "user_ix").join(items, "item_ix").select(
-        "user_id", "song_id", "als_rank", "rating")
+def _listed(rec: DataFrame) -> DataFrame:
+    """(user_ix, als_rank, item_ix, rating, best) of the recommendation arrays;
+    ``best`` is the list's first rating, taken before the rows are exploded."""
+    e = rec.select("user_ix", F.col("recommendations")[0]["rating"].cast("double").alias("best"),
+                   F.posexplode("recommendations").alias("p", "r"))
+    return e.select("user_ix", (F.col("p") + 1).cast("bigint").alias("als_rank"),
+                    F.col("r.item_ix").alias("item_ix"),
+                    F.col("r.rating").cast("double").alias("rating"), "best")
 
 
-def _rank_list(model: ALSModel, users: DataFrame, items: DataFrame, songs: DataFrame,
-               n: int, k: int, subset: DataFrame | None = None,
-               played: DataFrame | None = None) -> DataFrame:
-    """One pass of H2 with list length n (optionally for a user subset)."""
-    if subset is None:
-        rec = recommend_all(model, users, items, n)
-    else:
-        rec = recommend_subset(model, subset, users, items, n)
-    scaled = rescale_by_max(rec, ["user_id"], "rating", "predicted_score")
-    if played is not None:
-        # after the rescale, so scores keep the source's scale
-        scaled = scaled.join(played.select("user_id", "song_id"), ["user_id", "song_id"],
-                             "left_anti")
-    s = songs.select("song_id", "track_id")
-    with_track = scaled.join(s, "song_id").select("user_id", "track_id", "predicted_score")
-    return enrich_and_rank(with_track, songs, k)
-
-
-def recommend_subset(model: ALSModel, user_ix: DataFrame, users: DataFrame, items: DataFrame,
-                     n: int) -> DataFrame:
-    """T6 for the users in ``user_ix`` (a DataFrame with a user_ix column)."""
-    rec = model.recommendForUserSubset(user_ix.select("user_ix"), n)
-    e = rec.select("user_ix", F.posexplode("recommendations").alias("p", "r"))
-    e = e.select("user_ix", (F.col("p") + 1).cast("bigint").alias("als_rank"),
-                 F.col("r.item_ix").alias("item_ix"), F.col("r.rating").cast("double")
-                 .alias("rating"))
-    return e.join(users, "user_ix").join(items, "item_ix").select(
+def recommend_subset(model: ALSModel, requests: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """The n best items of the users in ``requests`` (user_id, user_ix) as
+    rows (user_id, song_id, als_rank, rating).  Work is requests x items."""
+    rows = _listed(model.recommendForUserSubset(requests.select("user_ix"), n))
+    return rows.join(requests, "user_ix").join(items, "item_ix").select(
         "user_id", "song_id", "als_rank", "rating")
 
 
-def collaborative_recommendations(model: ALSModel, users: DataFrame, items: DataFrame,
+def collaborative_recommendations(model: ALSModel, requests: DataFrame, items: DataFrame,
                                   songs: DataFrame, n: int = 1000, k: int = 20,
-                                  first_pass: int | None = None,
                                   exclude_played: DataFrame | None = None) -> DataFrame:
-    """H2 = T6 -> P23 -> J3 -> P3 -> J4 -> U5 -> T2, for all users.
-
-    The result equals the list cut at n, computed in two exact passes: every
-    user first gets a list of length m (default max(5k, 100)); the rescale
-    uses rank 1, which both lengths share, and a user whose de-duplicated
-    list already holds k songs has all its top-k within the first m.  Only
-    users left short re-run with length n (``recommendForUserSubset``), so
-    the expensive per-user top-n buffers are built for few users.
+    """H2 = T6 -> P23 -> J3 -> P3 -> J4 -> U5 -> T2 for the users in
+    ``requests`` (user_id, user_ix), in one pass over lists of length n.
 
-    The source computes each user's played songs but never removes them;
-    pass the plays as ``exclude_played`` to drop them (``left_anti``).
+    Items are joined to the catalogue once, as one dimension; user numbers
+    become ids after the cut to k.  The source computes each user's played
+    songs but never removes them; pass the plays as ``exclude_played`` to drop
+    them (after the rescale, so scores keep the source's scale).
     """
-    m = first_pass or max(5 * k, 100)
-    if m >= n:
-        return _rank_list(model, users, items, songs, n, k, played=exclude_played)
-    # used twice (kept rows, short users): checkpointed so it runs once
-    first = _rank_list(model, users, items, songs, m, k,
-                       played=exclude_played).checkpoint(eager=True)
-    full = first.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
-    short = users.join(full, "user_id", "left_anti")
-    second = _rank_list(model, users, items, songs, n, k, subset=short, played=exclude_played)
-    return first.join(full.select("user_id"), "user_id", "left_semi").unionByName(second)
-
-
-def grid_search(spark: SparkSession, ratings: DataFrame, ranks: Sequence[int],
-                regs: Sequence[float], alphas: Sequence[float], iters: Sequence[int],
-                implicit: bool = True, fraction: float = 0.8, seed: int = 1,
+    dim = items.join(songs.select("song_id", *REC_COLUMNS[:-1]), "song_id")
+    rows = _listed(model.recommendForUserSubset(requests.select("user_ix"), n))
+    scored = rows.select("user_ix", "item_ix", F.when(F.col("best") > 0, F.try_divide(
+        F.col("rating") * F.lit(10.0), F.col("best"))).alias("predicted_score"))
+    if exclude_played is not None:
+        played = (exclude_played.select("user_id", "song_id").join(requests, "user_id")
+                  .join(items, "song_id").select("user_ix", "item_ix"))
+        scored = scored.join(played, ["user_ix", "item_ix"], "left_anti")
+    full = scored.join(dim, "item_ix").select("user_ix", *REC_COLUMNS)
+    best = dedupe_keep_best(full, ["user_ix", "title", "artist_name"],
+                            [("predicted_score", "desc"), ("track_id", "asc")])
+    top = top_k_per(best, ["user_ix"], [F.col("predicted_score").desc(), F.col("track_id").asc()], k)
+    return top.join(requests, "user_ix").select("user_id", "rank", *REC_COLUMNS)
+
+
+# The source's grid, 3 x 9 x 4 = 108 settings of 20 iterations.
+FULL_GRID = {"ranks": (8, 10, 12),
+             "regs": (1.0, 3.0, 5.0, 7.0, 9.0, 11.0, 13.0, 15.0, 17.0),
+             "alphas": (1.0, 10.0, 50.0, 100.0), "iters": (20,)}
+
+
+def grid_search(spark: SparkSession, ratings: DataFrame,
+                ranks: Sequence[int] = FULL_GRID["ranks"], regs: Sequence[float] = FULL_GRID["regs"],
+                alphas: Sequence[float] = FULL_GRID["alphas"],
+                iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True, fraction: float = 0.8, seed: int = 1,
                 validate_on: DataFrame | None = None) -> tuple[DataFrame, ALSModel, dict]:
     """M3 / H7: fit every setting on the training part, score the held-out
-    part, return (results DataFrame, best model, best setting).
+    part, return (results DataFrame, best model, best setting).  By default
+    the source's whole grid; a caller may pass fewer values.
 
-    Selection is by hold-out RMSE, as in the source.  ``validate_on``
+    The ratings are persisted once, so neither the plays nor the id joins are
+    computed again for a setting.  Selection is by hold-out RMSE, as in the source.  ``validate_on``
     overrides the held-out part (e.g. the full file, as the source's final
     evaluation does).
     """
     from cadenza.operators.ratings import hash_split
+    ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     train, valid = hash_split(ratings, ["user_id", "song_id"], fraction, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     valid = (validate_on if validate_on is not None else valid)
     rows, best, best_model = [], None, None
     for rank, reg, alpha, it in itertools.product(ranks, regs, alphas, iters):
@@ -163,7 +148,7 @@ def grid_search(spark: SparkSession, ratings: DataFrame, ranks: Sequence[int],
         rows.append(row)
         if m["rmse"] is not None and (best is None or m["rmse"] < best["rmse"]):
             best, best_model = row, model
-    train.unpersist()
+    ratings.unpersist()
     schema = ("rank int, reg_param double, alpha double, max_iter int, n bigint, "
               "mse double, rmse double, mae double")
     return spark.createDataFrame(rows, schema), best_model, best
@@ -175,8 +160,10 @@ def save_and_reload(model: ALSModel, path: str) -> ALSModel:
     return ALSModel.load(path)
 
 
-def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[float],
-                    alphas: Sequence[float], iters: Sequence[int], implicit: bool = True,
+def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int] = FULL_GRID["ranks"],
+                    regs: Sequence[float] = FULL_GRID["regs"],
+                    alphas: Sequence[float] = FULL_GRID["alphas"],
+                    iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True,
                     fraction: float = 0.8, parallelism: int = 2):
     """M3 with ``TrainValidationSplit``: the same grid fitted ``parallelism``
     settings at a time; returns (results DataFrame, best model).
@@ -192,7 +179,9 @@ def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[flo
     ev = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
     tvs = TrainValidationSplit(estimator=als, estimatorParamMaps=grid, evaluator=ev,
                                trainRatio=fraction, parallelism=parallelism, seed=SEED)
+    ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     model = tvs.fit(ratings)
+    ratings.unpersist()
     rows = [dict(rank=int(pm[als.rank]), reg_param=float(pm[als.regParam]),
                  alpha=float(pm[als.alpha]), max_iter=int(pm[als.maxIter]), rmse=float(m))
             for pm, m in zip(grid, model.validationMetrics)]
@@ -202,8 +191,9 @@ def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[flo
 
 
 def find_model(spark: SparkSession, ratings: DataFrame, model_path: str,
-               ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float],
-               iters: Sequence[int], implicit: bool = True) -> DataFrame:
+               ranks: Sequence[int] = FULL_GRID["ranks"], regs: Sequence[float] = FULL_GRID["regs"],
+               alphas: Sequence[float] = FULL_GRID["alphas"],
+               iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True) -> DataFrame:
     """H7: grid on a hold-out split, the best setting re-scored on the full
     file (the source's "test" evaluation) as well, best model saved.
 

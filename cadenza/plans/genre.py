@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, OneVsRest,
@@ -141,10 +142,14 @@ RUNNERS = {
 def compare_models(genre_rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """(model, n, accuracy, error), one row per named model."""
     out = None
+    genre_rows = genre_rows.persist(StorageLevel.MEMORY_AND_DISK)   # every model reads it several times
+    genre_rows.count()
     for name in names:
         pred = RUNNERS[name](genre_rows)
         acc = accuracy(pred, "label", "prediction").select(F.lit(name).alias("model"), "*")
+        acc = genre_rows.sparkSession.createDataFrame(acc.collect(), acc.schema)   # one row
         out = acc if out is None else out.unionByName(acc)
+    genre_rows.unpersist()
     return out
 
 
@@ -155,8 +160,12 @@ FEATURE_SET_F0 = ["loudness", "tempo", "time_signature", "key", "mode", "duratio
 def ablation(genre_rows: DataFrame) -> DataFrame:
     """Random forest on F0 (scalars only) vs F1 (with timbre)."""
     out = None
+    genre_rows = genre_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    genre_rows.count()
     for name, cols in (("F0", FEATURE_SET_F0), ("F1", GENRE_FEATURES_30)):
         pred = run_random_forest(genre_rows, cols)
         acc = accuracy(pred, "label", "prediction").select(F.lit(name).alias("feature_set"), "*")
+        acc = genre_rows.sparkSession.createDataFrame(acc.collect(), acc.schema)   # one row
         out = acc if out is None else out.unionByName(acc)
+    genre_rows.unpersist()
     return out

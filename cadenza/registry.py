@@ -283,14 +283,14 @@ def q_score_class(spark, sf):
 @register("genre_features")
 def q_genre_features(spark, sf):
     """P18 + P19: class id and 30-dim feature array per genre row."""
-    g = genre.labelled(derived.genre(spark, sf))
+    g = genre.labelled(derived.genre_features(spark, sf))
     return round6(g.select("track_id", "genre", "label", F.col("f").alias("features")))
 
 
 @register("genre_features_nonneg")
 def q_genre_features_nonneg(spark, sf):
     """P17 + P20: six clamped features."""
-    g = genre.nonneg_features(derived.genre(spark, sf))
+    g = genre.nonneg_features(derived.genre_features(spark, sf))
     return round6(g.select("track_id", "genre", "label", "f6"))
 
 
@@ -311,7 +311,7 @@ def q_genre_distribution(spark, sf):
 @register("label_index")
 def q_label_index(spark, sf):
     """StringIndexer (descending frequency, ties alphabetical)."""
-    g = derived.genre(spark, sf).select("track_id", "genre")
+    g = derived.genre_features(spark, sf).select("track_id", "genre")
     model = StringIndexer(inputCol="genre", outputCol="label_index").fit(g)
     return model.transform(g)
 
@@ -319,7 +319,7 @@ def q_label_index(spark, sf):
 @register("label_unindex")
 def q_label_unindex(spark, sf):
     """IndexToString back from the index."""
-    g = derived.genre(spark, sf).select("track_id", "genre")
+    g = derived.genre_features(spark, sf).select("track_id", "genre")
     model = StringIndexer(inputCol="genre", outputCol="label_index").fit(g)
     back = IndexToString(inputCol="label_index", outputCol="genre_back", labels=model.labels)
     return back.transform(model.transform(g)).select("track_id", "genre", "genre_back")
@@ -340,36 +340,34 @@ def q_rating_errors(spark, sf):
 @register("genre_naive_bayes")
 def q_genre_naive_bayes(spark, sf):
     """Multinomial naive Bayes (six clamped features), test predictions."""
-    pred = genre.run_naive_bayes(derived.genre(spark, sf))
+    pred = genre.run_naive_bayes(derived.genre_features(spark, sf))
     return pred.select("track_id", "label", "prediction")
 
 
 @register("class_accuracy")
 def q_class_accuracy(spark, sf):
     """A8 + A12: accuracy and error of the naive Bayes predictions."""
-    pred = genre.run_naive_bayes(derived.genre(spark, sf))
+    pred = genre.run_naive_bayes(derived.genre_features(spark, sf))
     return round6(metrics.accuracy(pred))
 
 
-def _flat_and_offsets(spark, sf):
-    e = read(spark, sf, "embeddings")
-    flat = e.select(F.col("vec_id").alias("file"),
-                    F.posexplode(F.transform("embedding", lambda x: x.cast("double")))
-                    .alias("pos", "value"))
+def _files_and_offsets(spark, sf):
+    """One row per vector: its values and the starts of its records, every
+    third one empty, as are the first and the last."""
     step = F.lit(4) + F.col("label")
-    offs = e.select(F.col("vec_id").alias("file"), step.alias("step"),
-                    F.explode(F.sequence(F.lit(0), F.floor((F.size("embedding") - 1) / step)
-                                         .cast("int"))).alias("rec"))
-    offs = offs.select("file", "rec", (F.col("rec") * F.col("step")).alias("start"))
-    return flat, offs
+    starts = F.transform(F.sequence(F.lit(0), F.floor((F.size("embedding") - 1) / step).cast("int")),
+                         lambda i: F.when(i % 3 == 2, F.array(i * step, i * step))
+                         .otherwise(F.array(i * step)))
+    return read(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("file"), F.transform("embedding", lambda x: x.cast("double")).alias("vals"),
+        F.concat(F.array(F.lit(0).cast("long")), F.flatten(starts),
+                 F.array(F.size("embedding").cast("long"))).alias("starts"))
 
 
 @register("ragged_slice")
 def q_ragged_slice(spark, sf):
     """Ragged records sliced from flat arrays by an offset table."""
-    flat, offs = _flat_and_offsets(spark, sf)
-    out = arrays.ragged_slice(flat, offs, "file")
-    return round6(out.withColumn("rec", F.col("rec").cast("bigint")))
+    return round6(arrays.ragged_slice(_files_and_offsets(spark, sf)))
 
 
 @register("timbre_mean")
@@ -381,24 +379,26 @@ def q_timbre_mean(spark, sf):
 
 @register("timbre_stats")
 def q_timbre_stats(spark, sf):
-    """Per-dimension mean, variance and neighbour covariance over segments
-    (first 60 embedding values as 5 segments x 12 dims)."""
+    """Mean and all 78 covariance values of 12 dimensions over the
+    segments of the whole vector (the last segment may be short)."""
     e = read(spark, sf, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("emb"))
-    return round6(arrays.segment_stats(e, "vec_id", "emb", 12, 60))
+    return round6(arrays.segment_stats(e, "vec_id", "emb", 12))
 
 
 def _songs_with_genre_features(spark, sf):
     s = derived.songs(spark, sf).select("track_id")
-    g = derived.genre_wide(spark, sf).select("track_id", "loudness", "tempo")
+    g = derived.genre_features(spark, sf).select(
+        "track_id", F.element_at("f", 1).alias("loudness"), F.element_at("f", 2).alias("tempo"))
     return s.join(g, "track_id", "left")
 
 
 @register("impute_midrange")
 def q_impute_midrange(spark, sf):
-    """Missing loudness / tempo filled with the column mid-range."""
+    """Missing loudness / tempo filled with the middle of their declared
+    ranges (embedding elements lie in -1..1)."""
     return round6(arrays.impute_midrange(_songs_with_genre_features(spark, sf),
-                                         ["loudness", "tempo"]))
+                                         {"loudness": (-1.0, 1.0), "tempo": (0.0, 1.0)}))
 
 
 @register("drop_missing")
@@ -418,7 +418,9 @@ def q_user_profile(spark, sf):
 def _holdout_recs(spark, sf, k):
     plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
     train, test = ratings.hash_split(plays, ["user_id", "song_id"], 0.8, 3)
-    recs = sim_ops.similar_items_topk(train, songs, derived.similar(spark, sf), 50, k)
+    # similarity from training plays only: a held-out play gives no line
+    sim = derived.similar(spark, sf, train.select("user_id", "song_id"))
+    recs = sim_ops.similar_items_topk(train, songs, sim, 50, k)
     recs = recs.join(songs.select("track_id", "song_id"), "track_id")
     return recs, test
 
@@ -442,27 +444,27 @@ def q_recall_curve(spark, sf):
 @register("genre_logit")
 def q_genre_logit(spark, sf):
     """G1: logistic regression test predictions."""
-    return genre.run_logit(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+    return genre.run_logit(derived.genre_features(spark, sf)).select("track_id", "label", "prediction")
 
 
 @register("genre_tree")
 def q_genre_tree(spark, sf):
     """Decision tree test predictions."""
-    return genre.run_decision_tree(derived.genre(spark, sf)).select(
+    return genre.run_decision_tree(derived.genre_features(spark, sf)).select(
         "track_id", "label", "prediction")
 
 
 @register("genre_forest")
 def q_genre_forest(spark, sf):
     """G3 + G7: random-forest pipeline test predictions with labels back."""
-    return genre.run_random_forest(derived.genre(spark, sf)).select(
+    return genre.run_random_forest(derived.genre_features(spark, sf)).select(
         "track_id", "genre", "label", "prediction", "predictedLabel")
 
 
 @register("genre_compare")
 def q_genre_compare(spark, sf):
     """Accuracy per model."""
-    return round6(genre.compare_models(derived.genre(spark, sf),
+    return round6(genre.compare_models(derived.genre_features(spark, sf),
                                        ["logit", "naive_bayes", "decision_tree",
                                         "random_forest"]))
 
@@ -470,19 +472,19 @@ def q_genre_compare(spark, sf):
 @register("genre_svm")
 def q_genre_svm(spark, sf):
     """One-vs-rest linear SVM test predictions."""
-    return genre.run_svm(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+    return genre.run_svm(derived.genre_features(spark, sf)).select("track_id", "label", "prediction")
 
 
 @register("genre_boosted")
 def q_genre_boosted(spark, sf):
     """X11: one-vs-rest boosted trees test predictions."""
-    return genre.run_boosted(derived.genre(spark, sf)).select("track_id", "label", "prediction")
+    return genre.run_boosted(derived.genre_features(spark, sf)).select("track_id", "label", "prediction")
 
 
 @register("genre_ablation")
 def q_genre_ablation(spark, sf):
     """Random forest accuracy without (F0) and with (F1) timbre."""
-    return round6(genre.ablation(derived.genre(spark, sf)))
+    return round6(genre.ablation(derived.genre_features(spark, sf)))
 
 
 def _als_model(spark, sf, implicit=True, value="play_count", measure="count"):
@@ -492,14 +494,33 @@ def _als_model(spark, sf, implicit=True, value="play_count", measure="count"):
     return model, r, users, items
 
 
+def _requested(users):
+    """The request table of the list queries: the users whose id is divisible
+    by 50, against all items."""
+    return users.where(F.col("user_id").cast("long") % 50 == 0)
+
+
 @register("als_implicit_topk")
 def q_als_implicit_topk(spark, sf):
-    """M1 + T6 + H2: implicit ALS, top-1000 per user, rescaled, top-20 lists."""
+    """M1 + T6 + H2: implicit ALS on all plays, lists of 1000 for the
+    requested users, rescaled, top 20."""
     model, _, users, items = _als_model(spark, sf)
-    return round6(cf.collaborative_recommendations(model, users, items,
+    return round6(cf.collaborative_recommendations(model, _requested(users), items,
                                                    derived.songs(spark, sf), 1000, 20))
 
 
+@register("als_list_shape")
+def q_als_list_shape(spark, sf):
+    """Per requested user, length, best score, whether the ranks are
+    1..n, and repeated (title, artist) pairs of the list."""
+    lists = q_als_implicit_topk(spark, sf)
+    return lists.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.max("predicted_score").alias("best"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count("*"))
+         & (F.countDistinct("rank") == F.count("*"))).alias("ranks_ok"),
+        (F.count("*") - F.countDistinct("title", "artist_name")).alias("repeated"))
+
+
 @register("als_explicit_scores")
 def q_als_explicit_scores(spark, sf):
     """M2 + M4: explicit ALS on 0-10 normalised counts, scores for held-out pairs."""
@@ -514,6 +535,14 @@ def q_als_explicit_scores(spark, sf):
                               .alias("predicted")))
 
 
+@register("als_pairs_scored")
+def q_als_pairs_scored(spark, sf):
+    """M4: the held-out pairs that get a score: those whose user and song
+    both occur in the training part (the others drop out)."""
+    return q_als_explicit_scores(spark, sf).where(F.col("predicted").isNotNull()) \
+        .select("user_id", "song_id")
+
+
 @register("als_grid")
 def q_als_grid(spark, sf):
     """M3 + H7: implicit-ALS grid, hold-out error per setting."""
@@ -525,13 +554,15 @@ def q_als_grid(spark, sf):
 
 @register("als_save_load")
 def q_als_save_load(spark, sf):
-    """Model saved and loaded; both score the same pairs."""
+    """Model saved and loaded; whether both give each pair one score."""
     model, r, _, _ = _als_model(spark, sf)
     loaded = cf.save_and_reload(model, scratch_path(spark, "als_model"))
-    pairs = r.select("user_ix", "item_ix")
-    a = model.transform(pairs).withColumnRenamed("prediction", "score_saved")
-    b = loaded.transform(pairs).withColumnRenamed("prediction", "score_loaded")
-    return a.join(b, ["user_ix", "item_ix"])
+    # scored one after the other, so no join pairs the scores up again
+    a = model.transform(r.select("user_ix", "item_ix", "user_id", "song_id")) \
+        .withColumnRenamed("prediction", "score_saved")
+    b = loaded.transform(a).withColumnRenamed("prediction", "score_loaded")
+    return b.select("user_id", "song_id",
+                    (F.col("score_saved") == F.col("score_loaded")).alias("same_score"))
 
 
 @register("als_lambda_curve")
@@ -547,18 +578,20 @@ def q_als_lambda_curve(spark, sf):
 
 
 def _content_inputs(spark, sf):
+    """The model, the request table of one user (most plays, then smallest
+    id) and that user."""
     plays = derived.plays(spark, sf)
     model, _, users, items = _als_model(spark, sf)
     user = content.pick_user(plays)
-    return model, users, items, user
+    return model, users.where(F.col("user_id") == user), items, user
 
 
 @register("content_new_releases")
 def q_content_new_releases(spark, sf):
     """H4 (M5, M6): new releases for the request user by a content model
     trained on the user's ALS list."""
-    model, users, items, user = _content_inputs(spark, sf)
-    rec = cf.recommend_all(model, users.where(F.col("user_id") == user), items, 1000)
+    model, request, items, user = _content_inputs(spark, sf)
+    rec = cf.recommend_subset(model, request, items, 1000)
     return round6(content.new_releases_for_user(rec, user, derived.songs_data(spark, sf),
                                                 derived.songs(spark, sf)))
 
@@ -566,26 +599,40 @@ def q_content_new_releases(spark, sf):
 @register("content_eval_sweep")
 def q_content_eval_sweep(spark, sf):
     """H6: content-model accuracy over ALS list lengths."""
-    model, users, items, user = _content_inputs(spark, sf)
-    u = users.where(F.col("user_id") == user)
+    model, request, items, user = _content_inputs(spark, sf)
     lengths = [10, 50, 100, 200, 500, 1000, 10000]
-    recs = {n: cf.recommend_all(model, u, items, n) for n in lengths}
-    return round6(content.evaluation_sweep(spark, recs, user, derived.songs_data(spark, sf)))
+    rec = cf.recommend_subset(model, request, items, max(lengths))
+    return round6(content.evaluation_sweep(spark, rec, user, derived.songs_data(spark, sf), lengths))
+
+
+# The merged list's length.  Cutting each source to this many first is exact:
+# what stands before a row in its source stands before it in the merge too.
+HYBRID_K = 40
 
 
 @register("hybrid_topk")
 def q_hybrid_topk(spark, sf):
     """H5: collaborative + similar-item + content lists merged, top 40."""
     plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
-    model, users, items, user = _content_inputs(spark, sf)
-    u = users.where(F.col("user_id") == user)
-    rec = cf.recommend_all(model, u, items, 1000)
-    als_list = cf.collaborative_recommendations(model, u, items, songs, 1000, 20)
+    model, request, items, user = _content_inputs(spark, sf)
+    rec = cf.recommend_subset(model, request, items, 1000)
+    als_list = cf.collaborative_recommendations(model, request, items, songs, 1000, HYBRID_K)
     sim_list = sim_ops.similar_items_topk(plays.where(F.col("user_id") == user), songs,
-                                          derived.similar(spark, sf))
-    cb_list = content.new_releases_for_user(rec, user, derived.songs_data(spark, sf), songs)
+                                          derived.similar(spark, sf), k=HYBRID_K)
+    cb_list = content.new_releases_for_user(rec, user, derived.songs_data(spark, sf), songs, HYBRID_K)
     return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list),
-                                       ("content", cb_list)], 40))
+                                       ("content", cb_list)], HYBRID_K))
+
+
+@register("hybrid_history_similar")
+def q_hybrid_history_similar(spark, sf):
+    """H5 / T5 with two sources that SQL can express: each user's history
+    (scores: plays) and similar-item list merged, top 40."""
+    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
+    hist = listening_history(plays, songs, HYBRID_K).withColumn(
+        "predicted_score", F.col("play_count").cast("double"))
+    simr = sim_ops.similar_items_topk(plays, songs, derived.similar(spark, sf), k=HYBRID_K)
+    return round6(hybrid.hybrid_merge([("history", hist), ("similar", simr)], HYBRID_K))
 
 
 @register("single_user_history")
@@ -608,12 +655,14 @@ def q_top_plays_show(spark, sf):
 
 @register("ingest_catalogue")
 def q_ingest_catalogue(spark, sf):
-    """H9: source-layout files -> typed Parquet tables + reject tables."""
+    """H9: source-layout files, with unreadable lines among them -> typed
+    Parquet tables + reject tables."""
     from cadenza.plans.ingest import ingest
     trip = files.write_triplets_text(derived.plays(spark, sf), scratch_path(spark, "triplets"))
     s_csv = files.write_songs_csv(spark, sf, scratch_path(spark, "songs_csv"))
     a_csv = files.write_attributes_csv(spark, sf, scratch_path(spark, "attrs_csv"))
     sim_csv = files.write_similar_csv(spark, sf, scratch_path(spark, "similar_csv"))
+    files.plant_bad_rows(spark, sf, trip, s_csv, a_csv, sim_csv)
     return ingest(spark, trip, s_csv, a_csv, sim_csv, scratch_path(spark, "ingest"))
 
 
@@ -627,13 +676,15 @@ def q_user_cosine(spark, sf):
 
 @register("hybrid_all_users")
 def q_hybrid_all_users(spark, sf):
-    """H5 for every user with the two all-user sources (collaborative +
-    similar-item); a song from both sources keeps its best row (Q19 option)."""
+    """H5 for all requested users (ids divisible by 50) from the two sources
+    that need no model per user (collaborative + similar-item); a song from
+    both keeps its best row (Q19 option).  The content source trains a model
+    for one user and is in ``hybrid_topk``."""
     plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
     model, _, users, items = _als_model(spark, sf)
-    als_list = cf.collaborative_recommendations(model, users, items, songs, 1000, 20)
-    sim_list = sim_ops.similar_items_topk(plays, songs, derived.similar(spark, sf))
-    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list)], 40,
+    als_list = cf.collaborative_recommendations(model, _requested(users), items, songs, 1000, HYBRID_K)
+    sim_list = sim_ops.similar_items_topk(_requested(plays), songs, derived.similar(spark, sf), k=HYBRID_K)
+    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list)], HYBRID_K,
                                       dedupe="max"))
 
 
@@ -657,7 +708,7 @@ def q_als_grid_tvs(spark, sf):
 @register("genre_naive_bayes_minmax")
 def q_genre_naive_bayes_minmax(spark, sf):
     """G2 with min-max scaled features instead of clamping (Q14 option)."""
-    pred = genre.run_naive_bayes(derived.genre(spark, sf), scaling="minmax")
+    pred = genre.run_naive_bayes(derived.genre_features(spark, sf), scaling="minmax")
     return pred.select("track_id", "label", "prediction")
 
 
@@ -668,12 +719,18 @@ def q_als_hash_ids_topk(spark, sf):
     plays = derived.plays(spark, sf)
     r, users, items = cf.als_ratings(plays, id_mode="hash")
     model = cf.make_als().fit(r)
-    return round6(cf.collaborative_recommendations(model, users, items,
+    return round6(cf.collaborative_recommendations(model, _requested(users), items,
                                                    derived.songs(spark, sf), 1000, 20))
 
 
 @register("normalize_rejects")
 def q_normalize_rejects(spark, sf):
     """Q2: users whose maximum play count is not positive (NULL normalised
-    values), with the number of rows affected."""
-    return ratings.normalize_rejects(derived.plays(spark, sf, "quantity"))
+    values), with the number of rows affected.  Every seventh customer also
+    stands as a user with plays of zero."""
+    plays = derived.plays(spark, sf, "quantity")
+    zeros = (read(spark, sf, "customer").where(F.col("c_custkey") % 7 == 0)
+             .select(F.concat(F.lit("zero-"), F.col("c_custkey")).alias("user_id"),
+                     F.explode(F.array(F.lit("1"), F.lit("2"))).alias("song_id"),
+                     F.lit(0.0).alias("play_count")))
+    return ratings.normalize_rejects(plays.unionByName(zeros))

@@ -22,12 +22,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.functions.features import GENRE_CLASSES, GENRE_FEATURES_30
+from cadenza.functions.features import GENRE_FEATURES_30, genre_id_to_name
 from cadenza.operators.ids import global_positions
 from cadenza.sources.tables import read
 
 # Fixed derivation parameters.
-ATTRIBUTE_VECTORS = 500      # attributes come from embeddings vec_id = partkey % 500
 YEAR_BASE = 1970             # year = 1970 + p_size
 
 
@@ -74,10 +73,15 @@ def _elem(i: int):
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audio attributes per track (track_id, danceability, energy, key,
-    loudness, tempo, time_signature)."""
+    loudness, tempo, time_signature).
+
+    A track's vector is the one whose (dense) ``vec_id`` equals the track key
+    modulo the number of vectors, so all vectors are used at any size.
+    """
     p = read(spark, sf_dir, "part").select("p_partkey")
     e = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    j = p.join(e, (p.p_partkey % ATTRIBUTE_VECTORS) == e.vec_id)
+    n = e.count()   # from the files' footers
+    j = p.join(e, (p.p_partkey % F.lit(n)) == e.vec_id)
     return j.select(
         F.col("p_partkey").cast("string").alias("track_id"),
         F.abs(_elem(1)).alias("danceability"),
@@ -94,16 +98,22 @@ def songs_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return songs(spark, sf_dir).join(attributes(spark, sf_dir), "track_id")
 
 
-def adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def adjacent_pairs(spark: SparkSession, sf_dir: str, among: DataFrame | None = None) -> DataFrame:
     """(a, b) part pairs of consecutive lines of one order, a != b.
 
     Lines get a dense global position in (order, line number, part,
     supplier) order; a range-partitioned sort spreads even one hot order
     over many tasks.  The pair join is on the unique position, so every
-    line meets exactly one successor.
+    line meets exactly one successor.  ``among`` (user_id, song_id) leaves
+    only the lines of those plays.
     """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     li = read(spark, sf_dir, "lineitem").select(*keys)
+    if among is not None:
+        od = read(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("user_id"))
+        li = (li.join(od, "l_orderkey").withColumn("song_id", F.col("l_partkey").cast("string"))
+              .join(among, ["user_id", "song_id"], "left_semi").select(*keys))
     seq = global_positions(li, keys).select("l_orderkey", "l_partkey", "pos")
     a = seq.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("a"),
                    (F.col("pos") + 1).alias("nxt"))
@@ -113,12 +123,13 @@ def adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .where(F.col("a") != F.col("b")).select("a", "b"))
 
 
-def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def similar(spark: SparkSession, sf_dir: str, among: DataFrame | None = None) -> DataFrame:
     """Item similarity in long form: (tid, target, score).
 
-    score = number of adjacent-line occurrences of the pair, both directions.
+    score = number of adjacent-line occurrences of the pair, both directions;
+    ``among`` restricts the lines to those of given plays.
     """
-    pairs = adjacent_pairs(spark, sf_dir)
+    pairs = adjacent_pairs(spark, sf_dir, among)
     both = pairs.select("a", "b").unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return (both.groupBy(F.col("a").cast("string").alias("tid"),
@@ -145,21 +156,24 @@ def similar_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled genre rows: (genre, track_id, artist_name, title, f array<double>[30])."""
-    e = read(spark, sf_dir, "embeddings")
-    pairs = []
-    for name, gid in GENRE_CLASSES:
-        pairs += [F.lit(gid), F.lit(name)]
-    names = F.create_map(*pairs)
-    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    j = e.join(p, e.vec_id == p.p_partkey, "left")
+    p = read(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("track_id"), "p_name", "p_brand")
+    j = genre_features(spark, sf_dir).join(p, "track_id", "left")
     return j.select(
-        F.element_at(names, F.col("label")).alias("genre"),
-        F.col("vec_id").cast("string").alias("track_id"),
+        "genre", "track_id",
         F.coalesce(F.col("p_brand"), F.lit("unknown")).alias("artist_name"),
-        F.coalesce(F.col("p_name"), F.lit("unknown")).alias("title"),
+        F.coalesce(F.col("p_name"), F.lit("unknown")).alias("title"), "f")
+
+
+def genre_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the models read: (genre, track_id, f array<double>[30]), from
+    ``embeddings`` alone.  The file layout has 30 numbers a row (34 columns
+    with the four texts), so these are the vector's first 30."""
+    return read(spark, sf_dir, "embeddings").select(
+        genre_id_to_name("label").alias("genre"),
+        F.col("vec_id").cast("string").alias("track_id"),
         F.slice(F.transform("embedding", lambda x: x.cast("double")), 1,
-                len(GENRE_FEATURES_30)).alias("f"),
-    )
+                len(GENRE_FEATURES_30)).alias("f"))
 
 
 def genre_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,14 +101,17 @@ def test_adjacency_similarity_matches_brute_force(spark, sf):
 
 
 def test_ragged_slice_matches_python(spark):
-    flat_rows = [(f, p, float(f * 100 + p)) for f, n in ((1, 10), (2, 7)) for p in range(n)]
-    flat = spark.createDataFrame(flat_rows, "file int, pos int, value double")
-    offs = spark.createDataFrame([(1, 0, 0), (1, 1, 3), (1, 2, 8), (2, 0, 0), (2, 1, 6)],
-                                 "file int, rec int, start int")
-    got = {(r.file, r.rec): list(r.vals) for r in arrays.ragged_slice(flat, offs).collect()}
-    assert got[(1, 0)] == [100.0, 101.0, 102.0]
-    assert got[(1, 2)] == [108.0, 109.0]
-    assert got[(2, 1)] == [206.0]
+    files = {1: (list(map(float, range(100, 110))), [0, 3, 8]), 2: (list(map(float, range(200, 207))), [0, 6]),
+             3: ([0.0, 1.0, 2.0, 3.0, 4.0], [0, 2, 2, 5]), 4: ([7.0, 8.0], [0, 0, 0, 1]), 5: ([], [0, 0])}
+    df = spark.createDataFrame([(f, v, s) for f, (v, s) in files.items()],
+                               "file int, vals array<double>, starts array<int>")
+    got = {(r.file, r.rec): (r.n, list(r.vals)) for r in arrays.ragged_slice(df).collect()}
+    want = {}
+    for f, (v, s) in files.items():   # empty first, middle and last records
+        for i, a in enumerate(s):
+            part = v[a:s[i + 1]] if i + 1 < len(s) else v[a:]
+            want[(f, i)] = (len(part), part)
+    assert got == want
 
 
 def test_top_k_per_is_bounded_and_ordered(spark):
@@ -194,3 +197,68 @@ def test_zero_max_users_are_reported(spark):
                                "user_id string, song_id string, play_count int")
     rej = ratings.normalize_rejects(df).collect()
     assert [(r.user_id, r.n_rows) for r in rej] == [("u", 2)]
+
+
+def test_segment_stats_match_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    rows = [(1, rng.normal(size=64).tolist()), (2, rng.normal(size=24).tolist()), (3, [])]
+    df = spark.createDataFrame(rows, "k int, emb array<double>")
+    got = {(r.k, r.i, r.j): (r.avg_i, r.cov) for r in arrays.segment_stats(df, "k", "emb", 12).collect()}
+    assert len(got) == 2 * 78
+    for k, v in rows[:2]:
+        cols = [np.array(v[d::12]) for d in range(12)]
+        for i in range(12):
+            for j in range(i, 12):
+                n = min(len(cols[i]), len(cols[j]))
+                a, b = cols[i][:n], cols[j][:n]
+                assert math.isclose(got[(k, i + 1, j + 1)][0], cols[i].mean())
+                assert math.isclose(got[(k, i + 1, j + 1)][1], ((a - a.mean()) * (b - b.mean())).mean(),
+                                    abs_tol=1e-12)
+
+
+def test_impute_uses_declared_bounds(spark):
+    df = spark.createDataFrame([(1, None, 3.0), (2, 0.9, None)], "k int, a double, b double")
+    got = {r.k: (r.a, r.b) for r in arrays.impute_midrange(df, {"a": (0, 1), "b": (-60, 0)}).collect()}
+    assert got == {1: (0.5, 3.0), 2: (0.9, -30.0)}
+
+
+def test_attributes_use_every_vector(spark, sf):
+    from cadenza.sources.tables import read
+    n = read(spark, sf, "embeddings").count()
+    parts = read(spark, sf, "part").count()
+    used = derived.attributes(spark, sf).select("danceability", "energy", "loudness").distinct().count()
+    assert used >= 0.99 * min(n, parts)
+
+
+def test_no_local_fallback_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from cadenza import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    assert not session._is_local("local-cluster[2,1,1024]") and session._is_local("local[4]")
+
+
+def test_scratch_path_keeps_the_scheme(spark):
+    from cadenza.session import scratch_path
+    assert scratch_path(spark, "x").startswith("file:")
+
+
+def test_held_out_plays_give_no_similarity(spark, sf):
+    plays = derived.plays(spark, sf)
+    train, _ = ratings.hash_split(plays, ["user_id", "song_id"], 0.8, 3)
+    part = derived.similar(spark, sf, train.select("user_id", "song_id"))
+    assert 0 < part.agg(F.sum("score")).first()[0] < derived.similar(spark, sf).agg(F.sum("score")).first()[0]
