@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +21,15 @@ def text_bytes(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
 
 
+def whole_texts(df: DataFrame) -> DataFrame:
+    """The same rows; where the session leaves it open, Python workers get
+    1,000 rows at a time, not 10,000, as each holds a whole text."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, "1000")
+    return df
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Compute once into the shared checkpoint folder and cut the lineage.
 
@@ -29,6 +40,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the files of finished steps now: Spark removes shuffle and
+    checkpoint files when the driver's collector finds nothing refers to them,
+    which on an idle driver can take until the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the third of the documents that no model learns from."""
     return F.coalesce(

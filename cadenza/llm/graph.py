@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from cadenza.llm.common import settled
 
+EDGES_A_TASK = 5_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge; root is the least node reachable.
@@ -19,14 +21,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                   .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     mark = _mark(now)
     while mark[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # few edges need few tasks; their number never grows
+        now = now.coalesce(-(-mark[0] // EDGES_A_TASK))
+        # (explode, not union: one partition stays one)
+        both = now.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
+                          .alias("e")).select("e.u", "e.v")
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (both.join(least, "u").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (root.select("u", F.col("m").alias("v"))
-                 .unionByName(large.join(root, "u").where(F.col("v") != F.col("m"))
-                              .select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
+        small = (large.join(root, "u")
+                 .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
+                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+                 .select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct())
         now = settled(small)
         was, mark = mark, _mark(now)
         if was == mark:

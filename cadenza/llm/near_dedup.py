@@ -10,14 +10,17 @@ sizes exclude the similarity, or if the estimate from the registers (less
 expected chance collisions) lies five standard errors below it.  All others
 are confirmed on the full sets.
 
-Pairs of a large group are not all compared: in each band's group every node
-meets the group's least node first (best estimate first); confirmed links
-join components, and only nodes that are still in different components of a
-group are compared further, in blocks of ``BLOCK`` nodes, so a group's size
-bounds no task.  That last step leaves no candidate pair untested, so the
-components are those of all links found by the bands.
-
-Two nodes at similarity 0.85 miss all 42 bands with a probability below 1e-8.
+Pairs of a large group are never all formed.  Bands are dealt by range over
+(band value, node), so a value that many nodes share spreads over tasks; in a
+task every node meets the first node of its value, the hub, and hubs of one
+value in several tasks meet each other.  What is left are nodes in different components of one band value.  Where such a pair
+is plausible by its registers, the node of the smaller component is tested
+against *all* nodes of the other component, in blocks of ``BLOCK`` by
+``BLOCK`` nodes, so neither a group nor a component bounds a task and no pairs
+are written out.  A component that is crowded in a group is met as a whole,
+once for all its groups.  That step leaves no plausible pair untested.
+
+Two nodes at the threshold miss all bands with a probability below 1e-6.
 
 Defined cases: null and empty texts, and texts of white space, have an empty
 set and are linked with nothing; a null id never becomes a component's name
@@ -34,18 +37,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import int64, settled, text_bytes
+from cadenza.llm.common import int64, release, settled, text_bytes, whole_texts
 from cadenza.llm.graph import components
 
 SHINGLE = 5
 PERCENT = 80
 
 REGISTERS = 256
-BAND = 6
-BANDS = REGISTERS // BAND
+BANDS = 36
 MANTISSA = 10
 BLOCK = 384                   # nodes of a group compared in one task
-GROUP_BYTES = 4 << 20         # text hashed at once
+CROWD = 8                     # nodes that make a component crowded in a group, at least
+GROUP_BYTES = 1 << 20         # text hashed at once
 BROADCAST_ROWS = 1_000_000    # ids (16 bytes each) broadcast at most
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -127,29 +130,38 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _chance(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Expected share of registers that two unrelated sets have in common."""
+def _levels(n: np.ndarray) -> np.ndarray:
+    """A row for each set size: the chances of a register's leading-zero
+    counts.  Two rows' product over 2**MANTISSA is the share of registers that
+    unrelated sets of those sizes have in common."""
     k = np.arange(1, 58, dtype=np.float64)
-
-    def level(n):
-        rate = np.asarray(n, dtype=np.float64)[..., None] / REGISTERS
-        return np.exp(-rate * 2.0 ** -k) - np.exp(-rate * 2.0 ** -(k - 1))
-    return (level(n_a) * level(n_b)).sum(axis=-1) / 2.0 ** MANTISSA
+    rate = np.asarray(n, dtype=np.float64)[:, None] / REGISTERS
+    return np.exp(-rate * 2.0 ** -k) - np.exp(-rate * 2.0 ** -(k - 1))
 
 
-def _plausible(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray,
-               percent: int) -> np.ndarray:
-    """The similarity's estimate where the pair may reach it, else -1."""
+def _plausible(a: tuple, b: tuple, percent: int) -> np.ndarray:
+    """The similarity's estimate where a pair may reach it, else -1.  Both
+    sides: registers, set sizes and their levels, a row each."""
+    (ra, na, la), (rb, nb, lb) = a, b
     some = (ra > 0) | (rb > 0)
     filled = np.maximum(some.sum(axis=-1), 1)
     same = ((ra == rb) & some).sum(axis=-1)
-    est = np.maximum(same / filled - _chance(na, nb) * REGISTERS / filled, 0)
+    chance = (la * lb).sum(axis=-1) / 2.0 ** MANTISSA
+    est = np.maximum(same / filled - chance * REGISTERS / filled, 0)
     p = percent / 100
     cut = p - 5 * np.sqrt(p * (1 - p) / filled) - 0.01
     small, large = np.minimum(na, nb), np.maximum(na, nb)
     return np.where((est >= cut) & (100 * small >= percent * large), est, -1.0)
 
 
+def _sides(t: dict) -> tuple:
+    return t["regs"], t["n_shingles"], _levels(t["n_shingles"])
+
+
+def _rows_of(side: tuple, rows) -> tuple:
+    return tuple(x[rows] for x in side)
+
+
 def _chunks(bodies: list[bytes]) -> Iterator[tuple[int, int]]:
     lo = total = 0
     for k, b in enumerate(bodies):
@@ -183,7 +195,7 @@ def _sketched(size: int):
 
 def sketches(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, set_id (null for an empty set), regs of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
     return rows.mapInArrow(_sketched(size), "doc_id long, n_shingles long, set_id long, regs binary")
 
 
@@ -194,12 +206,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _estimated(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            est = _plausible(_matrix(b.column("regs_a")), _matrix(b.column("regs_b")),
-                             int64(b.column("n_a")), int64(b.column("n_b")), percent)
-            ok = pa.array(est >= 0)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("a").filter(ok), b.column("b").filter(ok), pa.array(est).filter(ok)],
-                ["a", "b", "est"])
+            a, b_ = (_sides({"regs": _matrix(b.column(f"regs_{x}")), "n_shingles": int64(b.column(f"n_{x}"))})
+                     for x in "ab")
+            ok = pa.array(_plausible(a, b_, percent) >= 0)
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], ["a", "b"])
     return run
 
 
@@ -246,109 +256,286 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.mapInArrow(_confirmed(percent), "a long, b long")
 
 
-def _across(pairs: DataFrame, tied: DataFrame) -> DataFrame:
-    """The pairs whose nodes are not in one component yet."""
-    root_a = tied.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    root_b = tied.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return (pairs.join(root_a, "a", "left").join(root_b, "b", "left")
-            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns))
-
-
-def _cells(percent: int, best: int | None):
-    """Compare the nodes of each cell of a group; rows come sorted by cell.
-
-    A pair comes out of the first band that its nodes share only.  ``best``
-    bounds the pairs a node brings towards one other component.
-    """
-    names = ["group", "i", "j", "band", "blk", "set_id", "root", "hub", "n_shingles", "regs"]
-
-    def compare(t: dict) -> list[tuple]:
-        regs = t["regs"]
+def band_width(percent: int) -> int:
+    """Registers in a band: two nodes at the threshold share a band with a
+    probability of about 0.35."""
+    return max(1, min(REGISTERS // BANDS, round(np.log(0.35) / np.log(min(percent, 99) / 100))))
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, bool]]:
+    """The rows, cut between runs of equal keys only, and whether they are the
+    task's last run."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        held = (t if held is None else pa.concat_tables([held, t])).combine_chunks()
+        if held.num_rows:
+            last = _run_starts([int64(held[k].chunk(0)) for k in keys])[-1]
+            if last:
+                yield held.slice(0, last).combine_chunks(), False
+                held = held.slice(last)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), True
+
+
+def _run_starts(keys: list[np.ndarray]) -> np.ndarray:
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+_MEMBER = "group long, band int, set_id long, n_shingles long, hub long, n_hub long, edge boolean"
+
+
+def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (group, set_id) with their task's first node of the
+    group; a node alone in its group is left out, but for the task's first and
+    last group, which may go on in another task (``edge``)."""
+    first = None
+    for t, last in _whole_runs(batches, ["group"]):
+        group, node = int64(t["group"].chunk(0)), int64(t["set_id"].chunk(0))
+        if first is None:
+            first = group[0]
+        starts = _run_starts([group])
+        size = np.diff(np.append(starts, len(group)))
+        edge = (group == first) | last
+        keep = (np.repeat(size, size) > 1) | edge
+        n = int64(t["n_shingles"].chunk(0))
+        cols = [group, int64(t["band"].chunk(0)).astype(np.int32), node, n, np.repeat(node[starts], size),
+                np.repeat(n[starts], size), edge]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[keep]) for c in cols],
+            ["group", "band", "set_id", "n_shingles", "hub", "n_hub", "edge"])
+
+
+def _members(nodes: DataFrame, width: int) -> DataFrame:
+    """Nodes that share a band's value (``group``), and a hub for each."""
+    n = 2 * width
+    banded = (nodes.select("set_id", "n_shingles", "regs", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+              .withColumn("part", F.expr(f"substring(regs, band * {n} + 1, {n})"))
+              .where(F.col("part") != F.lit(bytes(n)))
+              .select(F.xxhash64("band", "part").alias("group"), F.col("band").cast("int").alias("band"), "set_id",
+                      F.col("n_shingles").cast("int").alias("n_shingles")))
+    return (banded.repartitionByRange("group", "set_id").sortWithinPartitions("group", "set_id")
+            .mapInArrow(_hubs, _MEMBER))
+
+
+def _hub_pairs(member: DataFrame) -> DataFrame:
+    """(a, n_a, b, n_b): every node and its hub, and the hubs of a group that
+    lies in several tasks (two groups a task at most) with the least of them."""
+    ends = member.where("edge").select("group", F.struct("hub", "n_hub").alias("h")).distinct()
+    least = ends.groupBy("group").agg(F.min("h").alias("least"))
+    return (member.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"),
+                          F.col("hub").alias("b"), F.col("n_hub").alias("n_b"))
+            .unionByName(ends.join(least, "group").select(
+                F.col("h.hub").alias("a"), F.col("h.n_hub").alias("n_a"),
+                F.col("least.hub").alias("b"), F.col("least.n_hub").alias("n_b")))
+            .where(F.col("a") != F.col("b")))
+
+
+def _only(rows: DataFrame, ids: DataFrame, key: str = "set_id") -> DataFrame:
+    """The rows whose key is among the (settled) ids; broadcast up to a size."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
+
+
+def _plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs that sizes and registers do not exclude."""
+    sized = settled(pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).distinct())
+    ends = settled(sized.select(F.col("a").alias("set_id")).unionByName(
+        sized.select(F.col("b").alias("set_id"))).distinct())
+    regs = settled(_only(nodes.select("set_id", "regs"), ends))
+    return (sized.join(regs.select(F.col("set_id").alias("a"), F.col("regs").alias("regs_a")), "a")
+            .join(regs.select(F.col("set_id").alias("b"), F.col("regs").alias("regs_b")), "b")
+            .mapInArrow(_estimated(percent), "a long, b long"))
+
+
+def _cells(percent: int):
+    """Compare the nodes of each cell of a group by their registers: out come
+    (probe, root), the node of the smaller and the other's component.  Nodes
+    that share several bands are compared in the first one's group only."""
+    width = band_width(percent)
+
+    def compare(t: dict, found: set) -> None:
         left = np.flatnonzero(t["blk"] == t["i"][0])
         right = np.flatnonzero(t["blk"] == t["j"][0])
-        same_block = t["i"][0] == t["j"][0]
-        bands = regs[:, :BANDS * BAND].reshape(len(regs), BANDS, BAND)
-        out = []
+        bands = t["regs"][:, :BANDS * width].reshape(-1, BANDS, width)
+        side = _sides(t)
         for k, x in enumerate(left.tolist()):
-            ys = right[k + 1:] if same_block else right
-            ys = ys[(t["root"][ys] != t["root"][x]) & (t["set_id"][ys] != t["hub"][0])]
-            if not len(ys) or t["set_id"][x] == t["hub"][0]:
+            ys = right[k + 1:] if t["i"][0] == t["j"][0] else right
+            ys = ys[(t["root"][ys] != t["root"][x]) & (t["set_id"][ys] != t["hub"][x])
+                    & (t["hub"][ys] != t["set_id"][x])]   # hubs have been met
+            if not len(ys):
                 continue
-            est = _plausible(regs[x][None], regs[ys], t["n_shingles"][x], t["n_shingles"][ys], percent)
-            ok = est >= 0
-            ys, est = ys[ok], est[ok]
+            n = t["n_shingles"]
+            ys = ys[(100 * n[ys] >= percent * n[x]) & (100 * n[x] >= percent * n[ys])]
+            ys = ys[_plausible(_rows_of(side, [x]), _rows_of(side, ys), percent) >= 0]
             if not len(ys):
                 continue
-            agree = (bands[x][None] == bands[ys]).all(axis=2) & (bands[x] > 0).any(axis=1)[None]
-            mine = agree.argmax(axis=1) == t["band"][x]
-            ys, est = ys[mine], est[mine]
-            if best is not None and len(ys) > best:
-                order = np.lexsort((-est, t["root"][ys]))
-                roots = t["root"][ys][order]
-                new = np.concatenate([[True], roots[1:] != roots[:-1]])
-                nth = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-                keep = order[nth < best]
-                ys, est = ys[keep], est[keep]
-            out += [(int(t["set_id"][x]), int(t["set_id"][y]), float(e)) for y, e in zip(ys, est)]
-        return out
+            shared = (bands[x][None] == bands[ys]).all(axis=2) & (bands[x] > 0).any(axis=1)[None]
+            for y in ys[shared.argmax(axis=1) == t["band"][x]].tolist():
+                a, b = sorted((x, y), key=lambda z: (t["size"][z], t["root"][z]))
+                found.add((int(t["set_id"][a]), int(t["root"][b])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            held = t if held is None else pa.concat_tables([held, t])
-            done, held = _whole_cells(held)
-            if done is not None:
-                yield result(done)
-        if held is not None and held.num_rows:
-            yield result(held)
-
-    def result(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        cols = {c: int64(t[c].chunk(0)) for c in names if c != "regs"}
-        cols["regs"] = _matrix(t["regs"].chunk(0))
-        found = []
-        for lo, hi in _cell_bounds(cols):
-            found += compare({c: v[lo:hi] for c, v in cols.items()})
-        a, b, e = zip(*found) if found else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(e, pa.float64())], ["a", "b", "est"])
+        for t, _ in _whole_runs(batches, ["group", "i", "j"]):
+            cols = {c: int64(t[c].chunk(0)) for c in t.column_names if c != "regs"}
+            cols["regs"] = _matrix(t["regs"].chunk(0))
+            starts = _run_starts([cols[c] for c in ("group", "i", "j")])
+            found: set = set()
+            for lo, hi in zip(starts.tolist(), np.append(starts[1:], t.num_rows).tolist()):
+                compare({c: v[lo:hi] for c, v in cols.items()}, found)
+            probes, roots = zip(*sorted(found)) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(roots, pa.int64())],
+                                             ["probe", "root"])
     return run
 
 
-def _cell_bounds(cols: dict) -> list[tuple[int, int]]:
-    g, i, j = cols["group"], cols["i"], cols["j"]
-    new = np.concatenate([[True], (g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-    starts = np.flatnonzero(new)
-    return list(zip(starts.tolist(), np.append(starts[1:], len(g)).tolist()))
-
-
-def _whole_cells(t: pa.Table) -> tuple[pa.Table | None, pa.Table]:
-    """What ends before the last cell, which may go on, and the rest."""
-    t = t.combine_chunks()
-    if not t.num_rows:
-        return None, t
-    cols = {c: int64(t[c].chunk(0)) for c in ("group", "i", "j")}
-    last = _cell_bounds(cols)[-1][0]
-    return (t.slice(0, last) if last else None), t.slice(last)
-
-
-def _rest_pairs(member: DataFrame, nodes: DataFrame, tied: DataFrame, percent: int,
-                best: int | None) -> DataFrame:
-    """Plausible pairs of one group whose nodes are in different components."""
-    root = tied.select(F.col("node").alias("set_id"), "root")
-    rooted = (member.where(F.col("n") > 2).join(root, "set_id", "left")
-              .withColumn("root", F.coalesce("root", "set_id")))
-    mixed = (rooted.groupBy("group").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where(F.col("lo") != F.col("hi")).select("group"))
-    active = rooted.join(mixed, "group").join(nodes.select("set_id", "n_shingles", "regs"), "set_id")
+def _crowded(rooted: DataFrame) -> DataFrame:
+    """(group, root, size) of the components with many nodes in a group: at
+    least as many as the root of the group's nodes, so a group of n nodes has
+    no more than that many of them."""
+    n = rooted.groupBy("group").agg(F.count("*").alias("n"))
+    return (rooted.groupBy("group", "root").agg(F.count("*").alias("k"), F.first("size").alias("size"))
+            .join(n, "group").where(F.col("k") >= F.greatest(F.lit(CROWD), F.sqrt("n")))
+            .select("group", "root", "size"))
+
+
+def _tests(member: DataFrame, nodes: DataFrame, tied: DataFrame, node_roots: DataFrame,
+           percent: int) -> DataFrame:
+    """(probe, root): nodes with a plausible partner in another component.
+
+    Nodes of a group meet each other in cells, but for those of crowded
+    components: these the others meet as a whole, once for all groups.
+    """
+    sized = (tied.join(tied.groupBy("root").agg(F.count("*").alias("size")), "root")
+             .withColumnRenamed("node", "set_id"))
+    rooted = (member.select("group", "band", "set_id", "n_shingles", "hub").join(sized, "set_id", "left")
+              .withColumn("root", F.coalesce("root", "set_id")).withColumn("size", F.coalesce("size", F.lit(1))))
+    mixed = (rooted.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .where((F.col("n") > 2) & (F.col("lo") != F.col("hi"))).select("group"))
+    rooted = settled(rooted.join(mixed, "group"))
+    crowded = settled(_crowded(rooted))
+    single = rooted.join(crowded.select("group", "root"), ["group", "root"], "left_anti")
+    single = settled(single.join(single.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"), "group"))
+    regs = settled(_only(nodes.select("set_id", "regs"), settled(single.select("set_id").distinct())))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = (active.withColumn("blk", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
+    cells = (single.withColumn("blk", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
-    cells = (dealt.select("group", "i", "j", "band", "blk", "set_id", "root", "hub", "n_shingles", "regs")
+             .join(regs, "set_id")
+             .select("group", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
+                     "band", "blk", "set_id", "root", "size", "hub", "n_shingles", "regs")
              .repartition("group", "i", "j").sortWithinPartitions("group", "i", "j"))
-    return cells.mapInArrow(_cells(percent, best), "a long, b long, est double")
+    near = cells.mapInArrow(_cells(percent), "probe long, root long")
+
+    whole = crowded.select("group", F.col("root").alias("other"), F.col("size").alias("other_size"))
+    inside = crowded.select("group", "root", F.lit(True).alias("inside"))
+    meets = (rooted.join(inside, ["group", "root"], "left")
+             .join(whole, (rooted["group"] == whole["group"]) & (F.col("root") != F.col("other"))
+                   # of two crowded components the smaller one's nodes are the probes
+                   & (F.col("inside").isNull() | (F.struct("size", "root") < F.struct("other_size", "other"))))
+             .select(F.col("set_id").alias("probe"), F.col("other").alias("root")).distinct())
+    grid = _grid(settled(meets), node_roots)
+    regs = settled(_only(nodes.select("set_id", "n_shingles", "regs"), settled(grid.select("set_id").distinct())))
+    far = (grid.join(regs, "set_id").repartition(*_CELL).sortWithinPartitions(*_CELL)
+           .mapInArrow(_cell_probes(percent), "probe long, root long"))
+    return near.unionByName(far).distinct()
+
+
+_CELL = ["alone", "cell", "i", "j"]
+
+
+def _grid(tests: DataFrame, node_roots: DataFrame) -> DataFrame:
+    """(alone, cell, i, j, probe, set_id, roots): probes in blocks i against
+    targets in blocks j.  A component of more than ``BLOCK`` nodes has cells
+    alone; smaller ones share cells, so a probe of many of them is there once.
+    ``roots`` are a probe's components (no more than its cell has) or the
+    target's own."""
+    wide = settled(tests.select("root").distinct().join(node_roots, "root").groupBy("root")
+                   .agg(F.count("*").alias("n")))
+    small = F.col("n") <= BLOCK
+    cells = max(1, -(-(wide.where(small).agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    placed = wide.select("root", F.when(small, 0).otherwise(1).cast("long").alias("alone"),
+                         F.when(small, F.pmod(F.xxhash64("root"), F.lit(cells))).otherwise(F.col("root")).alias("cell"),
+                         F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("bt"))
+    asked = settled(tests.join(placed, "root").groupBy("alone", "cell", F.col("probe").alias("set_id"))
+                    .agg(F.collect_set("root").alias("roots"), F.max("bt").alias("bt")))
+    many = asked.groupBy("alone", "cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("bp"))
+
+    def block(n):
+        return F.pmod(F.xxhash64("set_id"), F.col(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    probes = (asked.join(many, ["alone", "cell"])
+              .select("alone", "cell", block("bp").alias("i"), every("bt").alias("j"), F.lit(True).alias("probe"),
+                      "set_id", "roots"))
+    targets = (node_roots.join(placed, "root").join(many, ["alone", "cell"])
+               .select("alone", "cell", every("bp").alias("i"), block("bt").alias("j"), F.lit(False).alias("probe"),
+                       "set_id", F.array("root").alias("roots")))
+    return settled(probes.unionByName(targets))
+
+
+def _grid_cells(t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each probe's row, and the rows of the targets that it is tested with."""
+    starts = _run_starts([int64(t[c].chunk(0)) for c in _CELL])
+    probe, roots = t["probe"].chunk(0).to_numpy(False), t["roots"].chunk(0).to_pylist()
+    for lo, hi in zip(starts.tolist(), np.append(starts[1:], t.num_rows).tolist()):
+        targets = lo + np.flatnonzero(~probe[lo:hi])
+        own = np.array([roots[k][0] for k in targets.tolist()], dtype=np.int64)
+        for k in (lo + np.flatnonzero(probe[lo:hi])).tolist():
+            asked = targets[np.isin(own, np.array(roots[k], dtype=np.int64))]
+            if len(asked):
+                yield k, asked
+
+
+def _cell_probes(percent: int):
+    """(probe, root) for the components with a node that the probe may be
+    similar to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, _ in _whole_runs(batches, _CELL):
+            node, n = (int64(t[c].chunk(0)) for c in ("set_id", "n_shingles"))
+            roots = t["roots"].chunk(0).to_pylist()
+            side = _sides({"regs": _matrix(t["regs"].chunk(0)), "n_shingles": n})
+            found = set()
+            for k, targets in _grid_cells(t):
+                ok = targets[_plausible(_rows_of(side, [k]), _rows_of(side, targets), percent) >= 0]
+                found.update((int(node[k]), roots[y][0]) for y in ok.tolist())
+            probes, of = zip(*sorted(found)) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(of, pa.int64())],
+                                             ["probe", "root"])
+    return run
+
+
+def _cell_links(percent: int):
+    """A link, if there is any, of each probe to each of its components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, _ in _whole_runs(batches, _CELL):
+            node, roots = int64(t["set_id"].chunk(0)), t["roots"].chunk(0).to_pylist()
+            sets = [np.frombuffer(b, np.uint64) for b in t["shingles"].chunk(0).to_pylist()]
+            found = {}
+            for k, targets in _grid_cells(t):
+                targets = targets.tolist()
+                sizes = np.array([len(sets[y]) for y in targets])
+                whole = np.concatenate([sets[y] for y in targets])
+                place = np.searchsorted(sets[k], whole)
+                place[place == len(sets[k])] = 0
+                owner = np.repeat(np.arange(len(targets)), sizes)
+                both = np.bincount(owner[sets[k][place] == whole], minlength=len(targets))
+                for y in np.flatnonzero(100 * both >= percent * (len(sets[k]) + sizes - both)).tolist():
+                    found.setdefault((int(node[k]), roots[targets[y]][0]), int(node[targets[y]]))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                              pa.array(list(found.values()), pa.int64())], ["a", "b"])
+    return run
+
+
+def _block_links(tests: DataFrame, node_roots: DataFrame, sets_for, percent: int) -> DataFrame:
+    """Links of the probes to any node of the component they are tested with."""
+    grid = _grid(tests, node_roots)
+    sets = sets_for(grid.select("set_id").distinct())
+    return (grid.join(sets, "set_id").repartition(*_CELL).sortWithinPartitions(*_CELL)
+            .mapInArrow(_cell_links(percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
@@ -358,41 +545,35 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     Documents are linked if 100 * |intersection| >= percent * |union| of
     their shingle sets; ``component_id`` is the least id reachable.
     """
+    spark = docs.sparkSession
     sketch = settled(sketches(docs, text, size))
     nodes = settled(sketch.where(F.col("set_id").isNotNull()).groupBy("set_id")
                     .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
                          F.first("regs").alias("regs")))
-    width = 2 * BAND
-    banded = (nodes.select("set_id", "regs", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-              .withColumn("part", F.expr(f"substring(regs, band * {width} + 1, {width})"))
-              .where(F.col("part") != F.lit(bytes(width)))
-              .select(F.xxhash64("band", "part").alias("group"), "set_id", "band"))
-    shared = (banded.groupBy("group").agg(F.min("set_id").alias("hub"), F.count("*").alias("n"))
-              .where(F.col("n") > 1))
-    member = settled(banded.join(shared, "group"))
-
-    regs_a = nodes.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("regs").alias("regs_a"))
-    regs_b = nodes.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b"))
-    pairs = settled(member.where(F.col("set_id") != F.col("hub"))
-                    .select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct()
-                    .join(regs_a, "a").join(regs_b, "b")
-                    .mapInArrow(_estimated(percent), "a long, b long, est double"))
-    first = pairs.groupBy("a").agg(F.max_by("b", "est").alias("b"))
-
-    def sets_for(p: DataFrame) -> DataFrame:
-        ends = p.select(F.col("a").alias("set_id")).unionByName(p.select(F.col("b").alias("set_id"))).distinct()
-        return settled(_sets_of(docs, text, size, settled(nodes.join(ends, "set_id").select("set_id", "doc_id"))))
-
-    sets = sets_for(pairs)
-    links = settled(_links(first, sets, percent))
-    tied = settled(components(links))
-    links = settled(links.unionByName(_links(_across(pairs, tied), sets, percent)))
+    sketch = settled(sketch.select("doc_id", "n_shingles", "set_id"))
+    release(spark)
+    member = settled(_members(nodes, band_width(percent)))
+    release(spark)
+    pairs = settled(_plausible_pairs(_hub_pairs(member), nodes, percent))
+    release(spark)
+
+    def sets_for(ids: DataFrame) -> DataFrame:
+        wanted = settled(_only(nodes.select("set_id", "doc_id"), settled(ids)))
+        return settled(_sets_of(docs, text, size, wanted))
+
+    links = settled(_links(pairs, sets_for(pairs.select(F.col("a").alias("set_id")).unionByName(
+        pairs.select(F.col("b").alias("set_id"))).distinct()), percent))
+    release(spark)
     tied = settled(components(links))
-    for best in (3, None):
-        rest = settled(_rest_pairs(member, nodes, tied, percent, best))
-        if rest.isEmpty():
-            break
-        links = settled(links.unionByName(_links(rest, sets_for(rest), percent)))
+
+    node_roots = settled(nodes.select("set_id").join(tied.withColumnRenamed("node", "set_id"), "set_id", "left")
+                         .select("set_id", F.coalesce("root", "set_id").alias("root")))
+    tests = settled(_tests(member, nodes, tied, node_roots, percent))
+    del member
+    release(spark)
+    if not tests.isEmpty():
+        links = settled(links.unionByName(_block_links(tests, node_roots, sets_for, percent)))
+        release(spark)
         tied = settled(components(links))
 
     named = (tied.join(nodes.select(F.col("set_id").alias("node"), "doc_id"), "node")
@@ -400,7 +581,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     name_of = (nodes.select("set_id", F.col("doc_id").alias("own")).join(
         tied.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
         .join(named, "root", "left").select("set_id", F.coalesce("component_id", "own").alias("component_id")))
-    return (sketch.select("doc_id", "n_shingles", "set_id").join(name_of, "set_id", "left")
+    return (sketch.join(name_of, "set_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
@@ -410,11 +591,11 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGL
                          percent: int = PERCENT) -> DataFrame:
     """One document of each component: the one with the least id; columns stay.
 
-    Rows that repeat an id are kept or dropped together; without an id they
-    are kept.
+    Rows that repeat an id all stay if one of them does; rows without an id
+    stay.
     """
-    gone = settled(near_duplicates(docs, text, size, percent)
-                   .where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
+    gone = settled(near_duplicates(docs, text, size, percent).where(F.col("doc_id").isNotNull())
+                   .groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id"))
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
