@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import text_bytes
+from cadenza.llm.common import text_bytes, whole_texts
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -147,7 +147,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                              text_bytes("text").alias("body"))
     total = bench.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = -(-total // block_bytes)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"),
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"),
                        F.array().cast("array<long>").alias("spans"),
                        F.array().cast("array<string>").alias("items"))
     ddl = "doc_id long, body binary, spans array<long>, items array<string>"
@@ -198,7 +198,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     for k in range(blocks):
         part = bench.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
         shared = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
-        docs = docs.where(~_occurs(uuid.uuid4().hex, shared, window)(text_bytes(text)))
+        docs = whole_texts(docs).where(~_occurs(uuid.uuid4().hex, shared, window)(text_bytes(text)))
     return docs
 
 

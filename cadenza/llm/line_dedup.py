@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from cadenza.llm.common import batch, int64, settled, text_bytes
+from cadenza.llm.common import batch, int64, settled, text_bytes, whole_texts
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -41,7 +41,7 @@ _SEEN_DDL = "open boolean, h1 long, h2 long, doc_id long, row_key long, pos int"
 
 def _rows(docs: DataFrame, text: str) -> DataFrame:
     """doc_id, row_key and the text; (id0, row_key) names a row's content."""
-    return docs.select(
+    return whole_texts(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id0"),
         F.xxhash64(F.col("doc_id").cast("long"), F.col(text)).alias("row_key"),

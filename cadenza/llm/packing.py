@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import int64, settled
+from cadenza.llm.common import int64, settled, whole_texts
 
 CAPACITY = 4096
 END_ID = 1
@@ -142,30 +142,28 @@ def _pieces(path: str, capacity: int, end_id: int):
     end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 2500):
-                b = whole.slice(lo, 2500)
-                row, piece, length, crc = [], [], [], []
-                for i, ids in enumerate(_encode(path, b.column("body").to_pylist())):
-                    ids = np.concatenate([ids, end])
-                    for k, at in enumerate(range(0, len(ids), capacity)):
-                        part = ids[at:at + capacity]
-                        row.append(i)
-                        piece.append(k)
-                        length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
-                k = np.array(piece, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array(row, pa.int32())), pa.array(k.astype(np.int32)),
-                     pa.array(k * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for b in batches:
+            row, piece, length, crc = [], [], [], []
+            for i, ids in enumerate(_encode(path, b.column("body").to_pylist())):
+                ids = np.concatenate([ids, end])
+                for k, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at:at + capacity]
+                    row.append(i)
+                    piece.append(k)
+                    length.append(len(part))
+                    crc.append(zlib.crc32(part.tobytes()))
+            k = np.array(piece, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(pa.array(row, pa.int32())), pa.array(k.astype(np.int32)),
+                 pa.array(k * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                ["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, text: str = "text",
                  capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
     return rows.mapInArrow(_pieces(tokenizer, capacity, end_id),
                            "doc_id long, piece int, start long, length long, ids_crc32 long")

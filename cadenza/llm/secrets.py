@@ -32,7 +32,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import held_out, settled, text_bytes
+from cadenza.llm.common import held_out, settled, text_bytes, whole_texts
 
 MIN_LENGTH = 12
 TRAIN_ROWS = 6000
@@ -112,7 +112,7 @@ def _strict(m: re.Match) -> int:
 def candidates(files: DataFrame) -> DataFrame:
     """doc_id, held_out, start, length, finding_sha256, features, strict."""
     path = F.col("path") if "path" in files.columns else F.lit(None).cast("string")
-    rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
+    rows = whole_texts(files).select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
                         text_bytes().alias("body"), F.coalesce(path, F.lit("")).alias("path"))
     return rows.mapInArrow(_found, "doc_id long, held_out boolean, start long, length long, "
                                    "finding_sha256 string, features array<double>, strict int")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import int64, text_bytes
+from cadenza.llm.common import int64, text_bytes, whole_texts
 from cadenza.llm.near_dedup import _MULTIPLIERS, _chunks, _mixed, _word_hashes
 
 # Common words that anchor signatures, by language.
@@ -129,7 +129,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([fingerprint(s) for s in sets], pa.string())], ["doc_id", "n_spots", "fingerprint"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
     return rows.mapInArrow(run, "doc_id long, n_spots long, fingerprint string")
 
 
@@ -184,7 +184,7 @@ def compared_with_next(docs: DataFrame, text: str = "text", buckets: int | None
     if not buckets:
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("doc_id").cast("long"), least).alias("ord"),
                        F.xxhash64(text).alias("h"), text_bytes(text).alias("body"))
     # upper ends of the buckets: as many numbers as there are buckets

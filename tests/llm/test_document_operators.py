@@ -1,0 +1,398 @@
+"""Brute-force and edge-case tests of the near-duplicate, fingerprint, URL,
+licence, secret and toxicity operators, and of the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from cadenza.llm import (graph, licenses, near_dedup, packing, registry, secrets, spotsigs, toxicity,
+                         url_filter)
+from cadenza.llm.letters import letter_table
+from tests.llm.test_text_operators import DDL, check_packing, frame
+
+# --- components -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_equal_union_find(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]
+    edges += [(k, k + 1) for k in range(300, 340)] + [(500, k) for k in range(501, 560)] + [(7, 7)]
+    rng.shuffle(edges)
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = {r.node: r.root for r in graph.components(df).collect()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
+    assert graph.components(df.where("false")).count() == 0
+
+
+# --- near duplicates -----------------------------------------------------------------
+
+def shingles(t, size):
+    w = (t or "").encode().lower().split()
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+
+
+def components_brute(rows, size, percent):
+    sets = [shingles(t, size) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    names: dict = {}
+    for i, (d, _) in enumerate(rows):
+        r = find(i)
+        if d is not None:
+            names[r] = min(names.get(r, d), d)
+    return sorted(((d, len(sets[i]), names.get(find(i))) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def near_rows():
+    rng = random.Random(4)
+    word = lambda: "w%d" % rng.randrange(3000)
+    texts = [None, "", " \n\t", "one", "ONE", "one two", "one  TWO", "two one", "one two three", "a b c d", "a b c e"]
+    for n in (30, 120, 600):   # families of near copies around the threshold
+        base = [word() for _ in range(n)]
+        for k in range(25):
+            copy = list(base)
+            for _ in range(rng.randrange(0, max(2, n // 16))):
+                copy[rng.randrange(n)] = word()
+            texts.append(" ".join(copy))
+            if k % 9 == 0:
+                texts.append(" ".join(copy).upper())
+    texts += [" ".join(word() for _ in range(rng.randrange(1, 80))) for _ in range(60)]
+    texts.append(" ".join("long%d" % (k % 4001) for k in range(40_000)))
+    texts += [(900, texts[40]), (900, "some other text under the same id"), (None, texts[20]), (None, "no id, alone")]
+    return texts
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_near_duplicates_equal_brute_force(spark, size, percent):
+    df = frame(spark, near_rows())
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    got = near_dedup.near_duplicates(df, size=size, percent=percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == \
+        components_brute(rows, size, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
+
+
+def test_large_groups_go_through_blocks(spark, monkeypatch):
+    """Nodes and components of many blocks: the same components."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 3)
+    df = frame(spark, near_rows())
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = near_dedup.near_duplicates(df.repartition(6), size=3, percent=85).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == components_brute(rows, 3, 85)
+
+
+def test_drop_near_duplicates_keeps_one_and_all_columns(spark):
+    df = frame(spark, near_rows())
+    out = near_dedup.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    keep = {d for d, _, c in components_brute(rows, 5, 80) if d is not None and d == c}
+    got = out.collect()
+    assert {r.doc_id for r in got if r.doc_id is not None} == keep
+    assert sum(r.doc_id is None for r in got) == 2
+    assert near_dedup.drop_near_duplicates(df.where("false")).count() == 0
+
+
+def test_register_estimate_is_close():
+    rng = np.random.default_rng(0)
+    for same in (0.5, 0.8, 0.95):
+        errors = []
+        for _ in range(40):
+            n = 2000
+            both = int(n * same)
+            pool = rng.integers(0, 1 << 63, 2 * n - both, dtype=np.uint64) * np.uint64(2)
+            a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:both], pool[n:]]))
+            r = near_dedup.registers([a, b])
+            j = both / (2 * n - both)
+            side = near_dedup._sides({"regs": r, "n_shingles": np.array([n, n])})
+            est = near_dedup._plausible(*(near_dedup._rows_of(side, [k]) for k in (0, 1)), 1)[0]
+            errors.append(est - j)
+        assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
+
+
+# --- fingerprints -------------------------------------------------------------------
+
+def test_fingerprints_and_edits_equal_definition(spark):
+    rng = random.Random(2)
+    texts = [None, "", "a", "of the", "...", "É é ü", "the cat sat on the mat. It was a good mat!", "same", "same",
+             "The quick brown fox. " * 3000, (4, "again the same id"), (4, "again the same id"), (None, "no id here")]
+    texts += [" ".join(rng.choice(["the", "of", "alpha%d" % rng.randrange(99), "beta%d" % rng.randrange(99)])
+                       for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    df = frame(spark, texts)
+    rows = [(r.doc_id, r.text or "") for r in
+            df.select("doc_id", "text", F.xxhash64("text").alias("k")).orderBy(
+                F.desc_nulls_last("doc_id"), F.desc("k")).collect()]
+    expected = []
+    for k, (i, t) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        n = len(t) // 3
+        new = t[:len(t) - n] + following[:n] if n else t
+        own, edit, nxt = spotsigs.spot_sets([t.encode(), new.encode(), following.encode()])
+        expected.append((i, len(t), hashlib.sha256(new.encode()).hexdigest(), spotsigs.fingerprint(own),
+                         spotsigs.fingerprint(edit), spotsigs.likeness(own, edit), spotsigs.likeness(own, nxt)))
+    for buckets in (1, 7, 300):
+        got = [tuple(r) for r in spotsigs.compared_with_next(df, buckets=buckets).collect()]
+        assert sorted(got, key=str) == sorted(expected, key=str)
+    assert spotsigs.compared_with_next(df.where("false")).count() == 0
+    one = spotsigs.compared_with_next(df.where("doc_id = 7")).first()
+    assert one.near_next == 1.0
+
+
+def test_spots_follow_the_definition():
+    def brute(text):
+        common = {w for line in spotsigs.COMMON_WORDS.values() for w in line.split()}
+        out, tokens = set(), spotsigs._marked(text.encode()).decode().lower().split()
+        anchor = [t == "\x01" or t in common for t in tokens]
+        for k, a in enumerate(anchor):
+            rest = [t for t, x in zip(tokens[k + 1:], anchor[k + 1:]) if not x][:2]
+            if a and rest:
+                out.add((tokens[k], *rest))
+        return out
+    for text in ("the cat sat on the mat. It was a good mat!", "alpha beta gamma\ndelta", "der Hund und die Katze",
+                 "no anchors beyond the start here " * 5):
+        assert len(spotsigs.spot_sets([text.encode()])[0]) == len(brute(text))
+    a, b = spotsigs.spot_sets([b"The cat sat.", b"the CAT, sat!"])
+    assert spotsigs.likeness(a, b) == 1.0 and spotsigs.fingerprint(a) == spotsigs.fingerprint(b)
+    assert (spotsigs.spots_of(spotsigs.fingerprint(a)) == a).all()
+
+
+# --- URL filter ---------------------------------------------------------------------
+
+def test_url_rules_and_parsing(spark):
+    rules = spark.createDataFrame(registry.URL_RULES, "host string, path string, verdict string")
+    cases = {
+        "http://a.example.org/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"),
+        "HTTPS://EXAMPLE.org/en/1?x=/es/": ("example.org", "/en/1", "example.org/en/1", "block"),
+        "http://example.org/en/2#top": ("example.org", "/en/2", "org/", "allow"),
+        "http://badexample.org/es/": ("badexample.org", "/es/", "org/", "allow"),
+        "http://x.com/de/a": ("x.com", "/de/a", "com/de/", "block"),
+        "http://x.com/fr/": ("x.com", "/fr/", "com/fr/", "allow"),
+        "http://x.com/en/": ("x.com", "/en/", None, "allow"),
+        "http://org": ("org", "", None, "allow"),
+        "http://x.org?u=http://y.com/de/": ("x.org", "", None, "allow"),
+        "no scheme.com/de/": ("", "", None, "allow"),
+        "a://b://c.com/de/": ("b:", "//c.com/de/", None, "allow"),
+        "http://É.COM/de/": ("É.com", "/de/", "com/de/", "block"),
+        "://x.com/de/": ("x.com", "/de/", "com/de/", "block"), "": ("", "", None, "allow"), None: ("", "", None, "allow"),
+    }
+    pages = spark.createDataFrame([(k, u, None, 1) for k, u in enumerate(cases)] + [(0, next(iter(cases)), "", 2)],
+                                  "page_id long, url string, html string, host int")
+    got = url_filter.judge(pages, rules).collect()
+    assert len(got) == len(cases) + 1
+    by = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got}
+    assert [by[k] for k in range(len(cases))] == list(cases.values())
+    assert url_filter.judge(pages.where("false"), rules).count() == 0
+
+
+def test_blocks_reach_aliases_but_not_allowed_pages(spark):
+    rules = spark.createDataFrame([("bad.com", "/", "block"), ("good.com", "/", "allow")],
+                                  "host string, path string, verdict string")
+    link = '<LINK rel="canonical" href="{}">'
+    pages = [(1, "http://bad.com/x", ""), (2, "https://a.net/1?q=1#top", link.format("http://bad.com/x")),
+             (3, "http://b.net/2", '<meta http-equiv="refresh" content="0; url=//a.net/1?q=1">'),
+             (4, "http://good.com/y", link.format("http://b.net/2")), (5, "http://c.net/", link.format("relative")),
+             (6, "http://b.net/3", link.format("/2")), (7, "http://d.net/", "<a href='http://bad.com/x'>"),
+             (8, "http://e.net/", None), (9, None, link.format("http://bad.com/x"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df, rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "block", 7: "allow", 8: "allow",
+                   9: "allow"}
+    moved = spark.createDataFrame([("http://e.net/", "http://a.net/1?q=1"), (None, "x")],
+                                  "source string, target string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df, rules, moved).collect()}
+    assert got[8] == "block" and got[7] == "allow"
+
+
+def test_native_operators_run_no_python(spark, sf):
+    for name in ("op2_license_scan", "op9_url_filter"):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert not [w for w in ("Python", "Arrow", "Pandas") if w in plan], name
+
+
+# --- licences -----------------------------------------------------------------------
+
+def test_licences_headers_files_and_inheritance(spark):
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and "granted" in t)
+    files = [("a/LICENSE", mit), ("a/b/COPYING", "This work is licensed under the GNU General Public License, version 3."),
+             ("a/x.py", "code\n"), ("a/b/y.py", "code of y"), ("a/b/c/z.py", None), ("other/w.py", ""),
+             ("a/own.py", "# Licensed under the Apache License, Version 2.0.\ncode"), (None, "the of and to"),
+             ("a/NOTICE.txt", "nothing known"), ("a/x.py", "code\n"), ("long.py", "word " * 50_000)]
+    df = spark.createDataFrame([(k, p, t, "clash") for k, (p, t) in enumerate(files)],
+                               "doc_id long, path string, text string, unit string")
+    got = {r.doc_id: (r.license, r.origin, r.from_dir) for r in licenses.license_scan(df).collect()}
+    assert len(got) == len(files)
+    assert got[0] == ("MIT", "file", None) and got[1] == ("GPL-3.0", "file", None)
+    assert got[2] == ("MIT", "inherited", "a") == got[9] and got[3] == ("GPL-3.0", "inherited", "a/b")
+    assert got[4] == ("GPL-3.0", "inherited", "a/b") and got[5] == (None, None, None)
+    assert got[6] == ("Apache-2.0", "header", None) and got[7] == (None, None, None) == got[10]
+    assert got[8] == ("MIT", "inherited", "a")
+    assert licenses.license_scan(df.where("false")).count() == 0
+
+
+def test_lines_left_out_cannot_reach_the_threshold():
+    """Every text that is close enough to a template holds a needed term."""
+    t = licenses.Templates()
+    rng = random.Random(1)
+    vocabulary = sorted(t.idf) + ["unknown%d" % k for k in range(20)]
+    vectors: dict = {}
+    for k, _, w, share in t.rows:
+        vectors.setdefault(k, {})[w] = share
+    for _ in range(3000):
+        base = rng.choice(list(vectors.values()))
+        words = [w for w in base if rng.random() < 0.7] + rng.sample(vocabulary, rng.randrange(0, 6))
+        weight = {w: words.count(w) * t.idf.get(w, t.unknown) for w in set(words)}
+        norm = sum(x * x for x in weight.values()) ** 0.5 or 1
+        best = max(sum(x * v.get(w, 0) for w, x in weight.items()) / norm for v in vectors.values())
+        if best >= t.threshold:
+            assert t.needed & set(words)
+
+
+# --- secrets ------------------------------------------------------------------------
+
+def secret_texts(n, seed):
+    rng = random.Random(seed)
+    hexa = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    out = []
+    for _ in range(n):
+        words = " ".join("w%s" % rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(20))
+        out += [f"{words} AKIA{''.join(rng.choice('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') for _ in range(16))} {words}",
+                f"{words} password={hexa(18)} {words}", f'token = "{hexa(40)}" {words}',
+                f"{words} version-2024-01-{rng.randrange(10, 30)}-release {words}",
+                f"call {rng.randrange(10**15, 10**16)} {words}", f"{words} chapter_{rng.randrange(9)}_of_the_book {words}"]
+    return out
+
+
+def test_forest_judges_held_out_candidates(spark):
+    df = frame(spark, secret_texts(60, 3) + [None, "", "short", "x1" * 60_000, (None, "password=0123456789abcdef01")])
+    rows = secrets.secret_scan(df).collect()
+    test = [r for r in rows if r.held_out]
+    assert np.mean([r.is_secret == bool(r.strict) for r in test]) > 0.95 and any(r.is_secret for r in test)
+    text = {r.doc_id: r.text for r in df.collect()}
+    for r in rows:
+        part = text[r.doc_id][r.start:r.start + r.length]
+        assert hashlib.sha256(part.encode()).hexdigest() == r.finding_sha256
+    assert any(r.doc_id is None for r in rows)
+
+
+def test_secrets_without_labels_or_rows(spark):
+    df = frame(spark, ["call 1234567890123456 now", "nothing"])
+    assert [(r.score, r.is_secret) for r in secrets.secret_scan(df).collect()] == [(0.0, False)]
+    assert secrets.secret_scan(df.where("false")).count() == 0
+
+
+# --- toxicity -----------------------------------------------------------------------
+
+def toxic_texts(n, seed):
+    rng = random.Random(seed)
+    syllable = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt"]
+    word = lambda: "".join(rng.choice(syllable) for _ in range(rng.randrange(1, 4)))
+    texts, labels = [], []
+    for _ in range(n):
+        words = [word() for _ in range(rng.randrange(5, 120))]
+        toxic = rng.random() < 0.3
+        for _ in range(rng.randrange(1, 4) if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["blockhead", "numskull", "dimwit"]))
+        texts.append(" ".join(words).capitalize() + ".")
+        labels.append(toxic)
+    return texts, labels
+
+
+def test_toxicity_on_held_out_documents(spark):
+    texts, labels = toxic_texts(900, 5)
+    texts += [None, "", "123 !!", "th er on " * 40_000, (None, "you dimwit there")]
+    df = frame(spark, texts)
+    rows = [(k + 1, int(t), 9) for k, t in enumerate(labels)] + [(1, None, 9), (None, 1, 9), (10**6, 1, 9)]
+    given = spark.createDataFrame(rows, "doc_id long, toxic int, text int")
+    model = toxicity.learn(df, given)
+    got = {r.doc_id: r for r in toxicity.score(df, model).collect()}
+    assert len(got) == len(texts)
+    test = [(got[k + 1].predicted == 1, t) for k, t in enumerate(labels) if got[k + 1].held_out]
+    assert np.mean([p == t for p, t in test]) > 0.97
+    assert all(got[901 + k].predicted == 0 for k in range(4)) and got[None].predicted == 1
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items() if i is not None)
+    kept = toxicity.without_toxic(df, model)
+    assert kept.columns == df.columns and kept.count() == sum(not r.predicted for r in got.values())
+    hidden = model.scores(["on dimxwit the er", "he re dim-wit on", "on er the re he"], letter_table(model.letters))
+    assert hidden[:2].min() > hidden[2]
+
+
+def test_scores_do_not_depend_on_batches():
+    texts, labels = toxic_texts(200, 8)
+    model = toxicity.train(texts, np.array(labels))
+    table = letter_table(model.letters)
+    whole = model.scores(texts, table)
+    assert np.allclose(whole, [model.scores([t], table)[0] for t in texts], atol=1e-6)
+
+
+def test_toxicity_without_both_kinds(spark):
+    df = frame(spark, ["a text", "another", None])
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.learn(df, labels) is None and toxicity.learn(df, labels.where("false")) is None
+    assert [r.score for r in toxicity.score(df, None).collect()] == [0.0] * 3
+    assert toxicity.score(df.where("false"), None).count() == 0
+
+
+# --- pipeline -----------------------------------------------------------------------
+
+def test_pipeline_stages_in_order_on_whole_table(spark, sf):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line_dedup", "minhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, sf)
+        assert left.columns == docs.columns and [f.dataType for f in left.schema] == [f.dataType for f in docs.schema]
+    left = left.localCheckpoint() if False else left.checkpoint()
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in left.select("doc_id").collect()}
+    check_packing(pieces, packing.CAPACITY)
+
+
+def test_stages_define_edge_cases(spark, sf):
+    rows = [None, "", "x", "text of some length that stays", (3, "again"), (3, "again"), (None, "no id")]
+    docs = frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert out.count() == len(rows), name
+        assert stage(spark, docs.where("false"), sf).count() == 0, name
+    assert docs.schema == spark.createDataFrame([], DDL).schema
+
+
+def test_queries_are_registered():
+    names = entry.queries()
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in names) == 1
+    assert "pipeline" in names and set(registry.ORACLE) <= set(names)
