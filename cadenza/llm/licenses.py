@@ -51,7 +51,9 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
 ]
 
-_COMMON = set(COMMON_WORDS["en"].split())
+# Common words, and last the commonest: they should not make a line a candidate.
+_COMMON = {w: 1 for w in COMMON_WORDS["en"].split()} | {
+    w: 2 + k for k, w in enumerate("on with be was are as by from this or is for it that in a to and of the".split())}
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 
 
@@ -74,7 +76,7 @@ class Templates:
             norm = math.sqrt(sum(x * x for x in weight.values()))
             self.rows += [(k, name, w, x / norm) for w, x in sorted(weight.items())]
             rest = norm * norm
-            for w, x in sorted(weight.items(), key=lambda t: (t[0] in _COMMON, -t[1], t[0])):
+            for w, x in sorted(weight.items(), key=lambda t: (_COMMON.get(t[0], 0), -t[1], t[0])):
                 if rest < (threshold * norm) ** 2 * 0.999:
                     break
                 self.needed.add(w)
@@ -85,6 +87,23 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
 
 
+def _heavy_lines(lines: Column, marker: str, templates: Templates) -> Column:
+    """The lines whose words hold enough of a template: the squared shares of
+    the terms that a text has in common with it must reach the threshold's
+    square, by the same inequality."""
+    by: dict[int, list] = {}
+    for k, _, w, share in templates.rows:
+        by.setdefault(k, []).append(F.struct(F.lit(w).alias("word"), F.lit(share * share).alias("mass")))
+    known = F.array(*[F.array(*terms) for terms in by.values()])
+    least = templates.threshold ** 2 * 0.999
+    split = F.transform(F.filter(lines, lambda x: x.rlike(marker)),
+                        lambda x: F.struct(x.alias("line"), F.array_distinct(_words(x)).alias("words")))
+    heavy = F.filter(split, lambda s: F.exists(known, lambda terms: F.aggregate(
+        F.filter(terms, lambda t: F.array_contains(s["words"], t["word"])), F.lit(0.0),
+        lambda total, t: total + t["mass"]) >= least))
+    return F.transform(heavy, lambda s: s["line"])
+
+
 def match_texts(texts: DataFrame, templates: Templates) -> DataFrame:
     """unit, license, cosine of every distinct text ``unit`` that is close
     enough to a template."""
@@ -133,7 +152,7 @@ def license_scan(files: DataFrame, templates: Templates | None = None) -> DataFr
         "keys", "path", F.xxhash64("text").alias("body"), named.alias("is_file"),
         F.when(~F.col("text").rlike(marker), F.array().cast("array<string>"))
         .when(named, F.array("text"))
-        .otherwise(F.filter(F.split("text", "\n"), lambda x: x.rlike(marker))).alias("units"))
+        .otherwise(_heavy_lines(F.split("text", "\n"), marker, templates)).alias("units"))
     # texts are behind us: the candidates' lines and a hash remain
     rows = settled(rows)
     units = rows.select("path", "body", F.explode("units").alias("unit")).distinct()
