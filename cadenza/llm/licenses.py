@@ -1,7 +1,8 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance by directory.
 
-Headers are lines of any file; licence files (by name) are taken whole.  Both
-become sparse TF-IDF vectors and are compared with every template.  Lines that
+Headers are lines of any file; of licence files (by name) the whole text, its
+paragraphs (parted by blank lines) and its lines count, and the best is kept.
+All become sparse TF-IDF vectors and are compared with every template.  Those that
 cannot reach the threshold are left out without loss: for each template there
 is a set of terms, common words last, such that the others together have a
 norm below ``threshold`` times the template's, so by the Cauchy-Schwarz
@@ -55,6 +56,7 @@ TEMPLATES = [
 _COMMON = {w: 1 for w in COMMON_WORDS["en"].split()} | {
     w: 2 + k for k, w in enumerate("on with be was are as by from this or is for it that in a to and of the".split())}
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
+PARAGRAPH = r"\n\s*\n"
 
 
 def _terms(text: str) -> Counter:
@@ -87,8 +89,8 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
 
 
-def _heavy_lines(lines: Column, marker: str, templates: Templates) -> Column:
-    """The lines whose words hold enough of a template: the squared shares of
+def _heavy(texts: Column, marker: str, templates: Templates) -> Column:
+    """The texts whose words hold enough of a template: the squared shares of
     the terms that a text has in common with it must reach the threshold's
     square, by the same inequality."""
     by: dict[int, list] = {}
@@ -96,12 +98,12 @@ def _heavy_lines(lines: Column, marker: str, templates: Templates) -> Column:
         by.setdefault(k, []).append(F.struct(F.lit(w).alias("word"), F.lit(share * share).alias("mass")))
     known = F.array(*[F.array(*terms) for terms in by.values()])
     least = templates.threshold ** 2 * 0.999
-    split = F.transform(F.filter(lines, lambda x: x.rlike(marker)),
-                        lambda x: F.struct(x.alias("line"), F.array_distinct(_words(x)).alias("words")))
+    split = F.transform(F.filter(texts, lambda x: x.rlike(marker)),
+                        lambda x: F.struct(x.alias("text"), F.array_distinct(_words(x)).alias("words")))
     heavy = F.filter(split, lambda s: F.exists(known, lambda terms: F.aggregate(
         F.filter(terms, lambda t: F.array_contains(s["words"], t["word"])), F.lit(0.0),
         lambda total, t: total + t["mass"]) >= least))
-    return F.transform(heavy, lambda s: s["line"])
+    return F.transform(heavy, lambda s: s["text"])
 
 
 def match_texts(texts: DataFrame, templates: Templates) -> DataFrame:
@@ -148,12 +150,13 @@ def license_scan(files: DataFrame, templates: Templates | None = None) -> DataFr
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marker = r"(?i)(?<![a-z0-9])(" + "|".join(sorted(templates.needed)) + r")(?![a-z0-9])"
     named = F.col("path").rlike(LICENSE_FILE)
+    lines = F.split("text", "\n")
+    parts = F.when(named, F.array_distinct(F.concat(F.array("text"), F.split("text", PARAGRAPH), lines))).otherwise(lines)
     rows = rows.select(
         "keys", "path", F.xxhash64("text").alias("body"), named.alias("is_file"),
         F.when(~F.col("text").rlike(marker), F.array().cast("array<string>"))
-        .when(named, F.array("text"))
-        .otherwise(_heavy_lines(F.split("text", "\n"), marker, templates)).alias("units"))
-    # texts are behind us: the candidates' lines and a hash remain
+        .otherwise(_heavy(parts, marker, templates)).alias("units"))
+    # texts are behind us: the candidates and a hash remain
     rows = settled(rows)
     units = rows.select("path", "body", F.explode("units").alias("unit")).distinct()
     found = match_texts(units, templates)

@@ -280,6 +280,25 @@ def test_lines_left_out_cannot_reach_the_threshold():
             assert t.needed & set(words)
 
 
+def test_licence_files_are_scored_by_text_paragraph_and_line(spark):
+    """A prose line or other paragraphs beside a statement do not hide it."""
+    bsd = next(t for n, t in licenses.TEMPLATES if n == "BSD-3-Clause")
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and "granted" in t)
+    prose = "In den langen Nächten liest man gern von fernen Ländern und alten Wegen dahin"
+    wrapped = bsd.replace(", ", ",\n")
+    clauses = "1. Redistributions of source code must retain the above copyright notice and disclaimer"
+    files = [("a/LICENSE", prose + "\nReleased under the MIT License."), ("a/x.py", "code"),
+             ("b/COPYING", "\n\n".join(["Copyright 2020 some holders of this work", wrapped, clauses, prose])),
+             ("b/y.py", None), ("c/LICENSE", "\n".join([mit[:60], mit[60:]])), ("d/LICENSE", prose + "\n" + prose),
+             ("d/z.py", "code"), ("e/w.py", wrapped)]
+    df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin, r.cosine) for r in licenses.license_scan(df).collect()}
+    assert got[0] == ("MIT", "file", 1.0) and got[1] == ("MIT", "inherited", 1.0)
+    assert got[2] == ("BSD-3-Clause", "file", 1.0) and got[3] == ("BSD-3-Clause", "inherited", 1.0)
+    assert got[4][:2] == ("MIT", "file") and got[5] == got[6] == (None, None, None)
+    assert got[7] == (None, None, None) or got[7][1] == "header"   # paragraphs count in licence files only
+
+
 # --- secrets ------------------------------------------------------------------------
 
 def secret_texts(n, seed):
