@@ -10,6 +10,14 @@ sizes exclude the similarity, or if the estimate from the registers (less
 expected chance collisions) lies five standard errors below it.  All others
 are confirmed on the full sets.
 
+Small sets leave registers empty, so bands alone would miss some of them.  A
+set that a set of at most ``SMALL`` shingles can be similar to also gets a key
+for each shingle of its prefix: the first ones in an order of all shingles, as
+many as the set may lack of a similar one, and one more.  Similar sets have a
+shingle of their prefixes in common, whatever the order; here the ``HOT``
+commonest shingles come last, so a phrase that many short texts share makes no
+group of them all.  These keys are dealt and met like band values.
+
 Pairs of a large group are never all formed.  Bands are dealt by range over
 (band value, node), so a value that many nodes share spreads over tasks; in a
 task every node meets the first node of its value, the hub, and hubs of one
@@ -20,7 +28,9 @@ against *all* nodes of the other component, in blocks of ``BLOCK`` by
 are written out.  A component that is crowded in a group is met as a whole,
 once for all its groups.  That step leaves no plausible pair untested.
 
-Two nodes at the threshold miss all bands with a probability below 1e-6.
+So no pair with a set of at most ``SMALL`` shingles goes without a meeting.  Two
+larger nodes at the threshold miss all bands with a probability of about
+(1 - p^w)^36, w registers a band: 6e-7 at 80 %, 4e-8 at 85 %.
 
 Defined cases: null and empty texts, and texts of white space, have an empty
 set and are linked with nothing; a null id never becomes a component's name
@@ -46,6 +56,8 @@ PERCENT = 80
 REGISTERS = 256
 BANDS = 36
 MANTISSA = 10
+SMALL = 64                    # shingles of a set that bands are not enough for
+HOT = 4096                    # commonest shingles, last in the order of prefixes
 BLOCK = 384                   # nodes of a group compared in one task
 CROWD = 8                     # nodes that make a component crowded in a group, at least
 GROUP_BYTES = 1 << 20         # text hashed at once
@@ -177,7 +189,7 @@ def _set_id(s: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
 
 
-def _sketched(size: int):
+def _sketched(size: int, small: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bodies = b.column("body").to_pylist()
@@ -188,15 +200,18 @@ def _sketched(size: int):
                     [b.column("doc_id").slice(lo, hi - lo),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_set_id(s) for s in sets], pa.int64()),
-                     pa.array([r.tobytes() for r in regs], pa.binary())],
-                    ["doc_id", "n_shingles", "set_id", "regs"])
+                     pa.array([r.tobytes() for r in regs], pa.binary()),
+                     pa.array([s.tobytes() if 0 < len(s) <= small else None for s in sets], pa.binary())],
+                    ["doc_id", "n_shingles", "set_id", "regs", "small"])
     return run
 
 
-def sketches(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for an empty set), regs of every row."""
+def sketches(docs: DataFrame, text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, set_id (null for an empty set), regs, small (the
+    shingles, if a set of ``SMALL`` can be similar; else null) of every row."""
     rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
-    return rows.mapInArrow(_sketched(size), "doc_id long, n_shingles long, set_id long, regs binary")
+    return rows.mapInArrow(_sketched(size, SMALL * 100 // percent),
+                           "doc_id long, n_shingles long, set_id long, regs binary, small binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -310,15 +325,64 @@ def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["group", "band", "set_id", "n_shingles", "hub", "n_hub", "edge"])
 
 
-def _members(nodes: DataFrame, width: int) -> DataFrame:
-    """Nodes that share a band's value (``group``), and a hub for each."""
-    n = 2 * width
+def _small_sets(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in b.column("small").to_pylist()]
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = _small_sets(b)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], ["shingle"])
+
+
+def _commonest(small: DataFrame) -> list[int]:
+    """The ``HOT`` shingles that most small sets hold, rarest first."""
+    n = small.select("small").mapInArrow(_shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    rows = n.where("n > 2").orderBy(F.desc("n"), "shingle").limit(HOT).collect()
+    return [r["shingle"] for r in reversed(rows)]
+
+
+def prefix(s: np.ndarray, percent: int, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set, by rank (0 if not among the sorted
+    ``hot``) and hash: one more than a similar set may lack of it."""
+    late = np.zeros(len(s), dtype=np.int64)
+    if len(hot):
+        place = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+        late = np.where(hot[place] == s, rank[place], 0)
+    return s[np.argsort(late, kind="stable")[:len(s) + 1 + -percent * len(s) // 100]]
+
+
+def _prefixed(percent: int, commonest: list[int]):
+    hot = np.array(commonest, dtype=np.int64).view(np.uint64)
+    rank = np.argsort(hot) + 1
+    hot = np.sort(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [prefix(s, percent, hot, rank) for s in _small_sets(b)]
+            row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("set_id").take(pa.array(row)), b.column("n_shingles").take(pa.array(row)),
+                 pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64))],
+                ["set_id", "n_shingles", "shingle"])
+    return run
+
+
+def _members(nodes: DataFrame, percent: int) -> DataFrame:
+    """Nodes that share a band's value or a shingle of their prefixes
+    (``group``; the band of a prefix is ``BANDS``), and a hub for each."""
+    n = 2 * band_width(percent)
+    small = nodes.where(F.col("small").isNotNull()).select("set_id", "n_shingles", "small")
+    keys = (small.mapInArrow(_prefixed(percent, _commonest(small)), "set_id long, n_shingles long, shingle long")
+            .select(F.xxhash64(F.lit(BANDS), "shingle").alias("group"), F.lit(BANDS).alias("band"), "set_id",
+                    F.col("n_shingles").cast("int").alias("n_shingles")))
     banded = (nodes.select("set_id", "n_shingles", "regs", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
               .withColumn("part", F.expr(f"substring(regs, band * {n} + 1, {n})"))
               .where(F.col("part") != F.lit(bytes(n)))
               .select(F.xxhash64("band", "part").alias("group"), F.col("band").cast("int").alias("band"), "set_id",
                       F.col("n_shingles").cast("int").alias("n_shingles")))
-    return (banded.repartitionByRange("group", "set_id").sortWithinPartitions("group", "set_id")
+    return (banded.unionByName(keys).repartitionByRange("group", "set_id").sortWithinPartitions("group", "set_id")
             .mapInArrow(_hubs, _MEMBER))
 
 
@@ -354,7 +418,8 @@ def _plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFr
 def _cells(percent: int):
     """Compare the nodes of each cell of a group by their registers: out come
     (probe, root), the node of the smaller and the other's component.  Nodes
-    that share several bands are compared in the first one's group only."""
+    that share several bands are compared in the first one's group only, those
+    that share none in the groups of their prefixes."""
     width = band_width(percent)
 
     def compare(t: dict, found: set) -> None:
@@ -374,7 +439,8 @@ def _cells(percent: int):
             if not len(ys):
                 continue
             shared = (bands[x][None] == bands[ys]).all(axis=2) & (bands[x] > 0).any(axis=1)[None]
-            for y in ys[shared.argmax(axis=1) == t["band"][x]].tolist():
+            band = np.where(shared.any(axis=1), shared.argmax(axis=1), BANDS)
+            for y in ys[band == t["band"][x]].tolist():
                 a, b = sorted((x, y), key=lambda z: (t["size"][z], t["root"][z]))
                 found.add((int(t["set_id"][a]), int(t["root"][b])))
 
@@ -546,13 +612,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     their shingle sets; ``component_id`` is the least id reachable.
     """
     spark = docs.sparkSession
-    sketch = settled(sketches(docs, text, size))
+    sketch = settled(sketches(docs, text, size, percent))
     nodes = settled(sketch.where(F.col("set_id").isNotNull()).groupBy("set_id")
                     .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-                         F.first("regs").alias("regs")))
+                         F.first("regs").alias("regs"), F.first("small").alias("small")))
     sketch = settled(sketch.select("doc_id", "n_shingles", "set_id"))
     release(spark)
-    member = settled(_members(nodes, band_width(percent)))
+    member = settled(_members(nodes, percent))
     release(spark)
     pairs = settled(_plausible_pairs(_hub_pairs(member), nodes, percent))
     release(spark)

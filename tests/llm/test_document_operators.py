@@ -100,6 +100,53 @@ def test_near_duplicates_equal_brute_force(spark, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
 
 
+def test_copies_of_short_texts_are_all_found(spark):
+    """9 words and the first 8 of them, alike by exactly 80 %: bands miss some."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(1200):
+        words = ["w%d" % rng.randrange(10**9) for _ in range(9)]
+        texts += [" ".join(words), " ".join(words[:8])]
+    got = near_dedup.near_duplicates(frame(spark, texts)).collect()
+    name = [r.component_id for r in sorted(got, key=lambda r: r.doc_id)]
+    assert name[::2] == name[1::2] and len(set(name)) == 1200
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_short_texts_with_a_common_phrase(spark, monkeypatch, size, percent):
+    """A phrase in every text, copies and copies of copies: as brute force."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng = random.Random(9)
+    texts = []
+    for k in range(80):
+        words = "all of these texts begin in one way".split() + ["u%d" % rng.randrange(60) for _ in range(rng.randrange(0, 60))]
+        for _ in range(3):
+            texts.append(" ".join(words))
+            words = words[:-1] if rng.random() < 0.6 else words + ["u%d" % rng.randrange(60)]
+    df = frame(spark, texts)
+    got = near_dedup.near_duplicates(df, size=size, percent=percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == \
+        components_brute([(r.doc_id, r.text) for r in df.collect()], size, percent)
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(6)
+    for percent in (80, 85, 100):
+        for _ in range(2000):
+            both = int(rng.integers(1, 65))
+            more = both * 100 // percent - both
+            a_only = int(rng.integers(0, more + 1))
+            pool = np.unique(rng.integers(0, 1 << 63, both + more + 8, dtype=np.uint64))[:both + more]
+            pool = rng.permutation(pool)
+            a = np.sort(pool[:both + a_only])
+            b = np.sort(np.concatenate([pool[:both], pool[both + a_only:]]))
+            hot = rng.permutation(pool)[:int(rng.integers(0, len(pool) + 1))]
+            rank, hot = np.argsort(hot) + 1, np.sort(hot)
+            keys = [near_dedup.prefix(s, percent, hot, rank) for s in (a, b)]
+            assert len(np.intersect1d(*keys))
+            assert len(keys[0]) <= len(a) - len(a) * percent // 100 + 1
+
+
 def test_large_groups_go_through_blocks(spark, monkeypatch):
     """Nodes and components of many blocks: the same components."""
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
