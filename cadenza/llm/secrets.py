@@ -9,7 +9,9 @@ file's path.  The character string itself is no feature.
 
 The forest is trained on labelled findings, a bounded sample of at most
 ``TRAIN_ROWS``.  ``weak_labels`` gives such labels where no reviewed findings
-exist: those of the documents' own strict formats.
+exist: findings in the exact form of a key are secrets, numbers, dates, words
+and identifiers are harmless, and the forest learns nothing from all others,
+as they may be keys of another form.
 
 Defined cases: null and empty texts have no candidates; a null path has no
 path words; without labels of both kinds nothing is called a secret (score
@@ -45,6 +47,11 @@ _CANDIDATE = re.compile(
     r"(?P<run>[A-Za-z0-9+/_\-]{" + str(MIN_LENGTH) + r",}={0,2})", re.IGNORECASE)
 _PATH_WORDS = re.compile(r"test|example|sample|fixture|mock|doc", re.IGNORECASE)
 _NAMES = re.compile(_KEY_NAME, re.IGNORECASE)
+_KEY = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[0-9A-Za-z\-]{10,}")
+_HEX = re.compile(r"(?=.*[A-Fa-f])([0-9a-f]{16,64}|[0-9A-F]{16,64})")
+_NUMBER = re.compile(r"\d+(T\d+)?Z?")
+_WORD = re.compile(r"(?!\w*[^aeiouyAEIOUY\W\d_]{6})([a-z]+|[A-Z]+|([A-Z]?[a-z]{2,})+)\d{0,4}")
+_MARKS = re.compile(r"[+/_\-=]+")
 
 FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "vowel_share", "entropy",
             "hex_share", "distinct_share", "pair_cover", "named", "quoted", "alone", "name_near",
@@ -100,13 +107,22 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "held_out", "start", "length", "finding_sha256", "features", "strict"])
 
 
-def _strict(m: re.Match) -> int:
-    """1 if the candidate has the exact form of a key, else 0."""
-    run = m["run"]
-    return int(bool(re.fullmatch(r"AKIA[0-9A-Z]{16}", run)
-                    or m["name"] is not None and re.fullmatch(r"[0-9a-f]{16,64}", run)
-                    or re.fullmatch(r"gh[pousr]_[A-Za-z0-9]{36}", run)
-                    or re.fullmatch(r"xox[abp]-[0-9A-Za-z\-]{10,}", run)))
+def _strict(m: re.Match) -> int | None:
+    """1 if the candidate has the exact form of a key, 0 if it is harmless (a
+    number, a date, words, an identifier), else None: not known."""
+    run, named = m["run"], m["name"] is not None
+    if _KEY.fullmatch(run) or named and _HEX.fullmatch(run):
+        return 1
+    if _HEX.fullmatch(run):
+        return None
+    pieces = [p for p in _MARKS.split(run) if p]
+    words = [p for p in pieces if not _NUMBER.fullmatch(p)]
+    if not all(_WORD.fullmatch(p) for p in words):
+        return None
+    # a value that bears a key's name may be a password, if it is no variable
+    if named and (len(words) < 2 or "_" not in run or m.string[m.start("run") - 1] in "\"'"):
+        return None
+    return 0
 
 
 def candidates(files: DataFrame) -> DataFrame:
@@ -119,8 +135,9 @@ def candidates(files: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """features and label of findings that are not held out, by strict form."""
-    return found.where(~F.col("held_out")).select("finding_sha256", "features", F.col("strict").alias("label"))
+    """features and label of findings that are not held out, by their form;
+    those of an unknown form are left out."""
+    return found.where(~F.col("held_out") & F.col("strict").isNotNull()).select("finding_sha256", "features", F.col("strict").alias("label"))
 
 
 def _wide(rows: DataFrame) -> DataFrame:
