@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.llm.common import text_bytes, whole_texts
+from cadenza.llm.common import settled, text_bytes, whole_texts
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -134,6 +134,17 @@ def _search_pass(name: str, block, window: int):
     return run
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's distinct (item, body) in blocks of about ``block_bytes``."""
+    bench = settled(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                                     text_bytes("text").alias("body")).distinct())
+    total = bench.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    blocks = -(-total // block_bytes)
+    for k in range(blocks):
+        part = bench.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
+        yield [(r.item, bytes(r.body)) for r in part.collect()]
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                    window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, body, spans, items for every row of the documents.
@@ -143,17 +154,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     as strings.
     """
     spark = docs.sparkSession
-    bench = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                             text_bytes("text").alias("body"))
-    total = bench.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
     rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"),
                        F.array().cast("array<long>").alias("spans"),
                        F.array().cast("array<string>").alias("items"))
     ddl = "doc_id long, body binary, spans array<long>, items array<string>"
-    for k in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
+    for block in _blocks(benchmark, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
         rows = rows.mapInArrow(_search_pass(uuid.uuid4().hex, shared, window), ddl)
     return rows
 
@@ -191,13 +197,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                   window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no window of the benchmark occurs; columns stay."""
     spark = docs.sparkSession
-    bench = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                             text_bytes("text").alias("body"))
-    total = bench.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    for k in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
+    for block in _blocks(benchmark, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
         docs = whole_texts(docs).where(~_occurs(uuid.uuid4().hex, shared, window)(text_bytes(text)))
     return docs
 

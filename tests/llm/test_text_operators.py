@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, language_id, line_dedup, packing
@@ -144,6 +145,19 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert kept.count() == sum(not r[-1] for r in hits_brute(rows, ITEMS))
 
 
+def test_repeated_items_do_not_fill_a_block(spark, monkeypatch):
+    sizes, real = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, v: (
+        sizes.append(sum(len(body) for _, body in v)), real(self, v))[1])
+    items = [(1, "the very same words in every one of these items here")] * 20 + [(9, "lone")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, ["some lone word", "the very same words in every one of these items here", "none"])
+    got = decontaminate.contamination_report(docs, bench, block_bytes=200).collect()
+    kept = decontaminate.decontaminate(docs, bench, block_bytes=200)
+    assert sorted(r.n_items for r in got) == [0, 1, 1] and kept.count() == 1
+    assert sizes and max(sizes) <= 200
+
+
 def test_contamination_without_items_or_documents(spark):
     docs = frame(spark, DOCS4)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
