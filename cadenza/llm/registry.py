@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import decontaminate, language_id, licenses, line_dedup, near_dedup, packing, secrets, spotsigs, toxicity, url_filter
+from cadenza.llm import (decontaminate, fill_in_middle, language_id, licenses, line_dedup, near_dedup, packing, secrets,
+                         sharding, spotsigs, toxicity, url_filter)
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -72,6 +73,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), default_tokenizer()))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 24 shuffled shards."""
+    return sharding.placements(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, rewritten for filling in its middle."""
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def default_tokenizer() -> str:
     """The public vocabulary that the packing query counts with."""
     import public_tokenizers
@@ -90,4 +101,6 @@ QUERIES = {f.__name__: f for f in (
     op8_language_id,
     op9_url_filter,
     op10_best_fit_packing,
+    op12_sharding,
+    op13_fill_in_middle,
 )}
