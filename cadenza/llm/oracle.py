@@ -207,3 +207,43 @@ SELECT doc_id, n, form,
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+# crc32 bit by bit: DuckDB has no function for it
+SQL["op11_prefix_trie"] = r"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+                                      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM ordered)
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY late, k) AS d, r, t FROM (
+    SELECT own.conv_id, 0 AS late, k, r, t FROM own JOIN ordered b ON b.conv_id = own.conv_id - own.conv_id % 100 WHERE k <= h
+    UNION ALL
+    SELECT conv_id, 1, k, r, t FROM own JOIN ordered USING (conv_id) WHERE k > h)
+), paths AS (
+  SELECT conv_id, d, length(t) AS chars,
+         string_agg(md5(length(r) || ':' || r || t), '') OVER (PARTITION BY conv_id ORDER BY d) AS p FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM own
+), nodes AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM paths GROUP BY d, p
+), ends AS (
+  SELECT p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM paths JOIN (SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id) USING (conv_id, d) GROUP BY p
+), children AS (
+  SELECT a.p, count(*) AS n_children FROM nodes a JOIN nodes b ON b.d = a.d + 1 AND starts_with(b.p, a.p) GROUP BY a.p
+), subtrees AS (
+  SELECT a.p, count(*) FILTER (WHERE c.p IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.chars) AS saved_tokens
+  FROM nodes a JOIN nodes b ON b.d >= a.d AND starts_with(b.p, a.p) LEFT JOIN children c ON c.p = b.p GROUP BY a.p
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN subtrees USING (p) LEFT JOIN children USING (p) LEFT JOIN ends USING (p)
+LEFT JOIN nodes up ON up.d = n.d - 1 AND starts_with(n.p, up.p)
+"""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import (decontaminate, fill_in_middle, language_id, licenses, line_dedup, near_dedup, packing, secrets,
-                         sharding, spotsigs, toxicity, url_filter)
+from cadenza.llm import (decontaminate, fill_in_middle, language_id, licenses, line_dedup, near_dedup, packing, prefix_trie,
+                         secrets, sharding, spotsigs, toxicity, url_filter)
 from cadenza.llm.common import table
 from cadenza.llm.oracle import SQL as ORACLE  # noqa: F401  (for the entry module)
 
@@ -73,6 +73,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), default_tokenizer()))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations."""
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_trie(prefix_trie.shared_openings(prefix_trie.sequences(turns)))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in 24 shuffled shards."""
     return sharding.placements(table(spark, sf_dir, "documents"))
@@ -101,6 +107,7 @@ QUERIES = {f.__name__: f for f in (
     op8_language_id,
     op9_url_filter,
     op10_best_fit_packing,
+    op11_prefix_trie,
     op12_sharding,
     op13_fill_in_middle,
 )}
