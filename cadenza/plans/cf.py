@@ -112,6 +112,19 @@ def collaborative_recommendations(model: ALSModel, requests: DataFrame, items: D
     return top.join(requests, "user_ix").select("user_id", "rank", *REC_COLUMNS)
 
 
+def listed_recommendations(rec: DataFrame, songs: DataFrame, k: int = 20) -> DataFrame:
+    """H2 from lists that are already made (``recommend_subset``): rescale,
+    catalogue, one row per (title, artist), top k."""
+    best = rec.where(F.col("als_rank") == 1).select("user_id", F.col("rating").alias("best"))
+    scored = rec.join(best, "user_id").select("user_id", "song_id", F.when(F.col("best") > 0, F.try_divide(
+        F.col("rating") * F.lit(10.0), F.col("best"))).alias("predicted_score"))
+    full = scored.join(songs.select("song_id", *REC_COLUMNS[:-1]), "song_id").select("user_id", *REC_COLUMNS)
+    one = dedupe_keep_best(full, ["user_id", "title", "artist_name"],
+                           [("predicted_score", "desc"), ("track_id", "asc")])
+    return top_k_per(one, ["user_id"], [F.col("predicted_score").desc(), F.col("track_id").asc()], k).select(
+        "user_id", "rank", *REC_COLUMNS)
+
+
 # The source's grid, 3 x 9 x 4 = 108 settings of 20 iterations.
 FULL_GRID = {"ranks": (8, 10, 12),
              "regs": (1.0, 3.0, 5.0, 7.0, 9.0, 11.0, 13.0, 15.0, 17.0),

@@ -674,18 +674,28 @@ def q_user_cosine(spark, sf):
     return round6(arrays.user_cosine(plays, content.request_users(plays, 1)))
 
 
+@register("content_new_releases_requested")
+def q_content_new_releases_requested(spark, sf):
+    """H4 for all requested users (ids divisible by 50): a model for each,
+    trained on the user's own ALS list, top 20 new releases."""
+    model, _, users, items = _als_model(spark, sf)
+    rec = cf.recommend_subset(model, _requested(users), items, 1000)
+    return round6(content.new_releases(rec, derived.songs_data(spark, sf), derived.songs(spark, sf)))
+
+
 @register("hybrid_all_users")
 def q_hybrid_all_users(spark, sf):
-    """H5 for all requested users (ids divisible by 50) from the two sources
-    that need no model per user (collaborative + similar-item); a song from
-    both keeps its best row (Q19 option).  The content source trains a model
-    for one user and is in ``hybrid_topk``."""
+    """H5 for all requested users (ids divisible by 50) from all three sources
+    (collaborative, similar-item, content); a song from several keeps its
+    best row (Q19 option)."""
     plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
     model, _, users, items = _als_model(spark, sf)
-    als_list = cf.collaborative_recommendations(model, _requested(users), items, songs, 1000, HYBRID_K)
+    rec = cf.recommend_subset(model, _requested(users), items, 1000).checkpoint(eager=True)
+    als_list = cf.listed_recommendations(rec, songs, HYBRID_K)
     sim_list = sim_ops.similar_items_topk(_requested(plays), songs, derived.similar(spark, sf), k=HYBRID_K)
-    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list)], HYBRID_K,
-                                      dedupe="max"))
+    cb_list = content.new_releases(rec, derived.songs_data(spark, sf), songs, HYBRID_K)
+    return round6(hybrid.hybrid_merge([("collaborative", als_list), ("similar", sim_list),
+                                       ("content", cb_list)], HYBRID_K, dedupe="max"))
 
 
 @register("als_model_finder")
