@@ -447,7 +447,7 @@ FROM plays p JOIN content c ON p.song_id = c.track_id
 GROUP BY p.user_id"""
 
 
-def _rank_metrics(k_list: int, ks: list[int]) -> str:
+def _rank_metrics(k_list: int, ks: list[int], users: str = "true", extra: str = "") -> str:
     plays_train = f"""plays_all AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS user_id, CAST(l.l_partkey AS VARCHAR) AS song_id,
          CAST(count(*) AS BIGINT) AS play_count
@@ -462,7 +462,7 @@ test AS (SELECT * FROM plays_all WHERE NOT {_split(3, 'user_id', 'song_id')})"""
     return with_(plays_train, SONGS, sim, HIST, _rank_top(50, k_list)) + f"""
 , recs AS (SELECT r.user_id, s.song_id, r.rk FROM ranked r JOIN songs s ON r.track_id = s.track_id
            WHERE r.rk <= {k_list}),
-rel AS (SELECT DISTINCT user_id, song_id FROM test),
+rel AS (SELECT DISTINCT user_id, song_id FROM test WHERE {users}),
 nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id),
 kk AS (SELECT * FROM (VALUES {kvals}) t(k)),
 hits AS (SELECT r.user_id, r.rk FROM recs r JOIN rel t ON r.user_id = t.user_id
@@ -475,7 +475,7 @@ full_t AS (SELECT n.user_id, n.n_rel, kk.k, coalesce(pu.hits, 0) AS hits,
 ideal AS (SELECT f.user_id, f.k, (SELECT sum(1.0 / log2(i + 1))
                                   FROM range(1, least(f.k, f.n_rel) + 1) t(i)) AS idcg
           FROM full_t f)
-SELECT CAST(f.k AS BIGINT) AS k, CAST(count(*) AS BIGINT) AS n_users,
+SELECT {extra}CAST(f.k AS BIGINT) AS k, CAST(count(*) AS BIGINT) AS n_users,
        round(avg(f.hits * 1.0 / f.k), 6) AS precision_at_k,
        round(avg(f.hits * 1.0 / f.n_rel), 6) AS recall_at_k,
        round(avg(f.dcg / i.idcg), 6) AS ndcg_at_k
@@ -485,6 +485,8 @@ GROUP BY f.k"""
 
 SQL["rank_metrics_at_k"] = _rank_metrics(20, [20])
 SQL["recall_curve"] = _rank_metrics(50, [1, 5, 10, 20, 50])
+SQL["recall_by_method_similar"] = _rank_metrics(
+    50, [1, 5, 10, 20, 50], "CAST(user_id AS BIGINT) % 50 = 0", "'similar' AS method, ")
 
 SQL["single_user_history"] = with_(PLAYS, SONGS) + """
 , req AS (SELECT user_id FROM (SELECT user_id, sum(play_count) AS n FROM plays GROUP BY user_id)

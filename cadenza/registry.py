@@ -21,7 +21,7 @@ from cadenza.operators import arrays, ids, metrics, ratings, sets
 from cadenza.operators import similar as sim_ops
 from cadenza.operators.history import listening_history, split_known_users
 from cadenza.operators.topk import dedupe_keep_best
-from cadenza.plans import cf, content, genre, hybrid
+from cadenza.plans import cf, content, evaluation, genre, hybrid
 from cadenza.session import scratch_path
 from cadenza.sources import derived, files, readers
 from cadenza.sources.tables import read
@@ -439,6 +439,29 @@ def q_recall_curve(spark, sf):
     return round6(metrics.ranking_metrics(recs, test, [1, 5, 10, 20, 50]))
 
 
+def _compared(spark, sf, methods):
+    plays, songs = _settled_plays(spark, sf), derived.songs(spark, sf)
+    requests = _requested(plays.select("user_id").distinct())
+    train, test = evaluation.split_plays(plays)
+    lists = evaluation.method_lists(train, requests, songs, derived.songs_data(spark, sf),
+                                    lambda among: derived.similar(spark, sf, among), methods)
+    return round6(evaluation.compare_methods(lists, test, requests, [1, 5, 10, 20, 50], methods))
+
+
+@register("recall_by_method")
+def q_recall_by_method(spark, sf):
+    """Precision, recall and gain of the collaborative, content,
+    similar-item and hybrid lists of the requested users, at lengths 1 to 50,
+    from one split and training plays only."""
+    return _compared(spark, sf, evaluation.METHODS)
+
+
+@register("recall_by_method_similar")
+def q_recall_by_method_similar(spark, sf):
+    """The same table for the method that SQL can express."""
+    return _compared(spark, sf, ["similar"])
+
+
 # --- model-based queries (invariant checks; no SQL oracle) -------------------
 
 @register("genre_logit")
@@ -487,9 +510,14 @@ def q_genre_ablation(spark, sf):
     return round6(genre.ablation(derived.genre_features(spark, sf)))
 
 
-def _als_model(spark, sf, implicit=True, value="play_count", measure="count"):
-    plays = derived.plays(spark, sf, measure)
-    r, users, items = cf.als_ratings(plays, value)
+def _settled_plays(spark, sf, measure="count"):
+    """The plays, derived once for a query that reads them several times (ids
+    of users, ids of songs, ratings, lists)."""
+    return derived.plays(spark, sf, measure).checkpoint(eager=True)
+
+
+def _als_model(spark, sf, plays=None, implicit=True, value="play_count", measure="count"):
+    r, users, items = cf.als_ratings(_settled_plays(spark, sf, measure) if plays is None else plays, value)
     model = cf.make_als(8, 1.0, 10, 1.0, implicit).fit(r)
     return model, r, users, items
 
@@ -524,7 +552,7 @@ def q_als_list_shape(spark, sf):
 @register("als_explicit_scores")
 def q_als_explicit_scores(spark, sf):
     """M2 + M4: explicit ALS on 0-10 normalised counts, scores for held-out pairs."""
-    norm = ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity")) \
+    norm = ratings.normalize_by_user_max(_settled_plays(spark, sf, "quantity")) \
         .select("user_id", "song_id", F.col("norm_value").alias("play_count"))
     r, users, items = cf.als_ratings(norm)
     train, test = ratings.hash_split(r, ["user_id", "song_id"], 0.9, 12345)
@@ -546,7 +574,7 @@ def q_als_pairs_scored(spark, sf):
 @register("als_grid")
 def q_als_grid(spark, sf):
     """M3 + H7: implicit-ALS grid, hold-out error per setting."""
-    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    r, _, _ = cf.als_ratings(_settled_plays(spark, sf))
     res, _, _ = cf.grid_search(spark, r, ranks=[8, 12], regs=[1.0, 9.0], alphas=[1.0, 10.0],
                                iters=[10])
     return round6(res)
@@ -568,7 +596,7 @@ def q_als_save_load(spark, sf):
 @register("als_lambda_curve")
 def q_als_lambda_curve(spark, sf):
     """Explicit ALS (rank 8, 10 iterations) MSE over lambda = 1, 3, ..., 19."""
-    norm = ratings.normalize_by_user_max(derived.plays(spark, sf, "quantity")) \
+    norm = ratings.normalize_by_user_max(_settled_plays(spark, sf, "quantity")) \
         .select("user_id", "song_id", F.col("norm_value").alias("play_count"))
     r, _, _ = cf.als_ratings(norm)
     res, _, _ = cf.grid_search(spark, r, ranks=[8], regs=[float(x) for x in range(1, 20, 2)],
@@ -577,11 +605,11 @@ def q_als_lambda_curve(spark, sf):
     return round6(res.select("reg_param", "n", "mse", "rmse", "mae"))
 
 
-def _content_inputs(spark, sf):
+def _content_inputs(spark, sf, plays=None):
     """The model, the request table of one user (most plays, then smallest
     id) and that user."""
-    plays = derived.plays(spark, sf)
-    model, _, users, items = _als_model(spark, sf)
+    plays = _settled_plays(spark, sf) if plays is None else plays
+    model, _, users, items = _als_model(spark, sf, plays)
     user = content.pick_user(plays)
     return model, users.where(F.col("user_id") == user), items, user
 
@@ -613,8 +641,8 @@ HYBRID_K = 40
 @register("hybrid_topk")
 def q_hybrid_topk(spark, sf):
     """H5: collaborative + similar-item + content lists merged, top 40."""
-    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
-    model, request, items, user = _content_inputs(spark, sf)
+    plays, songs = _settled_plays(spark, sf), derived.songs(spark, sf)
+    model, request, items, user = _content_inputs(spark, sf, plays)
     rec = cf.recommend_subset(model, request, items, 1000)
     als_list = cf.collaborative_recommendations(model, request, items, songs, 1000, HYBRID_K)
     sim_list = sim_ops.similar_items_topk(plays.where(F.col("user_id") == user), songs,
@@ -688,8 +716,8 @@ def q_hybrid_all_users(spark, sf):
     """H5 for all requested users (ids divisible by 50) from all three sources
     (collaborative, similar-item, content); a song from several keeps its
     best row (Q19 option)."""
-    plays, songs = derived.plays(spark, sf), derived.songs(spark, sf)
-    model, _, users, items = _als_model(spark, sf)
+    plays, songs = _settled_plays(spark, sf), derived.songs(spark, sf)
+    model, _, users, items = _als_model(spark, sf, plays)
     rec = cf.recommend_subset(model, _requested(users), items, 1000).checkpoint(eager=True)
     als_list = cf.listed_recommendations(rec, songs, HYBRID_K)
     sim_list = sim_ops.similar_items_topk(_requested(plays), songs, derived.similar(spark, sf), k=HYBRID_K)
@@ -702,7 +730,7 @@ def q_hybrid_all_users(spark, sf):
 def q_als_model_finder(spark, sf):
     """H7 (A3, U6, M3, M4, A5-A7, S10): grid on a hold-out split, best model
     also scored on the full file, saved to the shared folder."""
-    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    r, _, _ = cf.als_ratings(_settled_plays(spark, sf))
     return round6(cf.find_model(spark, r, scratch_path(spark, "als_best"), ranks=[8, 10],
                                 regs=[1.0, 5.0], alphas=[1.0], iters=[10]))
 
@@ -710,7 +738,7 @@ def q_als_model_finder(spark, sf):
 @register("als_grid_tvs")
 def q_als_grid_tvs(spark, sf):
     """M3 with TrainValidationSplit (settings fitted in parallel)."""
-    r, _, _ = cf.als_ratings(derived.plays(spark, sf))
+    r, _, _ = cf.als_ratings(_settled_plays(spark, sf))
     res, _ = cf.grid_search_tvs(r, ranks=[8, 12], regs=[1.0, 9.0], alphas=[1.0], iters=[10])
     return round6(res)
 
@@ -726,8 +754,7 @@ def q_genre_naive_bayes_minmax(spark, sf):
 def q_als_hash_ids_topk(spark, sf):
     """P10 -> M1 -> J3 as the source wires it: ALS on 28-bit hashed ids,
     recommendations mapped back through the hash map, top-20 lists."""
-    plays = derived.plays(spark, sf)
-    r, users, items = cf.als_ratings(plays, id_mode="hash")
+    r, users, items = cf.als_ratings(_settled_plays(spark, sf), id_mode="hash")
     model = cf.make_als().fit(r)
     return round6(cf.collaborative_recommendations(model, _requested(users), items,
                                                    derived.songs(spark, sf), 1000, 20))
