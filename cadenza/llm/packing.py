@@ -5,14 +5,24 @@ then an end id); only those longer than a sequence are cut, into pieces of
 full length and a rest.  How to pack depends on the *length histogram* alone,
 which has at most ``capacity`` rows whatever the corpus:
 
-1. the configuration linear program (least number of sequences so that the
+1. the configuration linear program (least number of sequences such that the
    configurations used cover every length's count) is solved by
-   multiplicative weights: prices of lengths give, by one knapsack dynamic
-   program over the capacity, the best configuration around each length;
-   lengths used more than they occur get cheaper, scarce ones dearer; the
-   solution is the mean over the rounds;
-2. it is rounded down to whole multiples that the counts allow, and the rest
-   is packed best-fit on the histogram, again with multiplicities.
+   multiplicative weights.  A length's weight is its price, the dual variable
+   of its row: at first its share of the capacity, and with every step
+   multiplied down by how much of its count the step covers.  In a round a
+   knapsack dynamic program over the capacity finds the dearest configuration
+   around the dearest length that is still open, among a sample of the open
+   lengths (all of them where they are few); it is taken as often as the counts
+   allow if no configuration can be worth more: if it is full, or the sample
+   was everything and it repeats.  A length for which ``TRIES`` samples give
+   none is set aside;
+2. what is taken is whole, so rounding leaves only the lengths set aside: they
+   are packed best-fit, again with multiplicities.  A few pieces of a thousand.
+
+Any prices, divided by the worth of the dearest configuration of all, are a
+solution of the dual: ``bound`` is the best value of the first and last prices
+and of some fixed ones, below which no fractional solution gets, so the gap to
+the plan is known (``packing_plan`` with ``with_bound``).
 
 The plan lists configurations with multiplicities, so it stays small for any
 number of documents.  Pieces are range-partitioned by (length, doc_id,
@@ -44,8 +54,9 @@ from cadenza.llm.common import int64, settled, whole_texts
 CAPACITY = 4096
 END_ID = 1
 CACHE = 300_000   # words in a generation of those whose ids a worker keeps
-ROUNDS = 16       # of multiplicative weights
-FILL_FROM = 32    # shorter pieces take no part in the linear program
+RATE = 0.02       # of the multiplicative weights
+SAMPLE = 40       # lengths that a round prices beside the dearest one
+TRIES = 4         # samples for a length before it is set aside
 
 _MARKS = "!#$%&*+,-./:;=?@^_`|~"   # ASCII marks that may follow a word
 
@@ -169,49 +180,90 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str = "text",
                            "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _knapsack(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each room the dearest filling: (room actually used, last length)."""
-    best, used = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    last = np.zeros(capacity + 1, dtype=np.int64)
+def _worth(price: np.ndarray, capacity: int) -> float:
+    """What the dearest configuration of all is worth."""
+    sizes = np.flatnonzero(price > 0)
+    best = np.zeros(capacity + 1)
     for c in range(1, capacity + 1):
-        with_s = best[c - 1::-1][:c] + price[1:c + 1]
-        s = int(with_s.argmax())
-        if with_s[s] > best[c - 1] + 1e-12:
-            best[c], used[c], last[c] = with_s[s], c, s + 1
-        else:
-            best[c], used[c] = best[c - 1], used[c - 1]
-    return used, last
-
-
-def _priced(count: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
-    """A fractional solution: configuration (sorted lengths) to multiplicity."""
-    fill = (count > 0) & (np.arange(capacity + 1) >= FILL_FROM)
-    sizes = np.flatnonzero(fill)
-    price = np.where(fill, np.arange(capacity + 1) / capacity, -np.inf)
-    solution: dict[tuple, float] = {}
-    for t in range(rounds):
-        used, last = _knapsack(price, capacity)
-        room, config = capacity - sizes, [[s] for s in sizes.tolist()]
-        while True:
-            room = used[room]
-            step = last[room]
-            if not step.any():
+        fits = sizes[:np.searchsorted(sizes, c, side="right")]
+        best[c] = max(best[c - 1], (best[c - fits] + price[fits]).max(initial=0.0))
+    return float(best[capacity])
+
+
+def _least(count: np.ndarray, capacity: int) -> float:
+    """Sequences that lengths near simple fractions of the capacity need: the
+    prices floor((k + 1) s / capacity) / k, k = 1 ... 8, are dual solutions
+    (where the quotient is whole, the length's share instead)."""
+    sizes = np.arange(capacity + 1)
+    out = 0.0
+    for k in range(1, 9):
+        parts = (k + 1) * sizes
+        price = np.where(parts % capacity == 0, sizes / capacity, parts // capacity / k)
+        out = max(out, float((count * price).sum()))
+    return out
+
+
+def _fill(room: int, sizes: np.ndarray, price: np.ndarray, have: np.ndarray) -> dict[int, int]:
+    """The dearest filling of a room with at most ``have`` of each size."""
+    items = []   # so many of a size at once: 1, 2, 4 ... and the rest
+    for s in sizes.tolist():
+        n, k = int(min(have[s], room // s)), 1
+        while n > 0:
+            items.append((s, min(k, n)))
+            n -= min(k, n)
+            k *= 2
+    best = np.zeros(room + 1)
+    taken = np.zeros((len(items), room + 1), dtype=bool)
+    for i, (s, n) in enumerate(items):
+        with_it = best[:room + 1 - s * n] + n * price[s]
+        taken[i, s * n:] = with_it > best[s * n:] + 1e-12
+        best[s * n:] = np.maximum(best[s * n:], with_it)
+    out: dict[int, int] = {}
+    for i in range(len(items) - 1, -1, -1):
+        if taken[i, room]:
+            s, n = items[i]
+            out[s] = out.get(s, 0) + n
+            room -= s * n
+    return out
+
+
+def _program(count: np.ndarray, capacity: int) -> tuple[list[tuple[dict, int]], np.ndarray, float]:
+    """Configurations (length to number) and how often each is taken, the
+    counts that are left, and the dual bound."""
+    rng = np.random.default_rng(capacity)   # seeded: the plan repeats
+    left, aside = count.copy(), np.zeros(capacity + 1, dtype=bool)
+    share = np.arange(capacity + 1) / capacity
+    price = np.where(count > 0, share, 0.0)
+    bound = float((count * price).sum()) / max(_worth(price, capacity), 1e-9)
+    solution = []
+    while True:
+        live = np.flatnonzero(left)
+        open_ = live[~aside[live]]
+        if not len(open_):
+            break
+        dearest = int(open_[price[open_].argmax()])
+        have = left.copy()
+        have[dearest] -= 1
+        for _ in range(TRIES):
+            beside = live[live <= capacity - dearest]
+            everything = len(beside) <= SAMPLE
+            if not everything:
+                beside = np.sort(rng.choice(beside, SAMPLE, replace=False, p=left[beside] / left[beside].sum()))
+            config = _fill(capacity - dearest, beside, price, have)
+            config[dearest] = config.get(dearest, 0) + 1
+            times = min(int(left[s]) // n for s, n in config.items())
+            good = sum(s * n for s, n in config.items()) == capacity or (everything and times > 1)
+            if good or everything:
                 break
-            for k in np.flatnonzero(step).tolist():
-                config[k].append(int(step[k]))
-            room = room - step
-        use = np.zeros(capacity + 1)
-        for s, c in zip(sizes.tolist()[::-1], config[::-1]):
-            amount = count[s] - use[s]   # what larger lengths' configurations leave
-            if amount <= 0:
-                continue
-            amount /= c.count(s)
-            np.add.at(use, c, amount)
-            key = tuple(sorted(c, reverse=True))
-            solution[key] = solution.get(key, 0.0) + amount / rounds
-        over = np.divide(use, count, out=np.ones(capacity + 1), where=count > 0)
-        price[fill] *= np.exp(-0.25 * np.clip(over - 1, -1, 2))[fill]
-    return solution
+        if not good:
+            aside[dearest] = True
+            continue
+        for s, n in config.items():
+            left[s] -= times * n
+            price[s] *= np.exp(-RATE * times * n / count[s])
+        solution.append((config, times))
+    bound = max(bound, float((count * price).sum()) / max(_worth(price, capacity), 1e-9), _least(count, capacity))
+    return solution, left, bound
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
@@ -253,23 +305,18 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
         out.append((tuple(sorted(chain.from_iterable([s] * a for s, a in config.items()), reverse=True)), times))
 
 
-def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY,
-                 rounds: int = ROUNDS) -> list[tuple[tuple, int]]:
-    """[(configuration, times)] that uses every piece of the histogram once."""
+def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY, with_bound: bool = False):
+    """[(configuration, times)] that uses every piece of the histogram once;
+    with ``with_bound`` also the pieces that the linear program placed and the
+    least number of sequences that any solution needs."""
     count = np.zeros(capacity + 1, dtype=np.int64)
     for s, n in histogram.items():
         count[s] = n
-    left, plan = count.copy(), []
-    if count.any():
-        solution = _priced(count.astype(float), capacity, rounds)
-        least = int(np.flatnonzero(count)[0])   # a configuration with room for it is not used
-        for config, amount in sorted(solution.items(), key=lambda x: (sum(x[0]) < capacity, -x[0][0], x[0])):
-            sizes, need = np.unique(config, return_counts=True)
-            times = min(int(amount + 1e-9), int((left[sizes] // need).min()))
-            if times > 0 and sum(config) + least > capacity:
-                left[sizes] -= times * need
-                plan.append((config, times))
-    return plan + _best_fit(left, capacity)
+    solution, left, bound = _program(count, capacity) if count.any() else ([], count, 0.0)
+    placed = int((count - left).sum())
+    plan = [(tuple(chain.from_iterable([s] * n for s, n in sorted(config.items(), reverse=True))), times)
+            for config, times in solution] + _best_fit(left.copy(), capacity)
+    return (plan, placed, bound) if with_bound else plan
 
 
 def _slots(plan: list[tuple[tuple, int]]) -> dict[str, np.ndarray]:
@@ -305,7 +352,7 @@ def _placed(slots, starts: dict[int, int]):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The pieces with sequence_id and offset (gapless from 0 in a sequence)."""
     spark = pieces.sparkSession
     order = ["length", "doc_id", "piece", "ids_crc32"]
@@ -317,6 +364,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
     for part, n in sizes:
         starts[part] = total
         total += n
-    slots = spark.sparkContext.broadcast(_slots(packing_plan(histogram, capacity, rounds)))
+    slots = spark.sparkContext.broadcast(_slots(packing_plan(histogram, capacity)))
     return ranged.mapInArrow(_placed(slots, starts), "doc_id long, piece int, start long, length long, "
                              "ids_crc32 long, sequence_id long, offset long")
