@@ -6,8 +6,10 @@ All become sparse TF-IDF vectors and are compared with every template.  Those th
 cannot reach the threshold are left out without loss: for each template there
 is a set of terms, common words last, such that the others together have a
 norm below ``threshold`` times the template's, so by the Cauchy-Schwarz
-inequality a vector without any of those terms stays below it.  What remains
-is scored once for each distinct text.
+inequality a vector without any of those terms stays below it.  A second bound
+with the text's own norm (``_heavy``) leaves out texts whose other words weigh
+too much, before any word becomes a row.  What remains is scored once for each
+distinct text.
 
 A file without a licence of its own takes that of the licence file in the
 nearest directory above it: directories, not files, are joined with their
@@ -90,20 +92,44 @@ def _words(text: Column) -> Column:
 
 
 def _heavy(texts: Column, marker: str, templates: Templates) -> Column:
-    """The texts whose words hold enough of a template: the squared shares of
-    the terms that a text has in common with it must reach the threshold's
-    square, by the same inequality."""
+    """The texts that may reach the threshold with some template, by two exact
+    bounds.
+
+    The squared shares of the terms that a text has in common with a template
+    must reach the threshold's square, by the same inequality.  And with K the
+    squared weights of those terms in the text and U those of its words that
+    no template has (at least their number, as counts are whole), the cosine
+    is at most sqrt(K / (K + U)): long texts fall here, whose few common words
+    drown in their own.
+    """
     by: dict[int, list] = {}
     for k, _, w, share in templates.rows:
-        by.setdefault(k, []).append(F.struct(F.lit(w).alias("word"), F.lit(share * share).alias("mass")))
+        by.setdefault(k, []).append(F.struct(F.lit(w).alias("word"), F.lit(share * share).alias("mass"),
+                                             F.lit(templates.idf[w]).alias("idf")))
     known = F.array(*[F.array(*terms) for terms in by.values()])
-    least = templates.threshold ** 2 * 0.999
+    vocabulary = F.array(*[F.lit(w) for w in templates.idf])
+    square = (templates.threshold - 1e-6) ** 2   # the cosine is rounded to six places
+
+    def total(terms: Column, present: Column, value) -> Column:
+        shared = F.filter(terms, lambda t: F.array_contains(present, t["word"]))
+        return F.aggregate(shared, F.lit(0.0), lambda acc, t: acc + value(t))
+
+    def weight(s: Column, t: Column) -> Column:
+        return F.size(F.filter(s["own"], lambda w: w == t["word"])) * t["idf"]
+
     split = F.transform(F.filter(texts, lambda x: x.rlike(marker)),
-                        lambda x: F.struct(x.alias("text"), F.array_distinct(_words(x)).alias("words")))
-    heavy = F.filter(split, lambda s: F.exists(known, lambda terms: F.aggregate(
-        F.filter(terms, lambda t: F.array_contains(s["words"], t["word"])), F.lit(0.0),
-        lambda total, t: total + t["mass"]) >= least))
-    return F.transform(heavy, lambda s: s["text"])
+                        lambda x: F.struct(x.alias("text"), _words(x).alias("words")))
+    split = F.transform(split, lambda s: F.struct(
+        s["text"].alias("text"), s["words"].alias("words"), F.array_intersect(s["words"], vocabulary).alias("present")))
+    heavy = F.filter(split, lambda s: F.exists(
+        known, lambda terms: total(terms, s["present"], lambda t: t["mass"]) >= square * 0.999))
+    counted = F.transform(heavy, lambda s: F.struct(
+        s["text"].alias("text"), F.size(s["words"]).alias("n"), s["present"].alias("present"),
+        F.filter(s["words"], lambda w: F.array_contains(s["present"], w)).alias("own")))
+    reach = F.filter(counted, lambda s: F.exists(known, lambda terms: total(
+        terms, s["present"], lambda t: weight(s, t) * weight(s, t)) * (1 - square)
+        >= square * (1 - 1e-9) * (s["n"] - F.size(s["own"])) * templates.unknown ** 2))
+    return F.transform(reach, lambda s: s["text"])
 
 
 def match_texts(texts: DataFrame, templates: Templates) -> DataFrame:
@@ -112,11 +138,12 @@ def match_texts(texts: DataFrame, templates: Templates) -> DataFrame:
     spark = texts.sparkSession
     idf = spark.createDataFrame(sorted(templates.idf.items()), "word string, idf double")
     rows = spark.createDataFrame(templates.rows, "template int, license string, word string, share double")
-    weight = (texts.select("unit").distinct()
-              .select("unit", F.explode(_words(F.col("unit"))).alias("word"))
-              .groupBy("unit", "word").agg(F.count("*").alias("tf"))
-              .join(F.broadcast(idf), "word", "left")
-              .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unknown))))
+    # counted once for the three reads below; a unit of a few words is a row a word
+    weight = settled(texts.select("unit").distinct()
+                     .select("unit", F.explode(_words(F.col("unit"))).alias("word"))
+                     .groupBy("unit", "word").agg(F.count("*").alias("tf"))
+                     .join(F.broadcast(idf), "word", "left")
+                     .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unknown))))
     norm = weight.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dot = (weight.join(F.broadcast(rows), "word").groupBy("unit", "template", "license")
            .agg(F.sum(F.col("w") * F.col("share")).alias("dot")))

@@ -153,7 +153,9 @@ WITH templates(k, license, t) AS (
 ), named AS (
   SELECT *, len(ls) <= 2 AND regexp_matches(ls[-1], '(?i)licen[sc]') AS is_file FROM files
 ), units AS (
-  SELECT DISTINCT rid, unnest(CASE WHEN is_file THEN [text] ELSE ls END) AS unit FROM named
+  -- a licence file counts as a whole, by paragraph and by line
+  SELECT DISTINCT rid, unnest(CASE WHEN is_file THEN list_concat([text], list_concat(
+    string_split_regex(text, '\n[ \t\n\x0B\f\r]*\n'), ls)) ELSE ls END) AS unit FROM named
 ), unit_words AS (
   SELECT unit, w, count(*) AS tf FROM (
     SELECT unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS w FROM (SELECT DISTINCT unit FROM units))
