@@ -89,6 +89,13 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id
 FROM words LEFT JOIN (SELECT rid, n FROM sizes) USING (rid) LEFT JOIN named USING (rid)
 """
 
+def _attribute(name: str) -> str:
+    """The value of a tag's attribute: in double or single quotes, or bare."""
+    return "trim(" + " || ".join(
+        rf"""regexp_extract(tag, '(?is)[\s"'']{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', {k})"""
+        for k in (1, 2, 3)) + ")"
+
+
 SQL["op9_url_filter"] = r"""
 WITH RECURSIVE rules(h, p, says) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -108,17 +115,36 @@ WITH RECURSIVE rules(h, p, says) AS (
   SELECT rid, arg_max(h || p, length(h || p)) AS rule, arg_max(says, length(h || p)) AS says
   FROM nodes JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY rid
 ), tags AS (
-  SELECT node, host, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM nodes WHERE rest IS NOT NULL
-), targets AS (
-  SELECT node, host, CASE WHEN regexp_matches(tag, '(?i)rel\s*=\s*["'']?canonical')
-         THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
-         WHEN regexp_matches(tag, '(?i)http-equiv\s*=\s*["'']?refresh')
-         THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) END AS link
-  FROM tags
+  SELECT node, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b(?:"[^"]*"|''[^'']*''|[^>"''])*>')) AS tag
+  FROM nodes WHERE rest IS NOT NULL
+), named AS (
+  SELECT node, host, path, unnest([
+      CASE WHEN list_contains(string_split_regex(lower(attr(tag, 'rel')), '\s+'), 'canonical') THEN attr(tag, 'href') END,
+      CASE WHEN regexp_matches(tag, '(?i)http-equiv\s*=\s*["'']?\s*refresh')
+           THEN regexp_extract(attr(tag, 'content'), '(?is)\burl\s*=\s*(.*)$', 1) END]) AS raw FROM tags
+), links AS (
+  SELECT node, host, path, regexp_replace(trim(trim(replace(list_reduce(list_prepend(
+      replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', chr(39)),
+      list_distinct(regexp_extract_all(raw, '&#(?:[0-9]{1,6}|[xX][0-9a-fA-F]{1,5});'))), lambda acc, r: replace(acc, r,
+        CASE WHEN lower(r) IN ('&#38;', '&#x26;') THEN '&amp;' WHEN lower(r[3]) = 'x' THEN chr(CAST('0x' || r[4:-2] AS INTEGER))
+             ELSE chr(CAST(r[3:-2] AS INTEGER)) END)), '&amp;', '&')), chr(34) || chr(39)), '(?s)#.*$', '') AS link
+  FROM named WHERE raw <> ''
+), goals AS (
+  SELECT node, host, path, link, regexp_extract(link, '(?s)^[^?]*') AS own, regexp_extract(link, '(?s)\?.*$') AS query,
+         regexp_replace(path, '[^/]*$', '') AS folder FROM links
+), pathed AS (
+  SELECT node, host, path, link, query, string_split(CASE WHEN starts_with(own, '/') THEN own ELSE
+           CASE WHEN starts_with(folder, '/') THEN '' ELSE '/' END || folder || own END, '/') AS parts FROM goals
+), cleared AS (
+  SELECT node, host, path, link, query, array_to_string(list_reduce(list_transform(
+      CASE WHEN parts[-1] IN ('.', '..') THEN list_append(parts, '') ELSE parts END, lambda x: [x]), lambda acc, x:
+      CASE x[1] WHEN '.' THEN acc WHEN '..' THEN CASE WHEN len(acc) > 1 THEN acc[:-2] ELSE acc END ELSE list_concat(acc, x) END), '/') AS clear
+  FROM pathed
 ), absolute AS (
-  SELECT node, CASE WHEN instr(link, '://') > 0 THEN substr(link, instr(link, '://') + 3)
-         WHEN starts_with(link, '//') THEN substr(link, 3) WHEN starts_with(link, '/') THEN host || link END AS rest
-  FROM targets WHERE link <> ''
+  SELECT node, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN substr(link, instr(link, '://') + 3)
+         WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(link, '//') THEN substr(link, 3)
+         WHEN link = '' THEN node WHEN starts_with(link, '?') THEN host || path || link ELSE host || clear || query END AS rest
+  FROM cleared
 ), edges AS (
   SELECT node AS a, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS b
@@ -133,7 +159,8 @@ WITH RECURSIVE rules(h, p, says) AS (
 SELECT page_id, host, path, rule,
        coalesce(says, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
 FROM nodes LEFT JOIN won USING (rid)
-"""
+""".replace("attr(tag, 'rel')", _attribute("rel")).replace("attr(tag, 'href')", _attribute("href")).replace(
+    "attr(tag, 'content')", _attribute("content"))
 
 SQL["op2_license_scan"] = rf"""
 WITH templates(k, license, t) AS (
