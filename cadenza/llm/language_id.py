@@ -7,9 +7,15 @@ with the least wins, ties by name.  A text is parsed in segments of
 ``SEGMENT`` letters, so that a task walks thousands of segments in step
 through the automaton's dense transition table, whatever the texts' lengths.
 
-The labelled text is a bounded sample: at most ``rows`` documents a language
-(those of the least hash), whole texts until ``chars`` characters divided by
-the number of languages are reached.  Everything else covers all documents.
+A phrase also ends with its segment: at most one phrase in 256 letters more
+than the whole text has, for every language alike.
+
+The labelled text is a bounded sample: the ``languages`` most frequent values
+of ``lang``; of each at most ``rows`` different documents, those of the least
+hash of id and text; of a text its first characters, such that a language's
+texts together take its share of ``chars``, long ones as much as each other
+(at most an eighth of the share).  So every language with any labelled text is
+learned, however long its texts are and however many share an id.  Everything else covers all documents.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if there is nothing to learn from; a null id is not held
@@ -30,6 +36,7 @@ from cadenza.llm.letters import alphabet, codes, groups, letter_table, strings
 
 ROWS = 64            # documents to learn from, for each language
 CHARS = 160_000      # of all languages together
+LANGUAGES = 256      # learned at most
 LETTERS = 60
 SEGMENT = 256
 LANES = 2_000_000    # characters walked at once
@@ -37,26 +44,37 @@ LANES = 2_000_000    # characters walked at once
 _BREAK = 1 << 30
 
 
-def labelled_texts(docs: DataFrame, rows: int = ROWS, chars: int = CHARS) -> dict[str, list[str]]:
+def labelled_texts(docs: DataFrame, rows: int = ROWS, chars: int = CHARS,
+                   languages: int = LANGUAGES) -> dict[str, list[str]]:
     """language -> texts of the bounded sample."""
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(F.col("lang").cast("string")).count().collect()}
+    known = (docs.where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
+             .select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
+                     F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000_007)).alias("h")))
+    counts = (known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least"))
+              .orderBy(F.desc("n"), "lang").limit(languages).collect())
     if not counts:
         return {}
-    # a share of each language's rows that holds a few times `rows`, by hash
-    share = F.create_map(*[x for k, n in counts.items()
-                           for x in (F.lit(k), F.lit(min(1.0, 4.0 * rows / n)))])
-    per_language = chars // len(counts)
-    some = (known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
-                         F.xxhash64("doc_id").alias("h"))
-            .where((F.pmod("h", F.lit(1_000_003)) / 1_000_003.0 <= share[F.col("lang")])
-                   & (F.length("text") <= per_language)))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    out: dict[str, list[str]] = {k: [] for k in counts}
-    for r in some.withColumn("n", nth).where(F.col("n") <= rows).orderBy("lang", "n").collect():
-        if sum(map(len, out[r.lang])) + len(r.text) <= per_language:
-            out[r.lang].append(r.text)
-    return {k: v for k, v in sorted(out.items()) if v}
+    # a share of each language's rows that holds a few times `rows`, and at least its first
+    limit = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(max(
+        r["least"], int(min(1.0, 4.0 * rows / r["n"]) * 1_000_000_007))))])
+    share = max(1, chars // len(counts))
+    some = (known.where(F.col("h") <= limit[F.col("lang")])
+            .select("lang", "h", F.substring("text", 1, max(1, share // 8)).alias("text"))
+            .groupBy("lang", "h").agg(F.min("text").alias("text")))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    out: dict[str, list[str]] = {r["lang"]: [] for r in counts}
+    for r in some.withColumn("nth", nth).where(F.col("nth") <= rows).orderBy("lang", "nth").collect():
+        out[r["lang"]].append(r["text"])
+    return {k: _shared_out(v, share) for k, v in sorted(out.items())}
+
+
+def _shared_out(texts: list[str], chars: int) -> list[str]:
+    """The texts' beginnings, ``chars`` together: short ones whole, the others
+    cut alike."""
+    out = []
+    for k, t in enumerate(sorted(texts, key=len)):
+        out.append(t[:max(1, (chars - sum(map(len, out))) // (len(texts) - k))])
+    return out
 
 
 def suffix_automaton(text: np.ndarray, width: int) -> np.ndarray:

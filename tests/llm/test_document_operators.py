@@ -474,7 +474,7 @@ def test_pipeline_stages_in_order_on_whole_table(spark, sf):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         left = stage(spark, left, sf)
         assert left.columns == docs.columns and [f.dataType for f in left.schema] == [f.dataType for f in docs.schema]
-    left = left.localCheckpoint() if False else left.checkpoint()
+    left = left.checkpoint()
     pieces = corpus_pipeline.run(spark, sf).collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in left.select("doc_id").collect()}
     check_packing(pieces, packing.CAPACITY)
