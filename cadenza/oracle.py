@@ -523,6 +523,16 @@ SELECT user_id, other_user_id, CAST(count(*) AS BIGINT) AS n_common,
        round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine
 FROM j GROUP BY user_id, other_user_id"""
 
+SQL["user_neighbours"] = with_(PLAYS_QTY) + """
+, j AS (SELECT m.user_id, o.user_id AS other_user_id, m.play_count AS a, o.play_count AS b
+      FROM plays_qty m JOIN plays_qty o ON m.song_id = o.song_id
+      WHERE CAST(m.user_id AS BIGINT) % 50 = 0 AND o.user_id <> m.user_id),
+near AS (SELECT user_id, other_user_id, CAST(count(*) AS BIGINT) AS n_common,
+       round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine FROM j GROUP BY user_id, other_user_id)
+SELECT user_id, other_user_id, n_common, cosine, CAST(row_number() OVER (
+         PARTITION BY user_id ORDER BY cosine DESC, n_common DESC, other_user_id) AS BIGINT) AS rank
+FROM near QUALIFY rank <= 20"""
+
 _NB_MINMAX_ROWS = f"""nb_rows AS (
   SELECT track_id, {_LABEL} AS label,
          {', '.join(

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 from cadenza.functions.features import (CONTENT_FEATURE_NAMES, content_vector_columns,
                                         score_class)
 from cadenza.functions.ids import stable_hash28
-from cadenza.operators import arrays, ids, metrics, ratings, sets
+from cadenza.operators import arrays, ids, inner_product, metrics, ratings, sets
 from cadenza.operators import similar as sim_ops
 from cadenza.operators.history import listening_history, split_known_users
-from cadenza.operators.topk import dedupe_keep_best
+from cadenza.operators.topk import dedupe_keep_best, top_k_per
 from cadenza.plans import cf, content, evaluation, genre, hybrid
 from cadenza.session import scratch_path
 from cadenza.sources import derived, files, readers
@@ -537,6 +537,18 @@ def q_als_implicit_topk(spark, sf):
                                                    derived.songs(spark, sf), 1000, 20))
 
 
+@register("als_topk_norm_bounds")
+def q_als_topk_norm_bounds(spark, sf):
+    """Exact top 20 of the requested users by inner product; items in
+    blocks of falling norm, a request stops at the first block that cannot
+    enter its list.  ``visited`` of ``blocks`` were scored."""
+    model, _, users, items = _als_model(spark, sf)
+    asked = model.userFactors.join(_requested(users), F.col("id") == F.col("user_ix")).select("id", "features", "user_id")
+    top = inner_product.top_items(asked.select("id", "features"), model.itemFactors, 20, block=128)
+    return round6(top.join(asked.select("id", "user_id"), "id").join(items, F.col("item") == F.col("item_ix"))
+                  .select("user_id", "als_rank", "song_id", "rating", "visited", "blocks"))
+
+
 @register("als_list_shape")
 def q_als_list_shape(spark, sf):
     """Per requested user, length, best score, whether the ranks are
@@ -702,6 +714,16 @@ def q_user_cosine(spark, sf):
     return round6(arrays.user_cosine(plays, content.request_users(plays, 1)))
 
 
+@register("user_neighbours")
+def q_user_neighbours(spark, sf):
+    """X6 for all requested users (ids divisible by 50): the 20 nearest other
+    users by cosine over co-rated songs (ties: more songs in common, then
+    smaller id)."""
+    plays = _settled_plays(spark, sf, "quantity")
+    near = round6(arrays.user_cosine(plays, _requested(plays.select("user_id").distinct())))
+    return top_k_per(near, ["user_id"], [F.col("cosine").desc(), F.col("n_common").desc(), F.col("other_user_id").asc()], 20)
+
+
 @register("content_new_releases_requested")
 def q_content_new_releases_requested(spark, sf):
     """H4 for all requested users (ids divisible by 50): a model for each,

@@ -17,7 +17,7 @@ MODEL = {n for n in OWN if n.startswith(("als_grid", "als_lambda", "als_model",
 REQUESTS = {"als_implicit_topk", "als_hash_ids_topk", "als_list_shape", "hybrid_all_users", "hybrid_topk",
             "content_new_releases", "content_new_releases_requested", "recall_by_method"}
 # the catalogue meets a model of each requested user in one pass of Arrow batches
-MODELS = {"hybrid_all_users", "content_new_releases_requested", "recall_by_method"}
+MODELS = {"hybrid_all_users", "content_new_releases_requested", "recall_by_method", "als_topk_norm_bounds"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"]
 
