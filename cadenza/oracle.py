@@ -488,6 +488,8 @@ SQL["recall_curve"] = _rank_metrics(50, [1, 5, 10, 20, 50])
 SQL["recall_by_method_similar"] = _rank_metrics(
     50, [1, 5, 10, 20, 50], "CAST(user_id AS BIGINT) % 50 = 0", "'similar' AS method, ")
 
+SQL["similar_items_bucketed"] = SQL["similar_items_topk"]   # other tables, the same rows
+
 SQL["single_user_history"] = with_(PLAYS, SONGS) + """
 , req AS (SELECT user_id FROM (SELECT user_id, sum(play_count) AS n FROM plays GROUP BY user_id)
           ORDER BY n DESC, user_id LIMIT 1),

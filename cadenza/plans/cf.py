@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,7 +136,8 @@ def grid_search(spark: SparkSession, ratings: DataFrame,
                 ranks: Sequence[int] = FULL_GRID["ranks"], regs: Sequence[float] = FULL_GRID["regs"],
                 alphas: Sequence[float] = FULL_GRID["alphas"],
                 iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True, fraction: float = 0.8, seed: int = 1,
-                validate_on: DataFrame | None = None) -> tuple[DataFrame, ALSModel, dict]:
+                validate_on: DataFrame | None = None, results: str | None = None,
+                parallelism: int = 1) -> tuple[DataFrame, ALSModel, dict]:
     """M3 / H7: fit every setting on the training part, score the held-out
     part, return (results DataFrame, best model, best setting).  By default
     the source's whole grid; a caller may pass fewer values.
@@ -144,27 +146,67 @@ def grid_search(spark: SparkSession, ratings: DataFrame,
     computed again for a setting.  Selection is by hold-out RMSE, as in the source.  ``validate_on``
     overrides the held-out part (e.g. the full file, as the source's final
     evaluation does).
+
+    ``results`` names a folder (shared) that keeps a row for every finished
+    setting, written as soon as it is known: a search that starts again after
+    the driver was lost reads it, skips these settings and fits the rest.  The
+    folder belongs to one set of ratings and one split.  ``parallelism``
+    settings are fitted at a time, as Spark jobs of one session.
     """
     from cadenza.operators.ratings import hash_split
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     train, valid = hash_split(ratings, ["user_id", "song_id"], fraction, seed)
     valid = (validate_on if validate_on is not None else valid)
-    rows, best, best_model = [], None, None
-    for rank, reg, alpha, it in itertools.product(ranks, regs, alphas, iters):
+    known = {_setting(r): r for r in _finished(spark, results)} if results else {}
+
+    def measured(setting: tuple) -> tuple[dict, ALSModel | None]:
+        if setting in known:
+            return known[setting], None
+        rank, reg, alpha, it = setting
         model = make_als(rank, reg, it, alpha, implicit).fit(train)
         pred = score_pairs(model, valid.select("user_ix", "item_ix", "rating"))
         m = error_metrics(pred.select(F.col("rating").cast("double").alias("actual"),
                                       F.col("prediction").cast("double").alias("predicted"))
                           ).first()
-        row = dict(rank=int(rank), reg_param=float(reg), alpha=float(alpha), max_iter=int(it),
+        row = dict(rank=rank, reg_param=reg, alpha=alpha, max_iter=it,
                    n=int(m["n"]), mse=m["mse"], rmse=m["rmse"], mae=m["mae"])
-        rows.append(row)
-        if m["rmse"] is not None and (best is None or m["rmse"] < best["rmse"]):
-            best, best_model = row, model
-    ratings.unpersist()
-    schema = ("rank int, reg_param double, alpha double, max_iter int, n bigint, "
-              "mse double, rmse double, mae double")
-    return spark.createDataFrame(rows, schema), best_model, best
+        if results:
+            # a folder a setting, as several may be written at a time
+            spark.createDataFrame([row], GRID_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+                f"{results.rstrip('/')}/" + "-".join(map(str, setting)))
+        return row, model
+
+    settings = [(int(rank), float(reg), float(alpha), int(it))
+                for rank, reg, alpha, it in itertools.product(ranks, regs, alphas, iters)]
+    rows, best, best_model = [], None, None
+    try:
+        with ThreadPool(parallelism) as pool:   # of waiting driver threads: the fits are Spark jobs
+            for row, model in pool.imap(inheritable_thread_target(spark)(measured), settings):
+                rows.append(row)
+                if row["rmse"] is not None and (best is None or row["rmse"] < best["rmse"]):
+                    best, best_model = row, model
+        if best is not None and best_model is None:   # its fit was before a restart
+            best_model = make_als(best["rank"], best["reg_param"], best["max_iter"], best["alpha"], implicit).fit(train)
+    finally:
+        ratings.unpersist()
+    return spark.createDataFrame(rows, GRID_SCHEMA), best_model, best
+
+
+GRID_SCHEMA = ("rank int, reg_param double, alpha double, max_iter int, n bigint, "
+               "mse double, rmse double, mae double")
+
+
+def _setting(row: dict) -> tuple:
+    return int(row["rank"]), float(row["reg_param"]), float(row["alpha"]), int(row["max_iter"])
+
+
+def _finished(spark: SparkSession, results: str) -> list[dict]:
+    """The kept rows of an earlier search, if there was one."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(results)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return []
+    kept = spark.read.schema(GRID_SCHEMA).option("recursiveFileLookup", "true").parquet(results)
+    return [r.asDict() for r in kept.collect()]
 
 
 def save_and_reload(model: ALSModel, path: str) -> ALSModel:
@@ -206,14 +248,17 @@ def grid_search_tvs(ratings: DataFrame, ranks: Sequence[int] = FULL_GRID["ranks"
 def find_model(spark: SparkSession, ratings: DataFrame, model_path: str,
                ranks: Sequence[int] = FULL_GRID["ranks"], regs: Sequence[float] = FULL_GRID["regs"],
                alphas: Sequence[float] = FULL_GRID["alphas"],
-               iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True) -> DataFrame:
+               iters: Sequence[int] = FULL_GRID["iters"], implicit: bool = True, results: str | None = None,
+               parallelism: int = 1) -> DataFrame:
     """H7: grid on a hold-out split, the best setting re-scored on the full
-    file (the source's "test" evaluation) as well, best model saved.
+    file (the source's "test" evaluation) as well, best model saved.  With
+    ``results`` a search that was cut off goes on (see ``grid_search``).
 
     Returns the grid rows (``evaluated_on='holdout'``) and one row for the
     best model on the full file (``evaluated_on='full_file'``).
     """
-    res, best_model, best = grid_search(spark, ratings, ranks, regs, alphas, iters, implicit)
+    res, best_model, best = grid_search(spark, ratings, ranks, regs, alphas, iters, implicit,
+                                        results=results, parallelism=parallelism)
     pred = score_pairs(best_model, ratings.select("user_ix", "item_ix", "rating"))
     full = error_metrics(pred.select(F.col("rating").cast("double").alias("actual"),
                                      F.col("prediction").cast("double").alias("predicted")))

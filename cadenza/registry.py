@@ -7,6 +7,7 @@ DuckDB oracle in ``cadenza.oracle`` can match them exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import IndexToString, StringIndexer
@@ -19,7 +20,7 @@ from cadenza.functions.features import (CONTENT_FEATURE_NAMES, content_vector_co
 from cadenza.functions.ids import stable_hash28
 from cadenza.operators import arrays, ids, inner_product, metrics, ratings, sets
 from cadenza.operators import similar as sim_ops
-from cadenza.operators.history import listening_history, split_known_users
+from cadenza.operators.history import listening_history, played_details, split_known_users
 from cadenza.operators.topk import dedupe_keep_best, top_k_per
 from cadenza.plans import cf, content, evaluation, genre, hybrid
 from cadenza.session import scratch_path
@@ -61,6 +62,34 @@ def q_similar_items_topk(spark, sf):
     return round6(sim_ops.similar_items_topk(plays, songs, sim))
 
 
+@register("similar_items_bucketed")
+def q_similar_items_bucketed(spark, sf):
+    """H3 from bucketed tables (S9 + J5): lines and orders by order key,
+    histories and similarities by track; the two large joins need no
+    exchange."""
+    return round6(_similar_from_buckets(spark, sf))
+
+
+BUCKETS = 16   # of each table; at scale such that a bucket is a task's input
+
+
+def _similar_from_buckets(spark, sf):
+    tag = uuid.uuid4().hex[:12]
+
+    def bucketed(name, df, key):
+        return files.write_bucketed(df, f"{name}_{tag}", key, BUCKETS, scratch_path(spark, f"{name}_bucketed"))
+    lines = bucketed("lines", read(spark, sf, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
+    orders = bucketed("orders", read(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    songs = derived.songs(spark, sf)
+    plays = derived.count_plays(lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey))
+    history = bucketed("history", played_details(plays, songs, ["user_id", "track_id", "play_count"])
+                       .withColumnRenamed("track_id", "tid"), "tid").withColumnRenamed("tid", "track_id")
+    similar = bucketed("similar", derived.similar(spark, sf), "tid")
+    top = sim_ops.similar_top(history, similar.hint("merge"), 50).select(
+        "user_id", F.col("target").alias("track_id"), "predicted_score")
+    return sim_ops.enrich_and_rank(top, songs, 20).select("user_id", "rank", *sim_ops.REC_COLUMNS)
+
+
 @register("listening_history")
 def q_listening_history(spark, sf):
     """H1: top-30 played songs per user, one row per (title, artist)."""
@@ -504,6 +533,12 @@ def q_genre_boosted(spark, sf):
     return genre.run_boosted(derived.genre_features(spark, sf)).select("track_id", "label", "prediction")
 
 
+@register("genre_boosted_svm")
+def q_genre_boosted_svm(spark, sf):
+    """X11: multi-class AdaBoost over one-vs-rest linear SVMs, test predictions."""
+    return genre.run_boosted_svm(derived.genre_features(spark, sf)).select("track_id", "label", "prediction")
+
+
 @register("genre_ablation")
 def q_genre_ablation(spark, sf):
     """Random forest accuracy without (F0) and with (F1) timbre."""

@@ -40,7 +40,11 @@ def plays(spark: SparkSession, sf_dir: str, measure: str = "count") -> DataFrame
     """
     li = read(spark, sf_dir, "lineitem")
     od = read(spark, sf_dir, "orders")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    return count_plays(li.join(od, li.l_orderkey == od.o_orderkey), measure)
+
+
+def count_plays(j: DataFrame, measure: str = "count") -> DataFrame:
+    """The triplets of lines that are joined with their orders."""
     if measure == "count":
         value = F.count(F.lit(1)).cast("bigint")
     elif measure == "quantity":
