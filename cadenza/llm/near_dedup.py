@@ -4,34 +4,39 @@ A document's set holds its distinct shingles (``size`` consecutive words; a
 shorter document is one shingle).  Hashes of the shingles fall into 256
 buckets; of each bucket's least hash a register keeps the count of leading
 zeros and ten bits after them.  Documents with the same set are one node from
-the start.  Six registers in a row make a band: nodes that agree in a band
-are candidates.  A pair is dropped without a look at the texts only if the
+the start.  Five registers in a row (at 80 %; six at 85 %) make a band: nodes
+that agree in a band with at least ``FILLED`` filled registers are candidates.
+One filled register alone holds about twelve bits, which unrelated sets share
+by chance; three hold 36 and more.  A pair is dropped without a look at the texts only if the
 sizes exclude the similarity, or if the estimate from the registers (less
 expected chance collisions) lies five standard errors below it.  All others
 are confirmed on the full sets.
 
-Small sets leave registers empty, so bands alone would miss some of them.  A
+Small sets leave registers empty and have few such bands or none.  A
 set that a set of at most ``SMALL`` shingles can be similar to also gets a key
 for each shingle of its prefix: the first ones in an order of all shingles, as
 many as the set may lack of a similar one, and one more.  Similar sets have a
 shingle of their prefixes in common, whatever the order; here the ``HOT``
 commonest shingles come last, so a phrase that many short texts share makes no
-group of them all.  These keys are dealt and met like band values.
+group of them all.  These keys are dealt and met like band values.  So a pair
+is only left to the bands if both sets have more than ``SMALL`` shingles; then
+some 27 of the 36 bands at 80 % (31 at 85 %) are filled enough, and two sets
+at the threshold share none of them with a probability of about 1e-6 or less.
 
 Pairs of a large group are never all formed.  Bands are dealt by range over
 (band value, node), so a value that many nodes share spreads over tasks; in a
 task every node meets the first node of its value, the hub, and hubs of one
-value in several tasks meet each other.  What is left are nodes in different components of one band value.  Where such a pair
-is plausible by its registers, the node of the smaller component is tested
-against *all* nodes of the other component, in blocks of ``BLOCK`` by
+value in several tasks meet each other.  Values take one of ``HUBS`` orders of
+the nodes, so a family that shares many values gets several hubs, and few of
+its members are like none of them.  What is left are nodes in different
+components of one band value.  Sets whose shingles are at hand are compared by
+them, in blocks of ``BLOCK`` by ``BLOCK`` nodes, and only as many links leave a
+block as tie the same nodes together.  Where another pair is plausible by its
+registers, the node of the smaller component is tested against *all* nodes of the other component, in blocks of ``BLOCK`` by
 ``BLOCK`` nodes, so neither a group nor a component bounds a task and no pairs
 are written out.  A component that is crowded in a group is met as a whole,
 once for all its groups.  That step leaves no plausible pair untested.
 
-So no pair with a set of at most ``SMALL`` shingles goes without a meeting.  Two
-larger nodes at the threshold miss all bands with a probability of about
-(1 - p^w)^36, w registers a band: 6e-7 at 80 %, 4e-8 at 85 %.
-
 Defined cases: null and empty texts, and texts of white space, have an empty
 set and are linked with nothing; a null id never becomes a component's name
 if the component has another; rows that repeat an id stay rows; other columns
@@ -56,9 +61,12 @@ PERCENT = 80
 REGISTERS = 256
 BANDS = 36
 MANTISSA = 10
-SMALL = 64                    # shingles of a set that bands are not enough for
-HOT = 4096                    # commonest shingles, last in the order of prefixes
+FILLED = 3                    # registers of a band that must be filled
+SMALL = 256                   # shingles of a set that bands are not enough for
+HOT = 65_536                  # commonest shingles, last in the order of prefixes
 BLOCK = 384                   # nodes of a group compared in one task
+HUBS = 8                      # orders of the nodes that groups choose their hub by
+COLUMNS = 2048                # shingles of a cell counted at once
 CROWD = 8                     # nodes that make a component crowded in a group, at least
 GROUP_BYTES = 1 << 20         # text hashed at once
 BROADCAST_ROWS = 1_000_000    # ids (16 bytes each) broadcast at most
@@ -305,8 +313,7 @@ _MEMBER = "group long, band int, set_id long, n_shingles long, hub long, n_hub l
 
 
 def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (group, set_id) with their task's first node of the
-    group; a node alone in its group is left out, but for the task's first and
+    """Rows sorted by group with their task's first node of the group; a node alone in its group is left out, but for the task's first and
     last group, which may go on in another task (``edge``)."""
     first = None
     for t, last in _whole_runs(batches, ["group"]):
@@ -369,20 +376,43 @@ def _prefixed(percent: int, commonest: list[int]):
     return run
 
 
+def _banded(percent: int):
+    """Keys of the bands that are filled enough."""
+    width = band_width(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bands = _bands_of(_matrix(b.column("regs")), width)
+            row, band = np.nonzero(_filled(bands))
+            key = (bands[row, band].astype(np.uint64) * _MULTIPLIERS[:width]).sum(axis=1, dtype=np.uint64)
+            key = _mixed(_mixed(key) + band.astype(np.uint64) * _BASE)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(band.astype(np.int32)), b.column("set_id").take(pa.array(row)),
+                 b.column("n_shingles").take(pa.array(row))], ["group", "band", "set_id", "n_shingles"])
+    return run
+
+
+def _bands_of(regs: np.ndarray, width: int) -> np.ndarray:
+    return regs[:, :BANDS * width].reshape(-1, BANDS, width)
+
+
+def _filled(bands: np.ndarray) -> np.ndarray:
+    """Whether each band has enough filled registers to be a key."""
+    return (bands > 0).sum(axis=2) >= min(FILLED, bands.shape[2])
+
+
 def _members(nodes: DataFrame, percent: int) -> DataFrame:
     """Nodes that share a band's value or a shingle of their prefixes
     (``group``; the band of a prefix is ``BANDS``), and a hub for each."""
-    n = 2 * band_width(percent)
     small = nodes.where(F.col("small").isNotNull()).select("set_id", "n_shingles", "small")
     keys = (small.mapInArrow(_prefixed(percent, _commonest(small)), "set_id long, n_shingles long, shingle long")
-            .select(F.xxhash64(F.lit(BANDS), "shingle").alias("group"), F.lit(BANDS).alias("band"), "set_id",
-                    F.col("n_shingles").cast("int").alias("n_shingles")))
-    banded = (nodes.select("set_id", "n_shingles", "regs", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-              .withColumn("part", F.expr(f"substring(regs, band * {n} + 1, {n})"))
-              .where(F.col("part") != F.lit(bytes(n)))
-              .select(F.xxhash64("band", "part").alias("group"), F.col("band").cast("int").alias("band"), "set_id",
-                      F.col("n_shingles").cast("int").alias("n_shingles")))
-    return (banded.unionByName(keys).repartitionByRange("group", "set_id").sortWithinPartitions("group", "set_id")
+            .select(F.xxhash64(F.lit(BANDS), "shingle").alias("group"), F.lit(BANDS).alias("band"), "set_id", "n_shingles"))
+    # a set of at most SMALL shingles meets every similar one by its prefix
+    banded = (nodes.where(F.col("n_shingles") > SMALL).select("set_id", "n_shingles", "regs")
+              .mapInArrow(_banded(percent), "group long, band int, set_id long, n_shingles long"))
+    return (banded.unionByName(keys).withColumn("n_shingles", F.col("n_shingles").cast("int"))
+            .withColumn("place", F.xxhash64(F.pmod("group", F.lit(HUBS)), "set_id"))
+            .repartitionByRange("group", "place", "set_id").sortWithinPartitions("group", "place", "set_id")
             .mapInArrow(_hubs, _MEMBER))
 
 
@@ -391,11 +421,13 @@ def _hub_pairs(member: DataFrame) -> DataFrame:
     lies in several tasks (two groups a task at most) with the least of them."""
     ends = member.where("edge").select("group", F.struct("hub", "n_hub").alias("h")).distinct()
     least = ends.groupBy("group").agg(F.min("h").alias("least"))
-    return (member.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"),
-                          F.col("hub").alias("b"), F.col("n_hub").alias("n_b"))
-            .unionByName(ends.join(least, "group").select(
-                F.col("h.hub").alias("a"), F.col("h.n_hub").alias("n_a"),
-                F.col("least.hub").alias("b"), F.col("least.n_hub").alias("n_b")))
+    end = lambda node, n: F.struct(F.col(node).alias("node"), F.col(n).alias("n"))
+    met = (member.select(end("set_id", "n_shingles").alias("x"), end("hub", "n_hub").alias("y"))
+           .unionByName(ends.join(least, "group").select(
+               end("h.hub", "h.n_hub").alias("x"), end("least.hub", "least.n_hub").alias("y")))
+           .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+    return (met.select(F.col("x.node").alias("a"), F.col("x.n").alias("n_a"),
+                       F.col("y.node").alias("b"), F.col("y.n").alias("n_b"))
             .where(F.col("a") != F.col("b")))
 
 
@@ -415,30 +447,87 @@ def _plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFr
             .mapInArrow(_estimated(percent), "a long, b long"))
 
 
+def _shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists."""
+    every = np.concatenate([np.zeros(0, np.uint64), *left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in left + right])
+    _, column, n = np.unique(every, return_inverse=True, return_counts=True)
+    again = n[column] > 1
+    row, column = row[again], np.unique(column[again], return_inverse=True)[1]
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
+    for lo in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        some = (column >= lo) & (column < lo + COLUMNS)
+        holds = np.zeros((len(left) + len(right), COLUMNS), dtype=np.float32)
+        holds[row[some], column[some] - lo] = 1
+        both += holds[:len(left)] @ holds[len(left):].T
+    return both
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Of the links a[k] - b[k] as many as tie the same components together."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+    out = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            out.append(k)
+    return out
+
+
 def _cells(percent: int):
-    """Compare the nodes of each cell of a group by their registers: out come
-    (probe, root), the node of the smaller and the other's component.  Nodes
-    that share several bands are compared in the first one's group only, those
-    that share none in the groups of their prefixes."""
+    """Compare the nodes of each cell of a group.
+
+    Two nodes whose shingles are at hand are compared by them: out come links
+    (``probe``, ``root``, two nodes), in each cell no more than tie the same
+    nodes together.  Others are compared by their registers: out come (probe,
+    root), the node of the smaller and the other's component, to be tested.
+    Those that share several bands are compared in the first one's group only,
+    those that share none in the groups of their prefixes.
+    """
     width = band_width(percent)
 
-    def compare(t: dict, found: set) -> None:
+    def exact(t: dict, left: np.ndarray, right: np.ndarray, links: set) -> None:
+        left, right = [x[[t["small"][k] is not None for k in x.tolist()]] for x in (left, right)]
+        if not len(left) or not len(right):
+            return
+        sets = [[np.frombuffer(t["small"][k], np.uint64) for k in x.tolist()] for x in (left, right)]
+        both = _shared_shingles(*sets)
+        n = t["n_shingles"]
+        alike = 100 * both >= percent * (n[left][:, None] + n[right][None] - both)
+        alike &= t["root"][left][:, None] != t["root"][right][None]
+        x, y = left[np.nonzero(alike)[0]], right[np.nonzero(alike)[1]]
+        for k in _spanning(t["root"][x], t["root"][y]):
+            links.add((int(t["set_id"][x[k]]), int(t["set_id"][y[k]])))
+
+    def compare(t: dict, found: set, links: set) -> None:
         left = np.flatnonzero(t["blk"] == t["i"][0])
         right = np.flatnonzero(t["blk"] == t["j"][0])
-        bands = t["regs"][:, :BANDS * width].reshape(-1, BANDS, width)
+        exact(t, left, right, links)
+        bands = _bands_of(t["regs"], width)
+        usable = _filled(bands)
         side = _sides(t)
+        known = np.array([x is not None for x in t["small"]])
+        n = t["n_shingles"]
+        large = n > SMALL
         for k, x in enumerate(left.tolist()):
+            if not large[x]:
+                continue
             ys = right[k + 1:] if t["i"][0] == t["j"][0] else right
-            ys = ys[(t["root"][ys] != t["root"][x]) & (t["set_id"][ys] != t["hub"][x])
-                    & (t["hub"][ys] != t["set_id"][x])]   # hubs have been met
+            ys = ys[large[ys] & ~(known[ys] & known[x]) & (t["root"][ys] != t["root"][x])
+                    & (t["set_id"][ys] != t["hub"][x]) & (t["hub"][ys] != t["set_id"][x])]   # hubs have been met
             if not len(ys):
                 continue
-            n = t["n_shingles"]
             ys = ys[(100 * n[ys] >= percent * n[x]) & (100 * n[x] >= percent * n[ys])]
             ys = ys[_plausible(_rows_of(side, [x]), _rows_of(side, ys), percent) >= 0]
             if not len(ys):
                 continue
-            shared = (bands[x][None] == bands[ys]).all(axis=2) & (bands[x] > 0).any(axis=1)[None]
+            shared = (bands[x][None] == bands[ys]).all(axis=2) & usable[x][None]
             band = np.where(shared.any(axis=1), shared.argmax(axis=1), BANDS)
             for y in ys[band == t["band"][x]].tolist():
                 a, b = sorted((x, y), key=lambda z: (t["size"][z], t["root"][z]))
@@ -446,15 +535,20 @@ def _cells(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _ in _whole_runs(batches, ["group", "i", "j"]):
-            cols = {c: int64(t[c].chunk(0)) for c in t.column_names if c != "regs"}
-            cols["regs"] = _matrix(t["regs"].chunk(0))
+            cols = {c: int64(t[c].chunk(0)) for c in t.column_names if c not in ("regs", "small")}
+            none = bytes(2 * REGISTERS)
+            cols["regs"] = np.frombuffer(b"".join(x or none for x in t["regs"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            cols["small"] = np.array([*t["small"].to_pylist(), None], dtype=object)[:-1]
             starts = _run_starts([cols[c] for c in ("group", "i", "j")])
             found: set = set()
+            links: set = set()
             for lo, hi in zip(starts.tolist(), np.append(starts[1:], t.num_rows).tolist()):
-                compare({c: v[lo:hi] for c, v in cols.items()}, found)
-            probes, roots = zip(*sorted(found)) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(roots, pa.int64())],
-                                             ["probe", "root"])
+                compare({c: v[lo:hi] for c, v in cols.items()}, found, links)
+            rows = [(*x, False) for x in sorted(found)] + [(*x, True) for x in sorted(links)]
+            probes, roots, link = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(probes, pa.int64()), pa.array(roots, pa.int64()), pa.array(link, pa.bool_())],
+                ["probe", "root", "link"])
     return run
 
 
@@ -470,7 +564,8 @@ def _crowded(rooted: DataFrame) -> DataFrame:
 
 def _tests(member: DataFrame, nodes: DataFrame, tied: DataFrame, node_roots: DataFrame,
            percent: int) -> DataFrame:
-    """(probe, root): nodes with a plausible partner in another component.
+    """(probe, root, link): nodes with a plausible partner in another
+    component, or two nodes that are linked.
 
     Nodes of a group meet each other in cells, but for those of crowded
     components: these the others meet as a whole, once for all groups.
@@ -485,15 +580,16 @@ def _tests(member: DataFrame, nodes: DataFrame, tied: DataFrame, node_roots: Dat
     crowded = settled(_crowded(rooted))
     single = rooted.join(crowded.select("group", "root"), ["group", "root"], "left_anti")
     single = settled(single.join(single.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"), "group"))
-    regs = settled(_only(nodes.select("set_id", "regs"), settled(single.select("set_id").distinct())))
+    held = nodes.select("set_id", F.when(F.col("n_shingles") > SMALL, F.col("regs")).alias("regs"), "small")
+    regs = settled(_only(held, settled(single.select("set_id").distinct())))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     cells = (single.withColumn("blk", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .join(regs, "set_id")
              .select("group", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
-                     "band", "blk", "set_id", "root", "size", "hub", "n_shingles", "regs")
+                     "band", "blk", "set_id", "root", "size", "hub", "n_shingles", "regs", "small")
              .repartition("group", "i", "j").sortWithinPartitions("group", "i", "j"))
-    near = cells.mapInArrow(_cells(percent), "probe long, root long")
+    near = cells.mapInArrow(_cells(percent), "probe long, root long, link boolean")
 
     whole = crowded.select("group", F.col("root").alias("other"), F.col("size").alias("other_size"))
     inside = crowded.select("group", "root", F.lit(True).alias("inside"))
@@ -506,7 +602,7 @@ def _tests(member: DataFrame, nodes: DataFrame, tied: DataFrame, node_roots: Dat
     regs = settled(_only(nodes.select("set_id", "n_shingles", "regs"), settled(grid.select("set_id").distinct())))
     far = (grid.join(regs, "set_id").repartition(*_CELL).sortWithinPartitions(*_CELL)
            .mapInArrow(_cell_probes(percent), "probe long, root long"))
-    return near.unionByName(far).distinct()
+    return near.unionByName(far.withColumn("link", F.lit(False))).distinct()
 
 
 _CELL = ["alone", "cell", "i", "j"]
@@ -638,7 +734,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     del member
     release(spark)
     if not tests.isEmpty():
-        links = settled(links.unionByName(_block_links(tests, node_roots, sets_for, percent)))
+        met = tests.where("link").select(F.col("probe").alias("a"), F.col("root").alias("b"))
+        links = settled(links.unionByName(met).unionByName(
+            _block_links(tests.where("not link").drop("link"), node_roots, sets_for, percent)))
         release(spark)
         tied = settled(components(links))
 
