@@ -214,6 +214,24 @@ def _sketched(size: int, small: int):
     return run
 
 
+def _identified(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bodies = b.column("body").to_pylist()
+            for lo, hi in _chunks(bodies):
+                sets = shingle_sets(bodies[lo:hi], size)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([_set_id(s) for s in sets], pa.int64())], ["doc_id", "n_shingles", "set_id"])
+    return run
+
+
+def identities(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, set_id (null for an empty set) of every row."""
+    rows = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("body"))
+    return rows.mapInArrow(_identified(size), "doc_id long, n_shingles long, set_id long")
+
+
 def sketches(docs: DataFrame, text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, set_id (null for an empty set), regs, small (the
     shingles, if a set of ``SMALL`` can be similar; else null) of every row."""
@@ -708,12 +726,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     their shingle sets; ``component_id`` is the least id reachable.
     """
     spark = docs.sparkSession
-    sketch = settled(sketches(docs, text, size, percent))
-    nodes = settled(sketch.where(F.col("set_id").isNotNull()).groupBy("set_id")
+    # registers and shingles are kept once for each set, not for each row: the
+    # rows' own sets are named in a second, light pass over the texts
+    nodes = settled(sketches(docs, text, size, percent).where(F.col("set_id").isNotNull()).groupBy("set_id")
                     .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
                          F.first("regs").alias("regs"), F.first("small").alias("small")))
-    sketch = settled(sketch.select("doc_id", "n_shingles", "set_id"))
     release(spark)
+    sketch = settled(identities(docs, text, size))
     member = settled(_members(nodes, percent))
     release(spark)
     pairs = settled(_plausible_pairs(_hub_pairs(member), nodes, percent))
