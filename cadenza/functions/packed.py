@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 def packed_entries(target: Column | str) -> Column:
     """array<struct<target string, score double>> from a packed string."""
     c = F.col(target) if isinstance(target, str) else target
-    parts = F.split(c, ",")
-    n_pairs = F.floor(F.size(parts) / 2).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), n_pairs - 1),
-        lambda i: F.struct(F.trim(F.get(parts, i * 2)).alias("target"),
-                           F.trim(F.get(parts, i * 2 + 1)).try_cast("double").alias("score")))
-    # sequence(0, -1) would count down, so lists without a pair give NULL
-    return F.when(c.isNotNull() & (n_pairs > 0), pairs)
+
+    def pairs(parts: Column) -> Column:
+        n_pairs = F.floor(F.size(parts) / 2).cast("int")
+        # sequence(0, -1) would count down, so lists without a pair give NULL
+        return F.when(n_pairs > 0, F.transform(
+            F.sequence(F.lit(0), n_pairs - 1),
+            lambda i: F.struct(F.trim(F.get(parts, i * 2)).alias("target"),
+                               F.trim(F.get(parts, i * 2 + 1)).try_cast("double").alias("score"))))
+    # the split list is an argument of the outer lambda: one split a list, not
+    # one for each of its entries
+    return F.when(c.isNotNull(), F.get(F.transform(F.array(F.split(c, ",")), pairs), 0))
 
 
 def dangling_count(target: Column | str) -> Column:
