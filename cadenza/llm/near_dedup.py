@@ -29,7 +29,11 @@ task every node meets the first node of its value, the hub, and hubs of one
 value in several tasks meet each other.  Values take one of ``HUBS`` orders of
 the nodes, so a family that shares many values gets several hubs, and few of
 its members are like none of them.  What is left are nodes in different
-components of one band value.  Sets whose shingles are at hand are compared by
+components of one band value.  First they meet by their sizes and, where the
+shingles are at hand, by a mark of ``MARK`` bits, each the parity of a share of the
+shingles: marks differ in no more bits than sets in shingles, so no similar pair
+is lost, and only nodes that are left take shingles or registers to their group.
+Sets whose shingles are at hand are then compared by
 them, in blocks of ``BLOCK`` by ``BLOCK`` nodes, and only as many links leave a
 block as tie the same nodes together.  Where another pair is plausible by its
 registers, the node of the smaller component is tested against *all* nodes of the other component, in blocks of ``BLOCK`` by
@@ -67,6 +71,7 @@ HOT = 65_536                  # commonest shingles, last in the order of prefixe
 BLOCK = 384                   # nodes of a group compared in one task
 HUBS = 8                      # orders of the nodes that groups choose their hub by
 COLUMNS = 2048                # shingles of a cell counted at once
+MARK = 256                    # bits of a small set's mark
 CROWD = 8                     # nodes that make a component crowded in a group, at least
 GROUP_BYTES = 1 << 20         # text hashed at once
 BROADCAST_ROWS = 1_000_000    # ids (16 bytes each) broadcast at most
@@ -570,6 +575,86 @@ def _cells(percent: int):
     return run
 
 
+def marks(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set: the parities of the numbers of shingles that
+    fall on them.  Two rows differ in at most as many bits as one of the sets
+    alone has shingles."""
+    u = np.concatenate([np.zeros(0, np.uint64), *sets])
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bit = (u % np.uint64(MARK)).astype(np.int64)
+    n = np.bincount(row * MARK + bit, minlength=len(sets) * MARK)
+    return (n.reshape(-1, MARK) % 2).astype(np.uint8)
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = np.packbits(marks(_small_sets(b)), axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("set_id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["set_id", "mark"])
+
+
+def _may_link(left: dict, right: dict, percent: int) -> np.ndarray:
+    """Whether two nodes of different components may be similar, by their sizes
+    and marks, or without both marks if bands and registers can tell."""
+    n, m = left["n_shingles"][:, None], right["n_shingles"][None]
+    ok = (left["root"][:, None] != right["root"][None]) & (
+        100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    x, y = (2 * np.unpackbits(side["mark"], axis=1).astype(np.float32) - 1 for side in (left, right))
+    differ = (MARK - x @ y.T) / 2
+    near = (100 + percent) * differ <= (100 - percent) * (n + m)
+    both = left["known"][:, None] & right["known"][None]
+    return ok & np.where(both, near, (n > SMALL) & (m > SMALL))
+
+
+_NODE = "group long, band int, set_id long, n_shingles long, hub long, root long, size long"
+
+
+def _hopeful(percent: int):
+    """The nodes of each cell of a group that may be linked to another there."""
+    names = [c.split()[0] for c in _NODE.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, _ in _whole_runs(batches, ["group", "i", "j"]):
+            cols = {c: int64(t[c].chunk(0)) for c in ("group", "i", "j", "blk", "n_shingles", "root")}
+            mark = t["mark"].to_pylist()
+            cols["known"] = np.array([x is not None for x in mark])
+            cols["mark"] = np.frombuffer(b"".join(x or bytes(MARK // 8) for x in mark), np.uint8).reshape(-1, MARK // 8)
+            starts = _run_starts([cols[c] for c in ("group", "i", "j")])
+            keep = np.zeros(t.num_rows, dtype=bool)
+            for lo, hi in zip(starts.tolist(), np.append(starts[1:], t.num_rows).tolist()):
+                left = lo + np.flatnonzero(cols["blk"][lo:hi] == cols["i"][lo])
+                right = lo + np.flatnonzero(cols["blk"][lo:hi] == cols["j"][lo])
+                ok = _may_link(*({c: v[side] for c, v in cols.items()} for side in (left, right)), percent)
+                keep[left] |= ok.any(axis=1)
+                keep[right] |= ok.any(axis=0)
+            yield from t.select(names).filter(pa.array(keep)).to_batches()
+    return run
+
+
+def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows of groups of ``n`` in cells (group, i, j): each block of a group
+    with itself and with every other one."""
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    return (rows.withColumn("blk", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("group", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", *columns)
+            .repartition("group", "i", "j").sortWithinPartitions("group", "i", "j"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """The rows of groups of more than one, with the number of them, ``n``."""
+    return rows.join(rows.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"), "group")
+
+
+def _promising(single: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``single`` (groups of ``n``) whose node may be linked to
+    another of its group; only ids, sizes and marks travel to the groups."""
+    small = nodes.where(F.col("small").isNotNull()).select("set_id", "small")
+    mark = _only(small.mapInArrow(_marked, "set_id long, mark binary"), settled(single.select("set_id").distinct()))
+    cells = _dealt(single.join(mark, "set_id", "left"), "band", "set_id", "n_shingles", "hub", "root", "size", "mark")
+    return cells.mapInArrow(_hopeful(percent), _NODE).distinct()
+
+
 def _crowded(rooted: DataFrame) -> DataFrame:
     """(group, root, size) of the components with many nodes in a group: at
     least as many as the root of the group's nodes, so a group of n nodes has
@@ -597,16 +682,13 @@ def _tests(member: DataFrame, nodes: DataFrame, tied: DataFrame, node_roots: Dat
     rooted = settled(rooted.join(mixed, "group"))
     crowded = settled(_crowded(rooted))
     single = rooted.join(crowded.select("group", "root"), ["group", "root"], "left_anti")
-    single = settled(single.join(single.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"), "group"))
+    # marks first: most nodes that share a group are like none of it, and need
+    # neither their shingles nor their registers there
+    single = settled(_counted(settled(_promising(settled(_counted(single)), nodes, percent))))
+    release(nodes.sparkSession)
     held = nodes.select("set_id", F.when(F.col("n_shingles") > SMALL, F.col("regs")).alias("regs"), "small")
     regs = settled(_only(held, settled(single.select("set_id").distinct())))
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    cells = (single.withColumn("blk", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .join(regs, "set_id")
-             .select("group", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
-                     "band", "blk", "set_id", "root", "size", "hub", "n_shingles", "regs", "small")
-             .repartition("group", "i", "j").sortWithinPartitions("group", "i", "j"))
+    cells = _dealt(single.join(regs, "set_id"), "band", "set_id", "root", "size", "hub", "n_shingles", "regs", "small")
     near = cells.mapInArrow(_cells(percent), "probe long, root long, link boolean")
 
     whole = crowded.select("group", F.col("root").alias("other"), F.col("size").alias("other_size"))

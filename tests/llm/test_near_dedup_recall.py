@@ -114,3 +114,43 @@ def test_shared_shingles_and_spanning_links():
             name = [name[y] if c == name[x] else c for c in name]
         return [[i for i in range(20) if name[i] == name[k]] for k in range(20)]
     assert classes([(a[k], b[k]) for k in kept]) == classes(zip(a, b)) and len(kept) < 20
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_marks_exclude_no_similar_pair_and_nearly_all_others(percent):
+    rng = np.random.default_rng(percent)
+
+    def side(sets, first):
+        return {"n_shingles": np.array([len(s) for s in sets]), "root": first + np.arange(len(sets)),
+                "mark": np.packbits(nd.marks(sets), axis=1), "known": np.ones(len(sets), dtype=bool)}
+    alike = [pair(rng, n, percent) for n in range(1, 321) for _ in range(3)]
+    ok = nd._may_link(side([a for a, _ in alike], 0), side([b for _, b in alike], 10_000), percent)
+    assert ok.diagonal().all()
+    sets = [np.sort(hashes(rng, n)) for n in range(20, 300)]
+    assert nd._may_link(side(sets, 0), side(sets, 0), percent).sum() == 0   # no set is compared with itself
+    known = side(sets, 0) | {"known": np.zeros(len(sets), dtype=bool)}
+    n = known["n_shingles"]
+    large = (n[:, None] > nd.SMALL) & (n[None] > nd.SMALL) & (n[:, None] != n[None])
+    assert (nd._may_link(known, known, percent) == large).all()   # without marks, bands and registers tell
+
+
+def test_shingles_are_fetched_for_nodes_that_may_be_linked_only(spark, monkeypatch):
+    """300 texts in 60 groups of unrelated ones with a rare shingle in common:
+    each used to take its shingles to the group."""
+    rng = random.Random(3)
+    rows = [(k, " ".join(["rare", f"r{k % 60}", "words"] + [f"w{rng.randrange(10**9)}" for _ in range(40)]))
+            for k in range(300)]
+    base = [f"b{k}" for k in range(60)]
+    rows += [(1000 + k, " ".join(base[:59] + [f"x{k}"] + base[59:])) for k in range(6)]
+    fetched, only = [], nd._only
+
+    def counted(found, ids, key="set_id"):
+        if {"regs", "small"} <= set(found.columns):
+            fetched.append(ids.count())
+        return only(found, ids, key)
+    monkeypatch.setattr(nd, "_only", counted)
+    monkeypatch.setattr(nd, "HOT", 0)   # as with more common shingles than are kept
+    got = {r["doc_id"]: r["component_id"]
+           for r in nd.near_duplicates(frame(spark, rows), size=3, percent=85).collect()}
+    assert got == {k: 1000 if k >= 1000 else k for k, _ in rows}
+    assert len(fetched) == 1 and fetched[0] <= 6
