@@ -28,6 +28,7 @@ from cadenza.operators.ratings import hash_split
 
 SEED = 42
 SPLIT_SEED = 7
+AT_ONCE = 10   # classes of a one-vs-rest fit, each a chain of short jobs: all genres, as one waits for the driver mostly
 N_SCALARS = 6  # loudness, tempo, time_signature, key, mode, duration
 
 
@@ -118,7 +119,7 @@ def run_random_forest(genre_rows: DataFrame, feature_cols: Sequence[str] | None
 
 def run_svm(genre_rows: DataFrame) -> DataFrame:
     """One-vs-rest linear SVM (the source charts it without code)."""
-    return _fit_predict(OneVsRest(classifier=LinearSVC(maxIter=50), parallelism=4),
+    return _fit_predict(OneVsRest(classifier=LinearSVC(maxIter=50), parallelism=AT_ONCE),
                         labelled(genre_rows))
 
 
@@ -126,7 +127,7 @@ def run_boosted(genre_rows: DataFrame) -> DataFrame:
     """X11: one-vs-rest gradient-boosted trees (boosting method unspecified
     in the source; nearest Spark equivalent)."""
     return _fit_predict(OneVsRest(classifier=GBTClassifier(maxIter=10, maxDepth=3, seed=SEED),
-                                  parallelism=4),
+                                  parallelism=AT_ONCE),
                         labelled(genre_rows))
 
 
@@ -173,7 +174,7 @@ def fit_boosted_svm(train: DataFrame, rounds: int = 5, max_iter: int = 50, class
     k = classes or k
     models, alphas, errors = [], [], []
     for _ in range(rounds if n else 0):
-        model = OneVsRest(classifier=LinearSVC(maxIter=max_iter), weightCol="weight", parallelism=4).fit(now)
+        model = OneVsRest(classifier=LinearSVC(maxIter=max_iter), weightCol="weight", parallelism=AT_ONCE).fit(now)
         judged = model.transform(now).select("track_id", "features", "label", "weight",
                                              (F.col("prediction") != F.col("label")).alias("wrong"))
         judged = judged.checkpoint(eager=True)

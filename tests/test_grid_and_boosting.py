@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 
 from cadenza import registry
@@ -105,3 +106,17 @@ def test_boosted_svm_query(spark, sf):
     rows = registry.QUERIES["genre_boosted_svm"](spark, sf).collect()
     assert rows and {r.prediction for r in rows} <= {float(c) for c in range(10)}
     assert {r.track_id for r in rows} == {r.track_id for r in registry.QUERIES["genre_svm"](spark, sf).collect()}
+
+
+def test_all_classes_are_fitted_at_a_time(spark, monkeypatch):
+    from pyspark.ml.classification import OneVsRest
+    seen, fit = [], OneVsRest.fit
+
+    def recorded(self, dataset, params=None):
+        seen.append(self.getParallelism())
+        return fit(self, dataset, params)
+    monkeypatch.setattr(OneVsRest, "fit", recorded)
+    rows = spark.createDataFrame([(str(i), [float(i % 3), float(i % 2)], float(i % 3)) for i in range(30)],
+                                 "track_id string, f array<double>, label double")
+    genre.fit_boosted_svm(rows.select("track_id", array_to_vector("f").alias("features"), "label"), rounds=1, max_iter=2)
+    assert seen == [10]
