@@ -54,6 +54,23 @@ def test_a_grid_that_was_cut_off_goes_on(spark, monkeypatch):
     assert sorted(map(tuple, res.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_the_grid_query_has_all_settings_of_the_source(spark, sf, monkeypatch):
+    asked, search = [], cf.grid_search
+
+    def first_only(spark, ratings, ranks=cf.FULL_GRID["ranks"], regs=cf.FULL_GRID["regs"], alphas=cf.FULL_GRID["alphas"],
+                   iters=cf.FULL_GRID["iters"], **more):
+        asked.append([(r, g, a, i) for r in ranks for g in regs for a in alphas for i in iters])
+        return search(spark, ratings, ranks=[2], regs=[1.0], alphas=[1.0], iters=[1])
+    monkeypatch.setattr(cf, "grid_search", first_only)
+    registry.QUERIES["als_grid"](spark, sf).collect()
+    assert len(asked[0]) == len(set(asked[0])) == 108 and {x[3] for x in asked[0]} == {20}
+    assert [sorted({x[k] for x in asked[0]}) for k in (0, 2)] == [[8, 10, 12], [1.0, 10.0, 50.0, 100.0]]
+
+
+def test_small_fits_go_several_at_a_time():
+    assert [cf.fits_at_a_time(n) for n in (0, 1000, 2 * cf.IN_MEMORY // 5, cf.IN_MEMORY, 10 * cf.IN_MEMORY)] == [8, 8, 2, 1, 1]
+
+
 def boosted_fixture(spark, n=150, k=3, seed=1):
     rng = np.random.default_rng(seed)
     y = rng.integers(0, k, n)

@@ -85,7 +85,7 @@ def test_same_seed_same_model(spark, sf):
 
 def test_grid_results_table(spark, sf):
     df = Q["als_grid"](spark, sf).collect()
-    assert len(df) == 8 and all(r.rmse is not None and r.rmse >= 0 for r in df)
+    assert len(df) == 108 and all(r.rmse is not None and r.rmse >= 0 for r in df)
 
 
 def test_genre_predictions_are_known_classes(spark, sf):
