@@ -92,7 +92,7 @@ def test_many_ratings_leave_memory_to_the_blocks(spark, many, monkeypatch):
     assert many == [(False, "DISK_ONLY", "DISK_ONLY", 2)]
     monkeypatch.setattr(cf, "IN_MEMORY", 1000)
     other = cf.fit_als(cf.make_als(2, 0.1, 3), r)
-    assert many[1] == (True, "MEMORY_AND_DISK", "MEMORY_AND_DISK", 2)
+    assert many[1] == (True, "MEMORY_AND_DISK", "MEMORY_AND_DISK", 10)
     for a, b in ((model.userFactors, other.userFactors), (model.itemFactors, other.itemFactors)):
         assert sorted(a.collect()) == sorted(b.collect()) and a.count()
 
